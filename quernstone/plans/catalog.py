@@ -400,7 +400,7 @@ def sync_index(spark, sf_dir):
     folder = scratch_path(spark, "sync")
     sync.sync_index(
         spark,
-        f"{sf_dir}/documents.parquet",
+        f"{sf_dir}/documents*.parquet",
         _docs(spark, sf_dir).schema,
         f"{folder}/index",
         f"{folder}/progress",
