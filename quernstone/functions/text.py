@@ -6,6 +6,8 @@ with linear-time regular expressions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,6 +42,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row.
+
+    Inside a lambda an outer expression would be computed again for every element.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def tokens(text: Column | str) -> Column:
     """Lower-cased runs of letters and digits, in order; null text gives null."""
     return F.filter(F.split(F.lower(_col(text)), NON_WORD), lambda t: t != "")
@@ -63,10 +73,14 @@ def ngrams(items: Column, n: int) -> Column:
     """All runs of ``n`` consecutive items, each joined by a blank."""
     if n == 1:
         return items
-    starts = F.when(F.size(items) >= n, F.sequence(F.lit(1), F.size(items) - (n - 1))).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.transform(starts, lambda i: F.array_join(F.slice(items, i, n), " "))
+    none = F.array().cast("array<int>")
+
+    def runs(held: Column) -> Column:
+        last = F.size(held) - (n - 1)
+        starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(none)
+        return F.transform(starts, lambda i: F.array_join(F.slice(held, i, n), " "))
+
+    return bind(items, runs)
 
 
 def decode_entities(text: Column) -> Column:

@@ -22,12 +22,15 @@ def window_pieces(text: Column, size: int, overlap: int) -> Column:
     stride = size - overlap
     if stride < 1:
         raise ValueError("overlap must be smaller than size")
-    strides = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{stride}}}"), F.lit(0))
-    last = F.greatest(F.lit(0), F.ceil((F.char_length(text) - size) / stride)).cast("int")
+    beyond = F.ceil((F.char_length(text) - size) / stride).cast("int")
+    last = F.when(text.isNotNull(), F.greatest(F.lit(0), beyond))
     reach = -(-size // stride)
-    return F.transform(
-        F.sequence(F.lit(0), last),
-        lambda i: F.substring(F.array_join(F.slice(strides, i + 1, reach), ""), 1, size),
+    return tx.bind(
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{stride}}}"), F.lit(0)),
+        lambda strides: F.transform(
+            F.sequence(F.lit(0), last),
+            lambda i: F.substring(F.array_join(F.slice(strides, i + 1, reach), ""), 1, size),
+        ),
     )
 
 

@@ -44,3 +44,12 @@ def salted_join(
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     right = lookup.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
     return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
+def placed_by(df: DataFrame, key: str) -> DataFrame:
+    """Place rows by a unique key over all shuffle partitions.
+
+    For work that is heavy per row: the number of partitions is kept even where the rows are
+    small, and aggregations and joins on the key that follow need no further shuffle.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)

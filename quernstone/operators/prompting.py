@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quernstone.functions import text as tx
+from quernstone.operators.joins import placed_by
+
 TEMPLATE = """Answer the question from the passages below and point to what you relied on.
 If the passages do not hold the answer, reply that you do not know.
 
@@ -20,7 +23,7 @@ TURNS_PER_PART = 256
 
 def source_documents(hits: DataFrame) -> DataFrame:
     """``qid, source_documents``: the ranked hits of each question (k per question) as one list."""
-    return hits.groupBy("qid").agg(
+    return placed_by(hits, "qid").groupBy("qid").agg(
         F.array_sort(F.collect_list(F.struct("rank", "id", "page_content"))).alias(
             "source_documents"
         )
@@ -32,11 +35,15 @@ def stuffed(documents: Column, sep: str = SEPARATOR, max_chars: int | None = Non
     texts = F.transform(documents, lambda d: F.coalesce(d["page_content"], F.lit("")))
     if max_chars is None:
         return F.array_join(texts, sep)
-    used = F.transform(
-        texts, lambda _, i: F.char_length(F.array_join(F.slice(texts, 1, i + 1), sep))
-    )
-    fit = F.size(F.filter(used, lambda n: n <= max_chars))
-    return F.array_join(F.slice(texts, 1, fit), sep)
+
+    def leading(held: Column) -> Column:
+        used = F.transform(
+            held, lambda _, i: F.char_length(F.array_join(F.slice(held, 1, i + 1), sep))
+        )
+        fit = F.size(F.filter(used, lambda n: n <= max_chars))
+        return F.array_join(F.slice(held, 1, fit), sep)
+
+    return tx.bind(texts, leading)
 
 
 def stuff_prompt(

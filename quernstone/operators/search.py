@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,12 +98,11 @@ def build_index(
     """
     path = path or scratch_path(vectors.sparkSession, "vectors")
     known = vectors.where("embedding is not null")
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    unit = F.transform("embedding", lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0)))
-    training = known.select(array_to_vector(unit).alias("features"))
+    training = known.select(array_to_vector("embedding").alias("vector"))
     if train_fraction < 1.0:
         training = training.sample(train_fraction, seed=seed)
-    training = materialize(training, "training")
+    unit = Normalizer(inputCol="vector", outputCol="features").transform(training)
+    training = materialize(unit.select("features"), "training")
     centres = np.array(KMeans(k=cells, seed=seed, maxIter=20).fit(training).clusterCenters())
     if centres.nbytes > MAX_CENTRE_BYTES:
         raise ValueError("too many cells: the centres are kept by every task")

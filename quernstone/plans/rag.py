@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.operators import answering, bm25, chunking, embedding, evaluation, prompting, search
+from quernstone.operators.joins import placed_by
 from quernstone.sources.scratch import materialize
 
 
@@ -31,7 +32,9 @@ def build_vectors(
 ):
     """The fitted text model and the vector index of a chunk table."""
     model = embedding.fit_embedder(chunks, "page_content", dimensions)
-    vectors = embedding.embed(chunks.select("id", "page_content"), "page_content", model)
+    vectors = materialize(
+        embedding.embed(chunks.select("id", "page_content"), "page_content", model), "embedded"
+    )
     return model, search.build_index(vectors, cells=cells, path=path)
 
 
@@ -63,7 +66,7 @@ def answer_questions(
     path: str | None = None,
 ) -> DataFrame:
     """Retrieve, fill the prompt and answer with the extractive reader; written once."""
-    asked = questions.select("qid", "questions")
+    asked = placed_by(questions.select("qid", "questions"), "qid")
     prompts = prompting.stuff_prompt(retrieve(asked, index, k), template)
     weighted = prompts.join(bm25.question_idf(index, asked), "qid")
     return materialize(answering.answer_extractive(weighted), "answers", path)

@@ -69,28 +69,27 @@ def eval_set(
 def turn_pairs(conversations: DataFrame) -> DataFrame:
     """Each user turn with the assistant turn that directly follows it, as an evaluation set.
 
-    The next turn is found inside blocks of turn numbers; only one row per block is ordered over
-    a whole conversation, so a conversation that holds much of the table does not end up in one
-    sort.
+    The next turn is found inside blocks of turn numbers. Only the first rows of later blocks are
+    ordered over a whole conversation, so a conversation that holds much of the table does not
+    end up in one sort.
     """
-    turns = conversations.select(
-        "conv_id",
-        "turn",
-        "role",
-        "text",
-        F.floor(F.col("turn") / TURNS_PER_BLOCK).alias("block"),
+    turns = conversations.select("conv_id", "turn", "role", "text").withColumn(
+        "block", F.floor(F.col("turn") / TURNS_PER_BLOCK)
     )
     in_block = Window.partitionBy("conv_id", "block").orderBy("turn")
-    following = F.struct("role", "text")
-    paired = turns.withColumn("next", F.lead(following).over(in_block))
-    heads = turns.groupBy("conv_id", "block").agg(
-        F.min(F.struct("turn", "role", "text")).alias("head")
-    )
+    paired = turns.withColumn("next", F.lead(F.struct("role", "text")).over(in_block))
     across = Window.partitionBy("conv_id").orderBy("block")
-    # The first turn of the following block answers the last turn of this one.
-    heads = heads.select(
-        "conv_id", "block", F.lead(F.struct("head.role", "head.text")).over(across).alias("after")
-    ).where("after is not null")
+    # The first turn of a later block follows the last turn of the block before it.
+    heads = (
+        turns.where(F.col("turn") >= TURNS_PER_BLOCK)
+        .groupBy("conv_id", "block")
+        .agg(F.min(F.struct("turn", "role", "text")).alias("head"))
+        .select(
+            "conv_id",
+            F.coalesce(F.lag("block").over(across), F.lit(0)).alias("block"),
+            F.struct("head.role", "head.text").alias("after"),
+        )
+    )
     answer = F.coalesce("next", "after")
     return (
         paired.where("role = 'user'")
