@@ -170,16 +170,17 @@ def bm25_search(
         raise ValueError(f"k must be between 1 and {KEPT_COPIES}")
     asked = materialize(question_terms(questions), "asked")
     queries = materialize(term_weights(index, asked), "bm25_queries")
-    size = queries.agg(
-        F.sum(F.aggregate("q_weights", F.lit(0).cast("long"), lambda s, w: s + F.length(w["term"]) + 16))
-    ).first()[0]
+    term_bytes = F.aggregate(
+        "q_weights", F.lit(0).cast("long"), lambda s, w: s + F.octet_length(w["term"]) + 16
+    )
+    rows, size = queries.agg(F.count("*"), F.coalesce(F.sum(term_bytes), F.lit(0))).first()
     found = materialize(
         topk.block_topk(
             queries,
             index.texts.select(F.col("rep").alias("item"), "tokens", "n_tokens"),
             bm25_kernel(index.k1, index.b, index.avg_tokens),
             k,
-            query_bytes=size or 0,
+            query_size=(rows, size),
             floor=0.0,
             block_rows=block_rows,
             broadcast_bytes=broadcast_bytes,

@@ -64,13 +64,14 @@ def knn_exact(
     """``qid, rank, id, score``: the ``k`` most similar of ``vectors(id, embedding)`` for each of
     ``queries(qid, embedding)``."""
     asked = _shaped(queries, "qid", "qkey")
-    size = asked.agg(F.sum(F.size("embedding").cast("long") * 4)).first()[0] or 0
+    vector_bytes = F.sum(F.size("embedding").cast("long") * 4)
+    rows, size = asked.agg(F.count("*"), F.coalesce(vector_bytes, F.lit(0))).first()
     return topk.block_topk(
         asked,
         _shaped(vectors, "id", "item"),
         cosine_kernel,
         k,
-        query_bytes=size,
+        query_size=(rows, size),
         block_rows=block_rows,
         broadcast_bytes=broadcast_bytes,
     ).select(F.col("qkey").alias("qid"), "rank", F.col("item").alias("id"), "score")
@@ -136,33 +137,30 @@ def _distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 def probes(index: VectorIndex, queries: DataFrame) -> DataFrame:
-    """``qid, embedding, place, cell, gap``: all cells per query from near to far, with the least
-    distance any of their vectors can have."""
+    """``qid, embedding, cells``: per query its cells from near to far, each with the least
+    distance any of its vectors can have (``gap``) and their number (``n``)."""
     centres = index.centres
-    radius = np.full(len(centres), -1.0)
-    for row in index.cells.select("cell", "radius").collect():  # one row per cell
-        radius[row["cell"]] = row["radius"]
+    radius, size = np.zeros(len(centres)), np.zeros(len(centres), dtype=np.int64)
+    for row in index.cells.collect():  # one row per cell
+        radius[row["cell"]], size[row["cell"]] = row["radius"], row["n"]
 
-    @F.pandas_udf("array<struct<cell:int,gap:double>>")
+    @F.pandas_udf("array<struct<cell:int,gap:double,n:long>>")
     def order(embeddings: pd.Series) -> pd.Series:
         away = _distances(_unit(np.stack(embeddings).astype(np.float64)), centres)
-        ranked = np.argsort(away, axis=1, kind="stable")
+        gaps = np.maximum(0.0, away - radius)
         return pd.Series(
             [
                 [
-                    {"cell": int(c), "gap": float(max(0.0, row[c] - radius[c]))}
+                    {"cell": int(c), "gap": float(gap[c]), "n": int(size[c])}
                     for c in places
-                    if radius[c] >= 0
+                    if size[c]
                 ]
-                for row, places in zip(away, ranked)
+                for gap, places in zip(gaps, np.argsort(away, axis=1, kind="stable"))
             ]
         )
 
-    return (
-        queries.where("embedding is not null")
-        .select("qid", "embedding", F.posexplode(order("embedding")).alias("place", "at"))
-        .select("qid", "embedding", "place", "at.cell", "at.gap")
-    )
+    known = queries.where("embedding is not null")
+    return known.select("qid", "embedding", order("embedding").alias("cells"))
 
 
 def knn_cells(
@@ -170,44 +168,43 @@ def knn_cells(
 ) -> DataFrame:
     """``qid, rank, id, score, pairs``: search by cells. ``pairs`` is the number of vectors that
     were scored for the query."""
-    ordered = materialize(probes(index, queries), "probes").join(
-        index.cells.select("cell", "n"), "cell"
-    )
+    ordered = materialize(probes(index, queries), "probes")
 
-    def within(chosen: DataFrame) -> DataFrame:
+    def within(visits: DataFrame) -> DataFrame:
+        """Search the listed cells only; a query is repeated once per cell it visits."""
+        visit = visits.select(F.col("qid").alias("qkey"), "embedding", F.explode("cells").alias("at"))
         return topk.block_topk(
-            chosen.select(F.col("qid").alias("qkey"), "embedding", "cell"),
+            visit.select("qkey", "embedding", "at.cell"),
             index.vectors.select(F.col("id").alias("item"), "embedding", "cell"),
             cosine_kernel,
             k,
-            query_bytes=0,
+            query_size=(0, 0),
             cell="cell",
         )
 
-    near = ordered.where(F.col("place") < nprobe)
+    near = ordered.withColumn("cells", F.slice("cells", 1, nprobe))
     found = materialize(within(near), "near")
-    scored = near.groupBy("qid").agg(F.sum("n").alias("pairs"))
+    visited = near.select("qid", "cells")
     if exact:
         kth = found.where(F.col("rank") == k).select(
             F.col("qkey").alias("qid"),
             # distance of unit vectors at the k-th score
             (F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("score"))) + MARGIN).alias("reach"),
         )
+        beyond = F.filter(
+            F.slice("cells", nprobe + 1, len(index.centres)),
+            lambda c: F.col("reach").isNull() | (c["gap"] <= F.col("reach")),
+        )
         far = materialize(
-            ordered.where(F.col("place") >= nprobe)
-            .join(kth, "qid", "left")
-            .where("reach is null or gap <= reach or not (gap > 0)"),
+            ordered.join(kth, "qid", "left").select("qid", "embedding", beyond.alias("cells")),
             "far",
         )
         found = topk.best_per_query(
             found.drop("rank").unionByName(within(far).drop("rank")), k
         )
-        scored = (
-            near.select("qid", "n")
-            .unionByName(far.select("qid", "n"))
-            .groupBy("qid")
-            .agg(F.sum("n").alias("pairs"))
-        )
+        visited = visited.unionByName(far.select("qid", "cells"))
+    sizes = F.aggregate("cells", F.lit(0).cast("long"), lambda s, c: s + c["n"])
+    scored = visited.groupBy("qid").agg(F.sum(sizes).alias("pairs"))
     return found.select(
         F.col("qkey").alias("qid"), "rank", F.col("item").alias("id"), "score"
     ).join(scored, "qid")

@@ -118,7 +118,8 @@ def _paired_topk(
     block_rows: int,
 ) -> DataFrame:
     at = F.col(cell) if cell else F.lit(0)
-    grid = (
+    # One row per cell, and each task of a cell search holds all centres anyway.
+    grid = F.broadcast(
         _blocks(items, at, block_rows)
         .withColumnRenamed("blocks", "item_blocks")
         .join(_blocks(queries, at, block_rows).withColumnRenamed("blocks", "query_blocks"), "cell")
@@ -159,7 +160,7 @@ def block_topk(
     items: DataFrame,
     kernel: Kernel,
     k: int,
-    query_bytes: int,
+    query_size: tuple[int, int],
     floor: float | None = None,
     cell: str | None = None,
     block_rows: int = BLOCK_ROWS,
@@ -169,11 +170,12 @@ def block_topk(
 
     ``queries`` has a unique ``qkey`` (unique per cell with ``cell``), ``items`` a unique long
     ``item``. Only items scoring above ``floor`` count. With ``cell`` a query only meets the items
-    of its own cells. ``query_bytes`` is the measured size of the queries.
+    of its own cells. ``query_size`` is the measured number of queries and of their bytes.
     """
     if k < 1:
         raise ValueError("k must be positive")
-    if cell is None and query_bytes <= broadcast_bytes:
+    rows, size = query_size
+    if cell is None and rows <= block_rows and size <= broadcast_bytes:
         scored = _broadcast_topk(queries, items, kernel, k, floor)
     else:
         scored = _paired_topk(queries, items, kernel, k, floor, cell, block_rows)

@@ -45,17 +45,12 @@ def test_save_table_keeps_columns(spark, tmp_path):
     assert plain.columns == ["id", "b"]
 
 
-def test_scratch_folder_is_the_named_one(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        written = scratch.materialize(spark.range(3).toDF("x"), "kept")
-        assert written.inputFiles()[0].startswith(f"file://{tmp_path}/kept-")
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+def test_scratch_folder_is_the_named_one(spark):
+    root = scratch.scratch_root(spark)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert named is None or root == named.rstrip("/")
+    written = scratch.materialize(spark.range(3).toDF("x"), "kept")
+    assert f"{root}/kept-" in written.inputFiles()[0] and written.count() == 3
 
 
 def test_applying_the_change_feed_gives_the_new_table(spark):
@@ -101,3 +96,22 @@ def test_sync(spark, tmp_path, max_files):
     assert state() == [(1, "xx"), (3, "dd")]
     sync.compact(spark, target, str(tmp_path / "fresh"))
     assert state(str(tmp_path / "fresh")) == [(1, "xx"), (3, "dd")]
+
+
+def test_plans_prune_and_limit_early(spark, small):
+    """Columns and filters reach the scan, and groups are cut to their best rows before a shuffle."""
+    from quernstone.operators import bm25
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    docs = tables.read_table(spark, small, "documents")
+    chunks = plan(chunking.chunk(docs.where("lang = 'en'"), mode="window"))
+    assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in chunks
+    assert "EqualTo(lang,en)" in chunks and "Exchange" not in chunks
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("page_content"))
+    assert "WindowGroupLimit" in plan(bm25.distinct_texts(texts))
+    from quernstone.operators import scoring
+
+    pairs = texts.select("id", F.col("page_content").alias("result"), F.col("page_content").alias("ground_truth"))
+    assert plan(scoring.overlap_scores(pairs, key="id")).count("Exchange") == 1
