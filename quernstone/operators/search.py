@@ -172,10 +172,15 @@ def knn_cells(
 
     def within(visits: DataFrame) -> DataFrame:
         """Search the listed cells only; a query is repeated once per cell it visits."""
-        visit = visits.select(F.col("qid").alias("qkey"), "embedding", F.explode("cells").alias("at"))
+        visit = visits.select(
+            F.col("qid").alias("qkey"), "embedding", F.explode("cells").alias("at")
+        ).select("qkey", "embedding", "at.cell")
+        # at most one value per cell; folders of other cells are not read
+        wanted = [row["cell"] for row in visit.select("cell").distinct().collect()]
+        stored = index.vectors.where(F.col("cell").isin(wanted))
         return topk.block_topk(
-            visit.select("qkey", "embedding", "at.cell"),
-            index.vectors.select(F.col("id").alias("item"), "embedding", "cell"),
+            visit,
+            stored.select(F.col("id").alias("item"), "embedding", "cell"),
             cosine_kernel,
             k,
             query_size=(0, 0),

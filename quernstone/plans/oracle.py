@@ -145,10 +145,13 @@ over{n} AS (
 
 
 def _readability(x: str) -> str:
-    return f"""len({_tok(x)}) AS n_words,
-  len(list_filter({_sentences(x)}, lambda s: {_letters('s')} > 0)) AS n_sentences,
-  len(regexp_extract_all(lower({x}), '{tx.VOWEL_GROUP}')) AS n_syllables,
-  {_letters(x)} AS n_letters"""
+    counts = {
+        "n_words": f"len({_tok(x)})",
+        "n_sentences": f"len(list_filter({_sentences(x)}, lambda s: {_letters('s')} > 0))",
+        "n_syllables": f"len(regexp_extract_all(lower({x}), '{tx.VOWEL_GROUP}'))",
+        "n_letters": _letters(x),
+    }
+    return ", ".join(f"CAST({value} AS INTEGER) AS {name}" for name, value in counts.items())
 
 
 _GRADES = """
@@ -445,8 +448,9 @@ def oracle() -> dict[str, str]:
             FROM (SELECT DISTINCT doc_id FROM documents)""",
         "knn_exact": _knn(),
         "knn_cells_exact": _knn(),
-        "describe_index": f"""SELECT count(*) AS row_count, min(len(embedding)) AS min_dimensions,
-            max(len(embedding)) AS max_dimensions, count(*) - count(vec_id) AS null_keys,
+        "describe_index": f"""SELECT count(*) AS row_count,
+            CAST(min(len(embedding)) AS INTEGER) AS min_dimensions,
+            CAST(max(len(embedding)) AS INTEGER) AS max_dimensions, count(*) - count(vec_id) AS null_keys,
             count(vec_id) - count(DISTINCT vec_id) AS repeated_keys,
             CAST({catalog.CELLS} AS BIGINT) AS cells
             FROM embeddings""",

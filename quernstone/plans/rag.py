@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quernstone.operators import answering, bm25, chunking, embedding, evaluation, prompting, search
 from quernstone.operators.joins import placed_by
