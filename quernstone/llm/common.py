@@ -78,3 +78,33 @@ def has_letter(text: str) -> bool:
 
 
 _LETTER = re.compile("[A-Za-z]")
+
+
+def join_by_counts(left: DataFrame, right: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """Inner join of ``left`` with a table of one row per key that knows the key's rows ``n`` in ``left``.
+
+    Keys with over a thousandth of the rows are fewer than 1000, so they are broadcast and their
+    rows stay where they are; the rest has no hot key and is joined plainly.
+    """
+    hot, cold = split_hot(right, n, total)
+    hot = materialize(hot, "hot-keys")
+    with_hot = left.join(F.broadcast(hot), key)
+    without = left.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return with_hot.unionByName(without.join(cold, key))
+
+
+def salted_join(pairs: DataFrame, table: DataFrame, key: str, other: str) -> DataFrame:
+    """Inner join of ``pairs`` with wide rows of ``table`` (one per key), hot keys dealt to many tasks.
+
+    A key with over a thousandth of the pairs (fewer than 1000 keys) is salted by the other side of
+    the pair; its wide row is repeated once per salt, at most once per thousandth of the pairs.
+    """
+    total = pairs.count()
+    step = max(64, total // 1000)
+    hot = pairs.groupBy(key).agg(F.count("*").alias("__n")).filter(F.col("__n") > step)
+    hot = materialize(hot.select(key, F.ceil(F.col("__n") / step).cast("int").alias("__salts")), "hot-keys")
+    left = pairs.join(F.broadcast(hot), key, "left")
+    left = left.withColumn("__salt", F.pmod(F.xxhash64(other), F.coalesce("__salts", F.lit(1))).cast("int")).drop("__salts")
+    right = table.join(F.broadcast(hot), key, "left")
+    right = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))).drop("__salts")
+    return left.join(right, [key, "__salt"]).drop("__salt")

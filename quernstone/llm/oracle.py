@@ -85,4 +85,48 @@ SELECT doc_id, bytes, s.depth AS depth,
 FROM paged
 """
 
-ORACLE = {"op1_quality_rules": OP1, "op2_sharding": OP2}
+OP7 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, text FROM documents
+), split AS (
+  SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line,
+    generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM d WHERE text <> ''
+), lines AS (
+  SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h
+  FROM split
+), beside AS (
+  SELECT *, lead(line) OVER o AS next_line, lead(w) OVER o AS next_w, coalesce(lag(h) OVER o, 0) AS previous
+  FROM lines WINDOW o AS (PARTITION BY r ORDER BY i)
+), ends AS (
+  SELECT *, next_line IS NULL OR w >= 50 OR next_w >= 50
+    OR (line <> next_line AND ((previous % 2147483647) * 31 + h) % 2147483647 % 3 = 0) AS ends
+  FROM beside
+), runs AS (
+  SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run
+  FROM ends
+), placed AS (
+  SELECT *, (row_number() OVER (PARTITION BY r, run ORDER BY i) - 1) // 16 AS part FROM runs
+), chunks AS (
+  SELECT r, doc_id, run, part, count(*) AS n, sum(w) AS words, string_agg(line, chr(10) ORDER BY i) AS chunk, min(i) AS first_line
+  FROM placed GROUP BY r, doc_id, run, part
+), able AS (
+  SELECT *, words >= 50 OR (n >= 2 AND words >= 10) AS able FROM chunks
+), judged AS (
+  SELECT *, able AND count(*) OVER (PARTITION BY able, chunk) > 1
+    AND NOT (doc_id IS NOT DISTINCT FROM min(doc_id) OVER (PARTITION BY able, chunk)
+             AND row_number() OVER (PARTITION BY able, r, chunk ORDER BY first_line) = 1) AS gone
+  FROM able
+), by_doc AS (
+  SELECT r, sum(n) AS n_lines, count(*) AS n_chunks, count(*) FILTER (WHERE gone) AS n_removed_chunks,
+    coalesce(sum(n) FILTER (WHERE gone), 0) AS n_removed_lines,
+    coalesce(string_agg(chunk, chr(10) ORDER BY first_line) FILTER (WHERE NOT gone), '') AS clean
+  FROM judged GROUP BY r
+)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_chunks, 0)::BIGINT AS n_chunks,
+  coalesce(n_removed_chunks, 0)::BIGINT AS n_removed_chunks, coalesce(n_removed_lines, 0)::BIGINT AS n_removed_lines,
+  length(coalesce(clean, text))::BIGINT AS clean_chars, md5(coalesce(clean, text)) AS clean_md5
+FROM d LEFT JOIN by_doc USING (r)
+"""
+
+ORACLE = {"op1_quality_rules": OP1, "op2_sharding": OP2, "op7_line_dedup": OP7}

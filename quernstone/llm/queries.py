@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import quality_rules, sharding, token_counts
-from quernstone.llm.common import documents
+from quernstone.llm import (
+    decontamination,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    token_counts,
+)
+from quernstone.llm.common import documents, fold, read_table
 
 SHARD_BYTES = 1 << 20
 END_TOKEN = 2
@@ -31,6 +40,35 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(documents(spark, sf_dir), SHARD_BYTES).withColumnRenamed("key", "doc_id")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), read_table(spark, sf_dir, "labels")
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = quality_classifier.train(quality_classifier.training_rows(docs, labels, ~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), quality_classifier.score_udf(model)("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), vocabulary(), CONTEXT, END_TOKEN)
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.remove_repeated(documents(spark, sf_dir))
+    counts = ("n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines")
+    clean = F.col("clean_text")
+    return cleaned.select("doc_id", *counts, F.char_length(clean).cast("long").alias("clean_chars"), F.md5(clean).alias("clean_md5"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and item found in it; a document without a row is clean."""
+    docs, items = documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark")
+    return decontamination.find_passages(docs, items).withColumn("contaminated", F.lit(True))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return token_counts.with_suffix_sums(token_counts.length_histogram(docs, vocabulary(), F.col("lang")))
@@ -39,5 +77,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
 }

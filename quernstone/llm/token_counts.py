@@ -22,8 +22,8 @@ BLOCK = 4096  # lengths per block of the two-level suffix sums
 
 def length_udf(vocabulary: str, end_tokens: int = 0):
     def run(texts: pa.Array) -> pa.Array:
-        count = encoder(vocabulary).count
-        return pa.array([count(t.as_py()) + end_tokens for t in texts], pa.int64())
+        ids = encoder(vocabulary).ids
+        return pa.array([len(ids(t.as_py())) + end_tokens for t in texts], pa.int64())
 
     run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, "long")

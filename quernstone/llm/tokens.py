@@ -1,91 +1,45 @@
-"""Token ids by a public byte-level vocabulary, with a bounded memory of words met before.
-
-A single blank between two characters that are no white space always begins a new pre-token of the
-byte-level pattern, whatever stands around it; so a text may be cut there and each part, taken with
-its blank, has the same ids wherever it occurs. Special tokens' strings are ordinary text.
-"""
+"""Token ids by a public byte-level vocabulary; special tokens' strings are ordinary text."""
 
 from __future__ import annotations
 
-import re
-from array import array
+import base64
+import os
 from functools import lru_cache
 
-KEPT = 400_000  # words remembered per worker; later words are encoded each time
-LONGEST = 64  # characters of a word that is remembered
-
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+import numpy as np
 
 
 class Encoder:
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
-        self._fast = _ranked(path)
-        self._ids: dict[str, bytes] = {}
-        self._counts: dict[str, int] = {}
-
-    def _plain(self, text: str) -> list[int]:
-        if self._fast is not None:
-            return self._fast.encode_ordinary(text)
-        return self._tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _walk(self, text: str, kept: dict, value) -> list:
-        """``value`` of the ids of each part."""
-        first, *rest = text.split(" ")
-        if first and not first[-1].isspace():
-            out = self._each(first, rest, kept, value, False)
-            if out is not None:
-                return out
-        first, *rest = _CUT.split(text)  # other white space touches a blank: cut only where none does
-        return self._each(first, rest, kept, value, True)
+    """Encodes by the tokenizer file, or by the same vocabulary as ranks where that file lies beside it.
 
-    def _each(self, first: str, rest: list[str], kept: dict, value, checked: bool) -> list | None:
-        out = [value(self._plain(first))]
-        for part in rest:
-            known = kept.get(part)
-            if known is None:
-                clean = part and not part[0].isspace() and not part[-1].isspace()
-                if not clean and not checked:
-                    return None
-                known = value(self._plain(" " + part))
-                if clean and len(kept) < KEPT and len(part) <= LONGEST:
-                    kept[part] = known
-            out.append(known)
-        return out
+    The rank file gives equal ids several times as fast.
+    """
 
-    def ids(self, text: str | None) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        return b"".join(self._walk(text, self._ids, _as_bytes)) if text else b""
-
-    def count(self, text: str | None) -> int:
-        """The number of ids."""
-        return sum(self._walk(text, self._counts, len)) if text else 0
+    def __init__(self, path: str):
+        beside = os.path.splitext(path)[0] + ".tiktoken"
+        self._ranked = _ranked(beside) if os.path.exists(beside) else None
+        if self._ranked is None:
+            from tokenizers import Tokenizer
 
+            self._tokenizer = Tokenizer.from_file(path)
+            self._tokenizer.encode_special_tokens = True
 
-def _as_bytes(ids: list[int]) -> bytes:
-    return array("I", ids).tobytes()
+    def ids(self, text: str | None) -> np.ndarray:
+        """Ids as unsigned 32-bit numbers."""
+        if not text:
+            return np.empty(0, np.uint32)
+        if self._ranked is not None:
+            return self._ranked.encode_to_numpy(text, disallowed_special=())
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def _ranked(path: str):
-    """The same vocabulary as ranks, where its file lies beside: equal ids, several times as fast."""
-    import base64
-    import os
-
-    import tiktoken
-
-    beside = os.path.splitext(path)[0] + ".tiktoken"
-    if not os.path.exists(beside):
-        return None
     import public_tokenizers
+    import tiktoken
 
-    with open(beside, "rb") as lines:
+    with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding(
-        os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-    )
+    return tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 @lru_cache(maxsize=4)
