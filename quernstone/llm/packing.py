@@ -7,7 +7,7 @@ rows and is all the driver sees.
 - A configuration says how many pieces of each length share a sequence; the linear program covers
   the histogram with as few as possible. Multiplicative weights solve it: a length's price starts at
   its size and falls as its demand is covered; the most valuable configuration at these prices comes
-  from a knapsack by dynamic programming and takes up to ``SHARE`` of the demand it can cover.
+  from a knapsack by dynamic programming and takes a share of the demand it can cover.
 - The solution is rounded to whole sequences without exceeding the demand. What is left is placed,
   longest first, where it leaves the least room; bins are handled in groups of equal content, so the
   work depends on the number of lengths and not on the number of pieces.
@@ -32,9 +32,9 @@ from quernstone.llm.common import materialize
 from quernstone.llm.tokens import encoder
 
 ROUNDS = 1500  # of multiplicative weights at most
-SHARE = 0.7
-RATE = 0.3
-TILT = 0.05  # by which a full-length piece is dearer per token than a tiny one: long pieces are hard to place
+SHARES = (0.05, 0.7)  # of the coverable demand a round takes: the less, the fewer lengths there are
+RATE = 1.0
+TILT = 0.1  # by which a full-length piece is dearer per token than a tiny one: long pieces are hard to place
 COVERED = 0.995  # of the tokens: enough to stop
 PER_BLOCK = 50_000  # pieces of a block of ranks, about
 
@@ -99,6 +99,7 @@ def configurations(histogram: dict[int, int], capacity: int) -> list[tuple[dict[
         demand[length] = n
     sizes = np.arange(capacity + 1)
     left, used = demand.copy(), {}
+    share = min(SHARES[1], max(SHARES[0], len(histogram) / ROUNDS))
     for _ in range(ROUNDS):
         if (left * sizes).sum() <= (1 - COVERED) * (demand * sizes).sum():
             break
@@ -109,7 +110,7 @@ def configurations(histogram: dict[int, int], capacity: int) -> list[tuple[dict[
         if not found:
             break
         most = min(left[length] / n for length, n in found.items())
-        times = most if most <= 1 else max(1.0, SHARE * most)
+        times = most if most <= 1 else max(1.0, share * most)
         for length, n in found.items():
             left[length] -= times * n
         key = tuple(sorted(found.items()))

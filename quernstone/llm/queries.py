@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from quernstone.llm import (
     decontamination,
+    language_id,
+    language_model,
     line_dedup,
     near_dedup,
     packing,
@@ -48,6 +50,14 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = language_id.train(language_id.training_rows(docs, ~held_out))
+    labelled = docs.select("doc_id", held_out.alias("held_out"), language_id.predict_udf(model)("text").alias("p"))
+    return labelled.select("doc_id", "held_out", "p.*")
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
@@ -74,13 +84,23 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_suffix_sums(token_counts.length_histogram(docs, vocabulary(), F.col("lang")))
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = F.coalesce(fold(F.col("doc_id"), 7) != 2, F.lit(False))
+    scored = language_model.score_documents(documents(spark, sf_dir), learn)
+    held_out = F.coalesce(fold(F.col("doc_id"), 7) == 2, F.lit(False))
+    columns = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", held_out.alias("held_out"), *columns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_language_id": op4_language_id,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
+    "op10_language_model": op10_language_model,
 }
