@@ -211,3 +211,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     linked = linked.select("doc_id", "n_shingles", "component_id")
     alone = sets.filter("cls is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionAll(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One document of every component, and all rows without an id; columns as in ``docs``.
+
+    Rows equal in id and text become one; different texts under one kept id all stay.
+    """
+    gone = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    gone = materialize(gone, "near-copies")
+    named = docs.filter("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    return named.select(docs.columns).unionAll(docs.filter("doc_id is null"))
