@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as tx
@@ -17,20 +17,19 @@ from quernstone.sources.scratch import materialize, scratch_path
 
 K1 = 1.2
 B = 0.75
-# Smallest ids kept per group of equal texts. No search for up to this many results can return
-# another one, and a search for more is refused.
-KEPT_COPIES = 64
 
 
 @dataclass
 class Bm25Index:
     """Written tables of an index.
 
-    texts: rep, ids, copies, n_tokens, tokens, page_content (one row per distinct chunk text)
+    texts: rep, copies, n_tokens, tokens, page_content (one row per distinct chunk text)
+    copies: rep, id (one row per chunk)
     terms: term, df, idf
     """
 
     texts: DataFrame
+    copies: DataFrame
     terms: DataFrame
     n_chunks: int
     avg_tokens: float
@@ -43,18 +42,24 @@ def idf(n_chunks: float, df: Column) -> Column:
 
 
 def distinct_texts(chunks: DataFrame) -> DataFrame:
-    """One row per distinct text with its smallest ids; counts are combined before the shuffle."""
-    keyed = chunks.select("id", F.md5("page_content").alias("text_key"))
-    copies = keyed.groupBy("text_key").agg(F.count("*").alias("copies"))
-    by_text = Window.partitionBy("text_key").orderBy("id")
-    kept = (
-        keyed.withColumn("nth", F.row_number().over(by_text))
-        .where(F.col("nth") <= KEPT_COPIES)
-        .groupBy("text_key")
+    """One row per distinct text, named by its smallest id; texts are combined before the shuffle."""
+    return (
+        chunks.groupBy("page_content")
+        .agg(F.count("*").alias("copies"), F.min("id").alias("rep"))
+        .select("rep", "copies", "page_content")
+    )
+
+
+def _smallest_copies(index: Bm25Index, reps: DataFrame, k: int) -> DataFrame:
+    """``rep, ids``: the ``k`` smallest ids of each of the distinct ``reps``, cut before the shuffle."""
+    by_text = Window.partitionBy("rep").orderBy("id")
+    return (
+        salted_join(index.copies, reps, "rep")
+        .withColumn("nth", F.row_number().over(by_text))
+        .where(F.col("nth") <= k)
+        .groupBy("rep")
         .agg(F.array_sort(F.collect_list("id")).alias("ids"))
     )
-    reps = copies.join(kept, "text_key").select(F.col("ids")[0].alias("rep"), "copies", "ids")
-    return reps.join(chunks.select(F.col("id").alias("rep"), "page_content"), "rep")
 
 
 def build_bm25(
@@ -70,6 +75,11 @@ def build_bm25(
         "texts",
         f"{path}/texts",
     )
+    keyed = materialize(known.select("id", F.md5("page_content").alias("text_key")), "keyed")
+    reps = texts.select("rep", F.md5("page_content").alias("text_key"))
+    copies = materialize(
+        salted_join(keyed, reps, "text_key").select("rep", "id"), "copies", f"{path}/copies"
+    )
     totals = texts.agg(
         F.sum("copies").alias("n"), F.sum(F.col("copies") * F.col("n_tokens")).alias("tokens")
     ).first()
@@ -83,7 +93,20 @@ def build_bm25(
         "terms",
         f"{path}/terms",
     )
-    return Bm25Index(texts, terms, n_chunks, avg_tokens, k1, b)
+    totals_row = [(n_chunks, float(avg_tokens), k1, b)]
+    materialize(
+        chunks.sparkSession.createDataFrame(totals_row, "n_chunks long, avg_tokens double, k1 double, b double"),
+        "totals",
+        f"{path}/totals",
+    )
+    return Bm25Index(texts, copies, terms, n_chunks, avg_tokens, k1, b)
+
+
+def open_bm25(spark: SparkSession, path: str) -> Bm25Index:
+    """The index that ``build_bm25`` wrote to ``path``, in this or another session."""
+    totals = spark.read.parquet(f"{path}/totals").first()
+    texts, copies, terms = (spark.read.parquet(f"{path}/{name}") for name in ("texts", "copies", "terms"))
+    return Bm25Index(texts, copies, terms, *totals)
 
 
 def question_terms(questions: DataFrame) -> DataFrame:
@@ -166,8 +189,6 @@ def bm25_search(
     Questions with equal terms are searched once, and equal chunk texts are scored once. Chunks
     without any question term are no hits. Ties go to the smaller id.
     """
-    if not 1 <= k <= KEPT_COPIES:
-        raise ValueError(f"k must be between 1 and {KEPT_COPIES}")
     asked = materialize(question_terms(questions), "asked")
     queries = materialize(term_weights(index, asked), "bm25_queries")
     term_bytes = F.aggregate(
@@ -187,10 +208,12 @@ def bm25_search(
         ).select("qkey", F.col("item").alias("rep"), "score"),
         "bm25_found",
     )
+    ids = _smallest_copies(index, found.select("rep").distinct(), k)
+    texts = ids.join(index.texts.select("rep", "page_content"), "rep")
     ranked = Window.partitionBy("qkey").orderBy(F.desc("score"), "id")
     hits = (
-        salted_join(found, index.texts.select("rep", "ids", "page_content"), "rep")
-        .select("qkey", "score", "page_content", F.explode(F.slice("ids", 1, k)).alias("id"))
+        salted_join(found, texts, "rep")
+        .select("qkey", "score", "page_content", F.explode("ids").alias("id"))
         .withColumn("rank", F.row_number().over(ranked))
         .where(F.col("rank") <= k)
     )

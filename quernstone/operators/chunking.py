@@ -7,10 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as tx
+from quernstone.functions.keys import pair_key
 
 SIZE = 512
 OVERLAP = 32
-IDS_PER_DOC = 1_000_000
 
 
 def window_pieces(text: Column, size: int, overlap: int) -> Column:
@@ -118,10 +118,7 @@ def with_chunk_id(chunks: DataFrame, key: str = "doc_id", numeric: bool = True)
     """Add the long primary key ``id``, the same under any partitioning."""
     if not numeric:
         return chunks.withColumn("id", F.xxhash64(key, "chunk_no"))
-    fits = F.col("chunk_no") < IDS_PER_DOC
-    made = F.col(key) * IDS_PER_DOC + F.col("chunk_no")
-    too_many = F.raise_error(F.lit("document has too many chunks for its key range"))
-    return chunks.withColumn("id", F.when(fits, made).otherwise(too_many.cast("long")))
+    return chunks.withColumn("id", pair_key(key, "chunk_no"))
 
 
 def chunk_table(chunks: DataFrame, kind: str = "Document") -> DataFrame:

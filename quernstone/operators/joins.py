@@ -9,17 +9,19 @@ from pyspark.sql import functions as F
 HOT_ROWS = 100_000
 # A key is hot when it holds more than 1/HOT_SHARE of the rows, so fewer than HOT_SHARE keys are.
 HOT_SHARE = 1000
-SALTS = 32
 
 
-def hot_keys(facts: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
-    """Keys with more than 1/HOT_SHARE of the rows. There are fewer than HOT_SHARE of them."""
+def hot_keys(facts: DataFrame, key: str, min_rows: int = HOT_ROWS) -> dict:
+    """Keys with more than 1/HOT_SHARE of the rows, with the number of such shares each holds.
+
+    There are fewer than HOT_SHARE of them.
+    """
     total = facts.count()
     if total <= min_rows:
-        return []
+        return {}
     bar = max(min_rows, total // HOT_SHARE)
     counts = facts.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > bar)
-    return [row[0] for row in counts.select(key).collect()]
+    return {row[0]: -(-row[1] // bar) for row in counts.select(key, "count").collect()}
 
 
 def salted_join(
@@ -27,22 +29,20 @@ def salted_join(
     lookup: DataFrame,
     key: str,
     how: str = "inner",
-    salts: int = SALTS,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi-join a written table with a lookup of few rows per key.
 
-    Rows of hot keys are spread over ``salts`` partitions, where the lookup rows of these keys
-    are repeated; all other keys join plainly.
+    Rows of a hot key are spread over as many salts as it holds hot shares, and its lookup rows are
+    repeated for each; all other keys join plainly.
     """
     hot = hot_keys(facts, key, min_rows)
     if not hot:
         return facts.join(lookup, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    spread = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
-    left = facts.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = lookup.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
+    pairs = [part for name, n in hot.items() for part in (F.lit(name), F.lit(n))]
+    salts = F.coalesce(F.element_at(F.create_map(*pairs), F.col(key)), F.lit(1))
+    left = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), salts).cast("int"))
+    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), (salts - 1).cast("int"))))
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 

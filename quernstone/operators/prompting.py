@@ -18,7 +18,6 @@ Question: {question}
 
 Answer:"""
 SEPARATOR = "\n\n"
-TURNS_PER_PART = 256
 
 
 def source_documents(hits: DataFrame) -> DataFrame:
@@ -82,17 +81,17 @@ def render_chat(
     add_generation_prompt: bool = True,
     turn_start: str = "<|{role}|>\n",
     turn_end: str = "<|end|>\n",
-    turns_per_part: int = TURNS_PER_PART,
+    turns_per_part: int | None = None,
 ) -> DataFrame:
     """``conv_id, part, n_turns, rendered``: conversations as model input, turns in order.
 
-    A conversation of more than ``turns_per_part`` turn numbers comes in several parts, whose
-    texts follow one another; so no task holds more turns of one conversation than that. The
-    generation prompt closes the last part.
+    Each conversation is one model input in one row. With ``turns_per_part`` a conversation of more
+    turn numbers comes in several parts, whose texts follow one another; so no task holds more turns
+    of one conversation than that. The generation prompt closes the last part.
     """
     before, after = turn_start.split("{role}")
     turn = F.concat(F.lit(before), "role", F.lit(after), F.coalesce("text", F.lit("")), F.lit(turn_end))
-    part = F.floor(F.col("turn") / turns_per_part)
+    part = F.floor(F.col("turn") / turns_per_part) if turns_per_part else F.lit(0).cast("long")
     parts = (
         conversations.select("conv_id", "turn", part.alias("part"), turn.alias("shown"))
         .groupBy("conv_id", "part")

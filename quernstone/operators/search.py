@@ -9,16 +9,18 @@ should be reported together with the share of pairs scored.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.operators import topk
@@ -26,12 +28,23 @@ from quernstone.operators.joins import salted_join
 from quernstone.sources.scratch import materialize, scratch_path
 
 MAX_CENTRE_BYTES = 64 << 20
-MARGIN = 1e-5
+# Half a unit of the last place scores are rounded to, and what double arithmetic may lose.
+HALF_PLACE = 0.5 * 10.0**-topk.PLACES
+EPSILON = 1e-9
+MARGIN = 1e-6
+TRAIN_PER_CELL = 256
+# Queries looked at, and the share of vectors above which visiting cells cannot pay off.
+LOOKED_AT = 256
+TOO_MUCH = 0.5
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     vectors = column.combine_chunks()
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    if not len(vectors):
+        return np.zeros((0, 0))
+    if np.unique(pc.list_value_length(vectors).to_numpy(zero_copy_only=False)).size > 1:
+        raise ValueError("vectors of unequal length")
     return _unit(flat.reshape(len(vectors), -1))
 
 
@@ -45,6 +58,8 @@ def cosine_kernel(queries: pa.Table):
 
     def prepared(items: pa.Table) -> topk.Scores:
         vectors = _matrix(items.column("embedding")).T
+        if asked.size and vectors.size and asked.shape[1] != len(vectors):
+            raise ValueError("vectors of unequal length")
         return lambda lo, hi: asked[lo:hi] @ vectors
 
     return prepared
@@ -88,20 +103,24 @@ class VectorIndex:
 
 def build_index(
     vectors: DataFrame,
-    cells: int = 16,
+    cells: int | None = None,
     seed: int = 7,
-    train_fraction: float = 1.0,
     path: str | None = None,
 ) -> VectorIndex:
     """Index ``vectors(id, embedding)``; other columns are kept.
 
-    ``train_fraction`` of the rows place the centres; every row is assigned to a cell.
+    The number of cells defaults to the root of the number of vectors, as far as their centres fit
+    every task. About ``TRAIN_PER_CELL`` rows per cell, sampled, place the centres; every row is
+    assigned to a cell.
     """
     path = path or scratch_path(vectors.sparkSession, "vectors")
     known = vectors.where("embedding is not null")
+    rows, width = known.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
+    if cells is None:
+        cells = max(1, min(round(rows**0.5), MAX_CENTRE_BYTES // (8 * width)))
     training = known.select(array_to_vector("embedding").alias("vector"))
-    if train_fraction < 1.0:
-        training = training.sample(train_fraction, seed=seed)
+    if rows > TRAIN_PER_CELL * cells:
+        training = training.sample(TRAIN_PER_CELL * cells / rows, seed=seed)
     unit = Normalizer(inputCol="vector", outputCol="features").transform(training)
     training = materialize(unit.select("features"), "training")
     centres = np.array(KMeans(k=cells, seed=seed, maxIter=20).fit(training).clusterCenters())
@@ -118,6 +137,10 @@ def build_index(
         *vectors.columns, "_at.gap", "_at.cell"
     )
     # Rebalancing gathers small cells into few files and splits large ones.
+    placed = f"{path}/centres"
+    known.sparkSession.createDataFrame(
+        [(n, [float(x) for x in c]) for n, c in enumerate(centres)], "cell int, centre array<double>"
+    ).write.mode("overwrite").parquet(placed)
     target = f"{path}/vectors"
     assigned.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(target)
     stored = vectors.sparkSession.read.schema(assigned.schema).parquet(target)
@@ -129,6 +152,31 @@ def build_index(
     return VectorIndex(stored, sizes, centres)
 
 
+def open_index(spark: SparkSession, path: str) -> VectorIndex:
+    """The index that ``build_index`` wrote to ``path``, in this or another session."""
+    placed = spark.read.parquet(f"{path}/centres").orderBy("cell").collect()  # bounded by MAX_CENTRE_BYTES
+    return VectorIndex(
+        spark.read.parquet(f"{path}/vectors"),
+        spark.read.parquet(f"{path}/cells"),
+        np.array([row["centre"] for row in placed]),
+    )
+
+
+def build_if_absent(
+    spark: SparkSession, path: str, vectors: Callable[[], DataFrame], **how
+) -> VectorIndex:
+    """Open the index at ``path``, or build it there from ``vectors()`` if there is none.
+
+    The sizes of the cells are written last, so an index cut off while building counts as absent.
+    """
+    try:
+        return open_index(spark, path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    return build_index(vectors(), path=path, **how)
+
+
 def _distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     squared = (
         (points**2).sum(axis=1)[:, None] + (centres**2).sum(axis=1)[None, :] - 2 * points @ centres.T
@@ -136,39 +184,85 @@ def _distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0))
 
 
-def probes(index: VectorIndex, queries: DataFrame) -> DataFrame:
-    """``qid, embedding, cells``: per query its cells from near to far, each with the least
-    distance any of its vectors can have (``gap``) and their number (``n``)."""
-    centres = index.centres
-    radius, size = np.zeros(len(centres)), np.zeros(len(centres), dtype=np.int64)
+_VISITS = "array<struct<cell:int,n:long>>"
+
+
+def _cell_bounds(index: VectorIndex) -> tuple[np.ndarray, np.ndarray]:
+    """Radius and number of vectors per cell."""
+    radius, size = np.zeros(len(index.centres)), np.zeros(len(index.centres), dtype=np.int64)
     for row in index.cells.collect():  # one row per cell
         radius[row["cell"]], size[row["cell"]] = row["radius"], row["n"]
+    return radius, size
 
-    @F.pandas_udf("array<struct<cell:int,gap:double,n:long>>")
-    def order(embeddings: pd.Series) -> pd.Series:
-        away = _distances(_unit(np.stack(embeddings).astype(np.float64)), centres)
-        gaps = np.maximum(0.0, away - radius)
+
+def _ordered(embeddings: pd.Series, centres: np.ndarray, size: np.ndarray):
+    """Distances of the centres, and the cells with vectors from near to far, query by query."""
+    for embedding in embeddings:
+        away = _distances(_unit(np.asarray(embedding, dtype=np.float64)[None]), centres)[0]
+        order = np.argsort(away, kind="stable")
+        yield away, order[size[order] > 0]
+
+
+def probes(index: VectorIndex, queries: DataFrame, nprobe: int) -> DataFrame:
+    """``qid, embedding, cells``: per query its ``nprobe`` nearest cells and their sizes."""
+    centres, (_, size) = index.centres, _cell_bounds(index)
+
+    @F.pandas_udf(_VISITS)
+    def nearest(embeddings: pd.Series) -> pd.Series:
         return pd.Series(
             [
-                [
-                    {"cell": int(c), "gap": float(gap[c]), "n": int(size[c])}
-                    for c in places
-                    if size[c]
-                ]
-                for gap, places in zip(gaps, np.argsort(away, axis=1, kind="stable"))
+                [{"cell": int(c), "n": int(size[c])} for c in cells[:nprobe]]
+                for _, cells in _ordered(embeddings, centres, size)
             ]
         )
 
     known = queries.where("embedding is not null")
-    return known.select("qid", "embedding", order("embedding").alias("cells"))
+    return known.select("qid", "embedding", nearest("embedding").alias("cells"))
+
+
+def _beyond(index: VectorIndex, nprobe: int):
+    """The cells after the first ``nprobe`` that may hold a vector within ``reach`` (null: any)."""
+    centres, (radius, size) = index.centres, _cell_bounds(index)
+
+    @F.pandas_udf(_VISITS)
+    def within(embeddings: pd.Series, reach: pd.Series) -> pd.Series:
+        out = []
+        for (away, cells), most in zip(_ordered(embeddings, centres, size), reach, strict=True):
+            rest = cells[nprobe:]
+            if not np.isnan(most):
+                rest = rest[away[rest] - radius[rest] <= most]
+            out.append([{"cell": int(c), "n": int(size[c])} for c in rest])
+        return pd.Series(out)
+
+    return within
+
+
+def least_share(index: VectorIndex, queries: DataFrame) -> float:
+    """A lower bound of the share of vectors an exact search by cells visits, over some queries.
+
+    A cell whose ball holds the query can never be left out, however near the best vectors are.
+    """
+    radius, size = _cell_bounds(index)
+    some = queries.where("embedding is not null").select("embedding").limit(LOOKED_AT).collect()
+    if not some or not size.sum():
+        return 0.0
+    away = _distances(_unit(np.array([row[0] for row in some], dtype=np.float64)), index.centres)
+    return float(((away <= radius) @ size).mean() / size.sum())
 
 
 def knn_cells(
     index: VectorIndex, queries: DataFrame, k: int = 2, nprobe: int = 4, exact: bool = True
 ) -> DataFrame:
     """``qid, rank, id, score, pairs``: search by cells. ``pairs`` is the number of vectors that
-    were scored for the query."""
-    ordered = materialize(probes(index, queries), "probes")
+    were scored for the query.
+
+    An exact search whose bounds show on some queries that most cells must be visited anyway is one
+    pass over all vectors instead; the result is the same.
+    """
+    if exact and least_share(index, queries) > TOO_MUCH:
+        total = index.cells.agg(F.sum("n")).first()[0]
+        return knn_exact(queries, index.vectors, k).withColumn("pairs", F.lit(total).cast("long"))
+    near = materialize(probes(index, queries, nprobe), "probes")
 
     def within(visits: DataFrame) -> DataFrame:
         """Search the listed cells only; a query is repeated once per cell it visits."""
@@ -187,21 +281,20 @@ def knn_cells(
             cell="cell",
         )
 
-    near = ordered.withColumn("cells", F.slice("cells", 1, nprobe))
     found = materialize(within(near), "near")
     visited = near.select("qid", "cells")
     if exact:
+        # The k-th score is rounded: every vector that rounds to as much may still belong in front.
+        least = F.col("score") - HALF_PLACE - EPSILON
         kth = found.where(F.col("rank") == k).select(
             F.col("qkey").alias("qid"),
-            # distance of unit vectors at the k-th score
-            (F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("score"))) + MARGIN).alias("reach"),
-        )
-        beyond = F.filter(
-            F.slice("cells", nprobe + 1, len(index.centres)),
-            lambda c: F.col("reach").isNull() | (c["gap"] <= F.col("reach")),
+            (F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * least)) + MARGIN).alias("reach"),
         )
+        beyond = _beyond(index, nprobe)
         far = materialize(
-            ordered.join(kth, "qid", "left").select("qid", "embedding", beyond.alias("cells")),
+            near.join(kth, "qid", "left").select(
+                "qid", "embedding", beyond("embedding", "reach").alias("cells")
+            ),
             "far",
         )
         found = topk.best_per_query(

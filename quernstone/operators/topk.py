@@ -86,6 +86,8 @@ def _broadcast_topk(
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = shared.value
+        if not asked.num_rows:
+            return
         prepared = kernel(asked)
         best = _Best(asked.num_rows, k, floor)
         for batch in batches:

@@ -360,13 +360,10 @@ stats AS (
 
 
 def _chat_render() -> str:
-    return """SELECT conv_id, CAST(turn // 256 AS BIGINT) AS part, count(*) AS n_turns,
+    return """SELECT conv_id, CAST(0 AS BIGINT) AS part, count(*) AS n_turns,
       string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY turn)
-        || CASE WHEN turn // 256 = any_value(last_part) THEN '<|assistant|>' || chr(10) ELSE '' END
-        AS rendered
-    FROM conversations
-    JOIN (SELECT conv_id, max(turn) // 256 AS last_part FROM conversations GROUP BY 1) USING (conv_id)
-    GROUP BY conv_id, turn // 256"""
+        || '<|assistant|>' || chr(10) AS rendered
+    FROM conversations GROUP BY conv_id"""
 
 
 def _route_share() -> str:

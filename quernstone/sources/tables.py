@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quernstone.functions import text as tx
+from quernstone.functions.keys import pair_key
 
 EVAL_SCHEMA = T.StructType(
     [
@@ -96,7 +97,7 @@ def turn_pairs(conversations: DataFrame) -> DataFrame:
         .join(heads, ["conv_id", "block"], "left")
         .where(answer["role"] == "assistant")
         .select(
-            (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("qid"),
+            pair_key("conv_id", "turn").alias("qid"),
             F.col("text").alias("questions"),
             answer["text"].alias("ground_truth"),
         )

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quernstone.sources.scratch import materialize
+
 
 def sync_index(
     spark: SparkSession,
@@ -30,6 +32,7 @@ def sync_index(
     ``index`` turns documents into index rows that keep ``key``. A document with a true
     ``deleted`` column is removed. Returns the numbers of source rows per batch.
     """
+    counts: list[int] = []
     arrived = F.col("_metadata.file_modification_time")
     reader = spark.readStream.schema(schema)
     if max_files:
@@ -39,13 +42,15 @@ def sync_index(
     def write(batch: DataFrame, number: int) -> None:
         # a document that arrived more than once counts as it came last
         dated = F.struct(F.col("_arrived"), F.struct(*schema.names).alias("doc"))
+        batch = materialize(batch, "batch")
+        counts.append(batch.count())
         docs = batch.groupBy(key).agg(F.max(dated).alias("last")).select("last.doc.*")
         if "deleted" in schema.names:
             gone = F.coalesce("deleted", F.lit(False))
             live, removed = docs.where(~gone), docs.where(gone)
         else:
             live, removed = docs, docs.limit(0)
-        rows = index(live)
+        rows = materialize(index(live), "indexed")  # read twice below, made once
         empty = docs.select(key).join(rows.select(key).distinct(), key, "left_anti")
         rows.unionByName(
             empty.unionByName(removed.select(key)).distinct(), allowMissingColumns=True
@@ -58,7 +63,7 @@ def sync_index(
         .start()
     )
     query.awaitTermination()
-    return [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    return [n for n in counts if n]
 
 
 def read_index(spark: SparkSession, target: str, key: str = "doc_id") -> DataFrame:

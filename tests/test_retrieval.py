@@ -60,10 +60,13 @@ def test_bm25_is_exact(spark, corpus, k, how):
         assert np.allclose([g[2] for g in got], [w[1] for w in want], atol=2e-6)
 
 
-def test_bm25_refuses_more_than_the_kept_copies(spark, corpus):
-    index = bm25.build_bm25(spark.createDataFrame(corpus[0], "id long, page_content string"))
-    with pytest.raises(ValueError):
-        bm25.bm25_search(index, None, bm25.KEPT_COPIES + 1)
+def test_every_copy_can_be_found(spark, tmp_path):
+    chunks = [(i, "same words") for i in range(130)]
+    path = str(tmp_path / "index")
+    bm25.build_bm25(spark.createDataFrame(chunks, "id long, page_content string"), path=path)
+    asked = spark.createDataFrame([(1, "same")], "qid long, questions string")
+    hits = bm25.bm25_search(bm25.open_bm25(spark, path), asked, 100)
+    assert [r["id"] for r in hits.orderBy("rank").collect()] == list(range(100))
 
 
 def test_copies_beyond_the_kept_ones_still_count(spark):
@@ -135,6 +138,34 @@ def test_cells_in_exact_mode_miss_nothing(spark, points):
     assert ids(search.knn_cells(index, queries, 5, nprobe=6, exact=False)) == want
 
 
+def test_exact_cells_hold_at_scores_that_round_alike(spark):
+    """Two cells whose nearest vectors both round to score 1: the nearer one, or the smaller id, wins."""
+    angles = [(1, -0.0003), (50, 0.0008)] + [(100 + i, 0.2 + i / 1e3) for i in range(20)]
+    angles += [(200 + i, -0.2 - i / 1e3) for i in range(20)]
+    vectors = spark.createDataFrame([(i, [math.cos(a), math.sin(a)]) for i, a in angles], "id long, embedding array<double>")
+    asked = spark.createDataFrame([(7, [math.cos(1e-4), math.sin(1e-4)])], "qid long, embedding array<double>")
+    for cells in (2, 4, 8):
+        index = search.build_index(vectors, cells=cells)
+        assert ids(search.knn_cells(index, asked, 1, nprobe=1)) == ids(search.knn_exact(asked, vectors, 1)) == {7: [1]}
+
+
+def test_search_without_queries(spark, points):
+    vectors, queries = frames(spark, points)
+    index = search.build_index(vectors, cells=3)
+    for exact in (True, False):
+        assert search.knn_cells(index, queries.limit(0), 2, exact=exact).count() == 0
+    assert search.knn_exact(queries.limit(0), vectors, 2).count() == 0
+
+
+def test_a_saved_index_is_opened(spark, points, tmp_path):
+    vectors, queries = frames(spark, points)
+    path = str(tmp_path / "index")
+    made = search.build_if_absent(spark, path, lambda: vectors, cells=4)
+    opened = search.build_if_absent(spark, path, lambda: 1 / 0)
+    assert np.array_equal(made.centres, opened.centres)
+    assert ids(search.knn_cells(opened, queries, 3)) == brute_knn(points[1], points[0], 3)
+
+
 def test_recall_is_far_above_the_share_scored(spark, small):
     vectors = spark.read.parquet(f"{small}/embeddings.parquet").select(
         F.col("vec_id").alias("id"), "embedding"
@@ -188,7 +219,7 @@ def test_salted_join_equals_plain_join(spark, how):
         "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).alias("k")
     ).unionByName(spark.createDataFrame([(9999, None)], "id long, k long"))
     lookup = spark.range(400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    assert joins.hot_keys(facts, "k", min_rows=100) == [7]
+    assert joins.hot_keys(facts, "k", min_rows=100) == {7: 11}
     salted = joins.salted_join(facts, lookup, "k", how, min_rows=100)
     plain = facts.join(lookup, "k", how)
     assert salted.exceptAll(plain).count() == 0 == plain.exceptAll(salted).count()

@@ -98,6 +98,15 @@ def test_sync(spark, tmp_path, max_files):
     assert state(str(tmp_path / "fresh")) == [(1, "xx"), (3, "dd")]
 
 
+def test_keys_have_no_range(spark):
+    from quernstone.functions.keys import pair_key
+
+    pairs = [(3, 7), (3, 1_000_007), (4, 7), (-1, 0), (2**62, 1), (None, 1)]
+    keys = [r.k for r in spark.createDataFrame(pairs, "a long, b long").select(pair_key("a", "b").alias("k")).collect()]
+    assert keys[0] == 3_000_007 and keys[2] == 4_000_007 and keys[5] is None
+    assert len(set(keys)) == 6 and all(k < 0 for k in (keys[1], keys[3], keys[4]))
+
+
 def test_plans_prune_and_limit_early(spark, small):
     """Columns and filters reach the scan, and groups are cut to their best rows before a shuffle."""
     from quernstone.operators import bm25
@@ -110,7 +119,7 @@ def test_plans_prune_and_limit_early(spark, small):
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in chunks
     assert "EqualTo(lang,en)" in chunks and "Exchange" not in chunks
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("page_content"))
-    assert "WindowGroupLimit" in plan(bm25.distinct_texts(texts))
+    assert "partial_min" in plan(bm25.distinct_texts(texts))
     from quernstone.operators import scoring
 
     pairs = texts.select("id", F.col("page_content").alias("result"), F.col("page_content").alias("ground_truth"))
