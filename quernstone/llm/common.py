@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,3 +109,30 @@ def salted_join(pairs: DataFrame, table: DataFrame, key: str, other: str) -> Dat
     right = table.join(F.broadcast(hot), key, "left")
     right = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))).drop("__salts")
     return left.join(right, [key, "__salt"]).drop("__salt")
+
+
+SKETCH_BITS = 1 << 26  # 8 MB, whatever the number of keys
+
+
+def may_be_in(keys: DataFrame, key: str):
+    """A UDF on the hash of a key: false only for keys that are not in ``keys``.
+
+    A bitmap of fixed size is broadcast. It keeps most rows without a partner out of a shuffle as
+    long as keys are few against its bits, and never leaves out a row with one.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(SKETCH_BITS)) + 1
+    parts = keys.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    bits = np.zeros(SKETCH_BITS // 8, np.uint8)
+    for row in parts.collect():  # at most SKETCH_BITS bits
+        part = np.frombuffer(bytes(row.bits), np.uint8)
+        bits[(row.part - 1) * len(part) : row.part * len(part)] = part
+    held = keys.sparkSession.sparkContext.broadcast(bits)
+
+    def known(hashes: pa.Array) -> pa.Array:
+        at = hashes.to_numpy(zero_copy_only=False) % SKETCH_BITS
+        return pa.array((held.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+
+    known.__annotations__ = {"hashes": pa.Array, "return": pa.Array}
+    return F.arrow_udf(known, "boolean")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import join_by_counts, materialize, salted_join
+from quernstone.llm.common import join_by_counts, materialize, may_be_in, salted_join
 from quernstone.llm.components import components
 from quernstone.llm.shingles import mix, shingle_set
 
@@ -116,7 +116,8 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     pairs = materialize(pairs, "likely")
     uids = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
     wanted = materialize(classes.select("uid", "doc_id", "cls").join(uids, "uid"), "wanted")
-    sets = docs.join(wanted, "doc_id").select("uid", "cls", _arrow(_sets_of, "cls binary, shingles array<long>")("text").alias("s"))
+    near = docs.filter(may_be_in(wanted, "doc_id")(F.xxhash64("doc_id")))
+    sets = near.join(wanted, "doc_id").select("uid", "cls", _arrow(_sets_of, "cls binary, shingles array<long>")("text").alias("s"))
     sets = sets.filter("s.cls = cls").select("uid", "s.shingles").dropDuplicates(["uid"])
     sets = materialize(sets, "sets")
     a = sets.select(F.col("uid").alias("a"), F.col("shingles").alias("sa"))
@@ -218,7 +219,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Rows equal in id and text become one; different texts under one kept id all stay.
     """
-    gone = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    gone = materialize(gone, "near-copies")
+    kept = near_duplicates(docs).filter("doc_id is not null").groupBy("doc_id").agg(F.bool_or("kept").alias("any_kept"))
+    gone = materialize(kept.filter("not any_kept").select("doc_id"), "near-copies")
     named = docs.filter("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
     return named.select(docs.columns).unionAll(docs.filter("doc_id is null"))
