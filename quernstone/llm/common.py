@@ -114,13 +114,13 @@ def salted_join(pairs: DataFrame, table: DataFrame, key: str, other: str) -> Dat
 SKETCH_BITS = 1 << 26  # 8 MB, whatever the number of keys
 
 
-def may_be_in(keys: DataFrame, key: str):
-    """A UDF on the hash of a key: false only for keys that are not in ``keys``.
+def may_be_in(keys: DataFrame, *key: str):
+    """A UDF on ``xxhash64`` of a key of one or more columns: false only for keys not in ``keys``.
 
     A bitmap of fixed size is broadcast. It keeps most rows without a partner out of a shuffle as
     long as keys are few against its bits, and never leaves out a row with one.
     """
-    place = F.pmod(F.xxhash64(key), F.lit(SKETCH_BITS)) + 1
+    place = F.pmod(F.xxhash64(*key), F.lit(SKETCH_BITS)) + 1
     parts = keys.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
     )

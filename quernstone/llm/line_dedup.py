@@ -13,7 +13,7 @@ occurrence inside the document with the smallest doc_id stays, all others go.
 How it runs: every task groups its own chunk texts before the shuffle, so a chunk that a third of
 all documents share arrives once per task. Occurrences then travel as 128-bit keys only; a key that
 two different texts share removes nothing. What goes from a document is listed by its id and the
-hash of its text, and the texts are rewritten in one join.
+hash of its text; texts that lose something are joined with the list, all others stay where they are.
 
 - Null texts stay null, empty texts stay empty; neither has chunks. Lines without words count as
   lines and have no words.
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import join_by_counts, materialize, words_of
+from quernstone.llm.common import join_by_counts, materialize, may_be_in, words_of
 
 WINDOW = 2
 BASE = 31
@@ -141,8 +141,12 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in _RESULTS]
     with_digest = docs.withColumn("__of_text", F.xxhash64(docs[text]))
-    same = with_digest[doc_id].eqNullSafe(gone["__doc"]) & (with_digest["__of_text"] == gone["__digest"])
-    joined = with_digest.join(gone, same, "left")
+    # Only texts that may have something to lose are moved.
+    concerned = may_be_in(gone, "__doc", "__digest")(F.xxhash64(doc_id, "__of_text"))
+    some = with_digest.filter(concerned)
+    same = some[doc_id].eqNullSafe(gone["__doc"]) & (some["__of_text"] == gone["__digest"])
+    whole = with_digest.filter(~concerned).withColumn("__gone", F.lit(None).cast("array<int>"))
+    joined = some.join(gone, same, "left").select(whole.columns).unionAll(whole)
     out = joined.select(*kept, rewritten(F.col(text), F.col("__gone")).alias("__out"))
     return out.select(*[F.col(f"`{c}`") for c in out.columns if c != "__out"], "__out.*")
 

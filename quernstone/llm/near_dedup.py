@@ -219,7 +219,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Rows equal in id and text become one; different texts under one kept id all stay.
     """
-    kept = near_duplicates(docs).filter("doc_id is not null").groupBy("doc_id").agg(F.bool_or("kept").alias("any_kept"))
-    gone = materialize(kept.filter("not any_kept").select("doc_id"), "near-copies")
-    named = docs.filter("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
-    return named.select(docs.columns).unionAll(docs.filter("doc_id is null"))
+    found = near_duplicates(docs).filter("doc_id is not null").groupBy("doc_id")
+    found = found.agg(F.bool_or("kept").alias("any_kept"), F.count("*").alias("n")).filter("not any_kept or n > 1")
+    found = materialize(found, "near-copies")
+    # Only texts whose id may be in that table are moved.
+    concerned = may_be_in(found, "doc_id")(F.xxhash64("doc_id")) & F.col("doc_id").isNotNull()
+    gone = found.filter("not any_kept").select("doc_id")
+    rest = docs.filter(concerned).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    return docs.filter(~concerned).unionAll(rest.select(docs.columns))
