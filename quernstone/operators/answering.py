@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as tx
-from quernstone.operators.joins import salted_join
+from quernstone.operators.joins import placed_by, salted_join
 from quernstone.sources.scratch import materialize
 
 UNKNOWN = "I do not know."
@@ -98,8 +98,9 @@ def answer_with(
         prompts.withColumn("prompt_key", F.md5(F.coalesce("prompt", F.lit("")))), "prompts"
     )
     distinct = keyed.groupBy("prompt_key").agg(F.first("prompt").alias("prompt"))
-    if concurrency:
-        distinct = distinct.repartition(concurrency)
+    # A stated number of tasks, else as many as the session shuffles to: small prompts would
+    # otherwise be gathered into one task, however slow the model is.
+    distinct = distinct.repartition(concurrency, "prompt_key") if concurrency else placed_by(distinct, "prompt_key")
     answers = materialize(
         distinct.mapInPandas(
             run, "prompt_key string, result string, latency double, error string"
@@ -112,7 +113,9 @@ def answer_with(
 
 
 def cut_tokens(text: Column, max_tokens: int) -> Column:
-    return F.array_join(F.slice(F.split(text, " "), 1, max_tokens), " ")
+    """The text up to the end of its last token allowed; nulls and short texts stay as they are."""
+    pieces = F.regexp_extract_all(text, F.lit(r"(?s).*?[\p{L}\p{N}]+"), F.lit(0))
+    return F.when(F.size(pieces) > max_tokens, F.array_join(F.slice(pieces, 1, max_tokens), "")).otherwise(text)
 
 
 def answered(df: DataFrame, question: str = "questions", context: str = "context") -> DataFrame:

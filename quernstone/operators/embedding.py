@@ -2,48 +2,78 @@
 
 The default model hashes tokens into a fixed number of dimensions (Weinberger et al., 2009),
 weighs them by inverse document frequency and scales to unit length. It needs no download and
-gives the same vector for the same text anywhere.
+gives the same vector for the same text anywhere: the dimension of a token comes from its md5.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
-from pyspark.ml.functions import predict_batch_udf, vector_to_array
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import predict_batch_udf
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quernstone.functions import text as tx
+from quernstone.sources.scratch import materialize
 
 DIMENSIONS = 1024
 
 
-def _with_tokens(df: DataFrame, text_col: str) -> DataFrame:
+@dataclass
+class Embedder:
+    """The weight of each dimension."""
+
+    idf: np.ndarray
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = [(n, float(w)) for n, w in enumerate(self.idf)]
+        materialize(spark.createDataFrame(rows, "dimension int, idf double"), "embedder", path)
+
+
+def open_embedder(spark: SparkSession, path: str) -> Embedder:
+    return Embedder(np.array([r["idf"] for r in spark.read.parquet(path).orderBy("dimension").collect()]))
+
+
+def token_dimensions(text_col: str, dimensions: int) -> Column:
+    """The dimension of each token of a text, as often as the token occurs."""
     none = F.array().cast("array<string>")
-    return df.withColumn("_tokens", F.coalesce(tx.tokens(text_col), none))
+    return F.transform(
+        F.coalesce(tx.tokens(text_col), none),
+        lambda t: (F.conv(F.substring(F.md5(t), 1, 7), 16, 10).cast("long") % dimensions).cast("int"),
+    )
 
 
 def fit_embedder(
     df: DataFrame, text_col: str = "page_content", dimensions: int = DIMENSIONS
-) -> PipelineModel:
-    """Fit the default model; one aggregation over the texts, no shuffle of tokens."""
-    stages = [
-        HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=dimensions),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(inputCol="_tfidf", outputCol="_unit"),
-    ]
-    return Pipeline(stages=stages).fit(_with_tokens(df, text_col))
+) -> Embedder:
+    """Fit the default model: texts are counted per dimension, combined before the shuffle."""
+    own = df.select(F.explode(F.array_distinct(token_dimensions(text_col, dimensions))).alias("d"))
+    found = {r["d"]: r["count"] for r in own.groupBy("d").count().collect()}  # one row per dimension
+    texts = np.array([found.get(d, 0) for d in range(dimensions)])
+    return Embedder(np.log((df.count() + 1) / (texts + 1)))
 
 
-def embed(df: DataFrame, text_col: str, model: PipelineModel) -> DataFrame:
+def embed(df: DataFrame, text_col: str, model: Embedder) -> DataFrame:
     """Add ``embedding array<float>``. A text without tokens gets the zero vector."""
-    made = model.transform(_with_tokens(df, text_col))
-    return made.withColumn("embedding", vector_to_array("_unit", "float32")).drop(
-        "_tokens", "_tf", "_tfidf", "_unit"
-    )
+    idf = model.idf
+
+    def weigh(dimensions: pa.Array) -> pa.Array:
+        out = np.zeros((len(dimensions), len(idf)))
+        owner = np.repeat(np.arange(len(dimensions)), dimensions.value_lengths().to_numpy(zero_copy_only=False))
+        np.add.at(out, (owner, dimensions.flatten().to_numpy(zero_copy_only=False)), 1.0)
+        out *= idf
+        norms = np.linalg.norm(out, axis=1, keepdims=True)
+        np.divide(out, norms, out=out, where=norms > 0)
+        ends = pa.array(np.arange(len(out) + 1) * len(idf), pa.int32())
+        return pa.ListArray.from_arrays(ends, pa.array(out.ravel(), pa.float32()))
+
+    weigh.__annotations__ = {"dimensions": pa.Array, "return": pa.Array}
+    run = F.arrow_udf(weigh, "array<float>")
+    return df.withColumn("embedding", run(token_dimensions(text_col, len(idf))))
 
 
 def embed_with(

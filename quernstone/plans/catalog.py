@@ -30,7 +30,7 @@ from quernstone.streaming import sync
 Query = Callable[[SparkSession, str], DataFrame]
 
 K = 4
-DIMENSIONS = 256
+DIMENSIONS = embedding.DIMENSIONS
 CELLS = 16
 ROUTES = {"large": 60, "medium": 30, "small": 10}
 SUMMARY_METRICS = ("exact_match", "token_f1", "rouge1_f1", "rouge2_f1", "flesch_kincaid_grade", "ari_grade")
@@ -158,6 +158,23 @@ def knn_cells_exact(spark, sf_dir):
     return search.knn_cells(_vector_index(spark, sf_dir), asked, K, nprobe=4).drop("pairs")
 
 
+def reopened_index(spark, sf_dir):
+    """An index built once, opened from its folder alone and searched."""
+    path = scratch_path(spark, "kept-index")
+    for _ in range(2):
+        index = search.build_if_absent(spark, path, lambda: _vectors(spark, sf_dir))
+    asked = _vectors(spark, sf_dir).withColumnRenamed("id", "qid")
+    return search.knn_cells(index, asked, K).drop("pairs")
+
+
+def reopened_bm25(spark, sf_dir):
+    path = scratch_path(spark, "kept-bm25")
+    bm25.build_bm25(_chunks(spark, sf_dir), path=path)
+    return bm25.bm25_search(bm25.open_bm25(spark, path), _pairs(spark, sf_dir), K).select(
+        "qid", "rank", "id", "score"
+    )
+
+
 def knn_cells_recall(spark, sf_dir):
     vectors = _vectors(spark, sf_dir)
     asked = vectors.withColumnRenamed("id", "qid")
@@ -173,14 +190,12 @@ def describe_index(spark, sf_dir):
 
 
 def embed_text(spark, sf_dir):
+    """The dimensions of each text that are not zero."""
     chunks = _chunks(spark, sf_dir)
     model = embedding.fit_embedder(chunks, "page_content", DIMENSIONS)
-    norm = F.sqrt(
-        F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
-    )
-    return embedding.embed(chunks, "page_content", model).select(
-        "id", F.size("embedding").alias("dimensions"), (F.abs(norm - 1) < 1e-5).alias("unit_length")
-    )
+    made = embedding.embed(chunks, "page_content", model)
+    cells = made.select("id", F.posexplode("embedding").alias("dimension", "weight")).where("weight <> 0")
+    return cells.select("id", "dimension", F.round(F.col("weight").cast("double"), 6).alias("weight"))
 
 
 def similarity_search(spark, sf_dir):
@@ -197,8 +212,9 @@ def similarity_search(spark, sf_dir):
 
 def vector_retrieval(spark, sf_dir):
     model, index = _text_index(spark, sf_dir)
-    return rag.retrieve(
-        _pairs(spark, sf_dir).select("qid", "questions"), index, K, model=model
+    found = rag.retrieve(_pairs(spark, sf_dir).select("qid", "questions"), index, K, model=model)
+    return found.select("qid", F.explode("source_documents").alias("d")).select(
+        "qid", "d.rank", "d.id", "d.page_content"
     )
 
 
@@ -313,12 +329,13 @@ def readability(spark, sf_dir):
 
 def toxicity_scores(spark, sf_dir):
     docs = _docs(spark, sf_dir).select("doc_id", "text")
-    labelled = docs.join(tables.read_table(spark, sf_dir, "labels"), "doc_id")
-    training = rag.spread(materialize(labelled, "labelled").where(~toxicity.held_out("doc_id")))
-    model = toxicity.fit_toxicity(training)
-    return toxicity.toxicity(rag.spread(docs), "text", model).select(
-        "doc_id", "toxicity", "toxic_flag"
-    )
+    labels = tables.read_table(spark, sf_dir, "labels").where(~toxicity.held_out("doc_id"))
+    model = toxicity.fit_naive_bayes(rag.spread(docs).join(labels, "doc_id"))
+    return toxicity.naive_toxicity(rag.spread(docs), "doc_id", "text", model)
+
+
+def toxicity_ratio(spark, sf_dir):
+    return toxicity.toxicity_ratio(toxicity_scores(spark, sf_dir))
 
 
 def faithfulness(spark, sf_dir):
@@ -459,6 +476,8 @@ QUERIES: dict[str, Query] = {
         missing_names,
         knn_exact,
         knn_cells_exact,
+        reopened_index,
+        reopened_bm25,
         knn_cells_recall,
         describe_index,
         embed_text,
@@ -482,6 +501,7 @@ QUERIES: dict[str, Query] = {
         rouge_l,
         readability,
         toxicity_scores,
+        toxicity_ratio,
         faithfulness,
         faithfulness_target,
         relevance,

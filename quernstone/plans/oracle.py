@@ -204,6 +204,63 @@ def _two_runs() -> str:
     return "WITH" + ",".join(parts)
 
 
+def _vectors(asked: str = "SELECT CAST(NULL AS BIGINT) AS qid, '' AS text") -> str:
+    """``vectors``: id or qid, d, w: token weights by dimension, scaled to unit length."""
+    dims = catalog.DIMENSIONS
+    bucket = f"CAST('0x' || substr(md5(t), 1, 7) AS BIGINT) % {dims}"
+    return f"""WITH {PAIRS}, {CHUNKS},
+texts AS (
+  SELECT id, CAST(NULL AS BIGINT) AS qid, {_tok('page_content')} AS tokens FROM chunks
+  UNION ALL SELECT NULL, qid, {_tok('text')} FROM ({asked})),
+parts AS MATERIALIZED (
+  SELECT id, qid, d, count(*) AS n
+  FROM (SELECT id, qid, {bucket} AS d FROM (SELECT id, qid, unnest(tokens) AS t FROM texts))
+  GROUP BY ALL),
+idf AS (
+  SELECT d, ln(((SELECT count(*) FROM chunks) + 1) / (coalesce(df, 0) + 1)::DOUBLE) AS idf
+  FROM range({dims}) r(d) LEFT JOIN (SELECT d, count(*) AS df FROM parts WHERE id IS NOT NULL GROUP BY d) USING (d)),
+vectors AS MATERIALIZED (
+  SELECT id, qid, d, CAST(n * idf / sqrt(sum((n * idf) ** 2) OVER (PARTITION BY id, qid)) AS FLOAT) AS w
+  FROM parts JOIN idf USING (d) WHERE idf <> 0)"""
+
+
+def _nearest(asked: str, k: int, score: bool = True) -> str:
+    """Brute force over all questions and chunks; a pair without a common dimension scores 0."""
+    return f"""{_vectors(asked)},
+norms AS (SELECT id, qid, sqrt(sum(CAST(w AS DOUBLE) ** 2)) AS norm FROM vectors GROUP BY id, qid),
+met AS (
+  SELECT q.qid, c.id, sum(CAST(q.w AS DOUBLE) * c.w) AS dot
+  FROM vectors q JOIN vectors c ON q.d = c.d AND q.qid IS NOT NULL AND c.id IS NOT NULL GROUP BY q.qid, c.id),
+cosines AS (
+  SELECT q.qid, c.id, c.page_content, round(coalesce(dot / nq.norm / nc.norm, 0), 6) AS score
+  FROM ({asked}) q CROSS JOIN chunks c LEFT JOIN met ON met.qid = q.qid AND met.id = c.id
+  LEFT JOIN norms nq ON nq.qid = q.qid LEFT JOIN norms nc ON nc.id = c.id)
+SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS INTEGER) AS rank,
+  id, page_content{", score" if score else ""}
+FROM cosines QUALIFY rank <= {k}"""
+
+
+_TOXICITY = f"""WITH words AS MATERIALIZED (
+  SELECT doc_id, unnest({_tok('text')}) AS t FROM documents),
+learned AS (
+  SELECT doc_id, toxic FROM labels
+  WHERE CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 30),
+counted AS (
+  SELECT t, count(*) FILTER (WHERE toxic = 1) AS a, count(*) FILTER (WHERE toxic = 0) AS b
+  FROM words JOIN learned USING (doc_id) GROUP BY t),
+sums AS (SELECT ln((sum(b) + count(*) + 1) / (sum(a) + count(*) + 1)::DOUBLE) AS unseen FROM counted),
+prior AS (
+  SELECT ln((count(*) FILTER (WHERE toxic = 1) + 1) / (count(*) FILTER (WHERE toxic = 0) + 1)::DOUBLE) AS prior
+  FROM learned JOIN documents USING (doc_id)),
+odds AS (
+  SELECT doc_id, sum(coalesce(ln(a + 1) - ln(b + 1), 0) + unseen) AS odds
+  FROM words LEFT JOIN counted USING (t), sums GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, round(1 / (1 + exp(-(odds + prior))), 6) AS toxicity
+  FROM documents LEFT JOIN odds USING (doc_id), prior),
+flagged AS (SELECT doc_id, toxicity, toxicity >= 0.5 AS toxic_flag FROM scored)"""
+
+
 def _page_text() -> str:
     def decoded(x: str) -> str:
         for entity, char in tx.ENTITIES:
@@ -451,8 +508,15 @@ def oracle() -> dict[str, str]:
             count(vec_id) - count(DISTINCT vec_id) AS repeated_keys,
             CAST({catalog.CELLS} AS BIGINT) AS cells
             FROM embeddings""",
-        "embed_text": f"""{chunks} SELECT id, {catalog.DIMENSIONS} AS dimensions,
-            len({_tok('page_content')}) > 0 AS unit_length FROM chunks""",
+        "embed_text": f"""{_vectors()} SELECT id, CAST(d AS INTEGER) AS dimension,
+            round(CAST(w AS DOUBLE), 6) AS weight FROM vectors WHERE id IS NOT NULL""",
+        "similarity_search": _nearest("SELECT item_id AS qid, text FROM benchmark", 2),
+        "vector_retrieval": _nearest("SELECT qid, questions AS text FROM pairs", catalog.K, score=False),
+        "reopened_index": _knn(),
+        "reopened_bm25": f"{found} SELECT qid, CAST(rank AS INTEGER) AS rank, id, score FROM hits",
+        "toxicity_scores": f"{_TOXICITY} SELECT * FROM flagged",
+        "toxicity_ratio": f"""{_TOXICITY} SELECT count(toxicity) AS n,
+            round(avg(CAST(toxic_flag AS INTEGER)), 6) AS toxic_ratio FROM flagged""",
         "bm25_index_terms": f"""{",".join([pairs, CHUNKS, BM25])}
             SELECT w AS term, df, round(idf, 6) AS idf FROM terms""",
         "bm25_topk": f"{found} SELECT qid, CAST(rank AS INTEGER) AS rank, id, score FROM hits",
