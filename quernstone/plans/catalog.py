@@ -33,7 +33,7 @@ K = 4
 DIMENSIONS = embedding.DIMENSIONS
 CELLS = 16
 ROUTES = {"large": 60, "medium": 30, "small": 10}
-SUMMARY_METRICS = ("exact_match", "token_f1", "rouge1_f1", "rouge2_f1", "flesch_kincaid_grade", "ari_grade")
+SUMMARY_METRICS = (*evaluation.QA_METRICS, "faithfulness_lexical", "relevance_lexical")
 
 # Saved tables by session and folder: an index is built once and serves all queries on it.
 _saved: dict[tuple, object] = {}
@@ -327,11 +327,18 @@ def readability(spark, sf_dir):
     return scoring.readability(docs, "text").drop("text")
 
 
+def _toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.NaiveBayes:
+    def fit() -> toxicity.NaiveBayes:
+        labels = tables.read_table(spark, sf_dir, "labels").where(~toxicity.held_out("doc_id"))
+        docs = rag.spread(_docs(spark, sf_dir)).select("doc_id", "text")
+        return toxicity.fit_naive_bayes(docs.join(labels, "doc_id"))
+
+    return _once(spark, sf_dir, "toxicity", fit)
+
+
 def toxicity_scores(spark, sf_dir):
-    docs = _docs(spark, sf_dir).select("doc_id", "text")
-    labels = tables.read_table(spark, sf_dir, "labels").where(~toxicity.held_out("doc_id"))
-    model = toxicity.fit_naive_bayes(rag.spread(docs).join(labels, "doc_id"))
-    return toxicity.naive_toxicity(rag.spread(docs), "doc_id", "text", model)
+    docs = rag.spread(_docs(spark, sf_dir)).select("doc_id", "text")
+    return toxicity.naive_toxicity(docs, "doc_id", "text", _toxicity_model(spark, sf_dir))
 
 
 def toxicity_ratio(spark, sf_dir):
@@ -372,8 +379,17 @@ def judge_parse(spark, sf_dir):
 
 
 def _evaluation(spark, sf_dir, k=K, run_id="run") -> evaluation.Evaluation:
+    """All metrics of the answers to every question; scored once per number of chunks."""
     answers = _answers(spark, sf_dir, k)
-    return rag.evaluate_answers(answers, answers, SUMMARY_METRICS, run_id=run_id)
+    scored = _once(
+        spark,
+        sf_dir,
+        f"scored{k}",
+        lambda: rag.evaluate_answers(
+            answers, answers, SUMMARY_METRICS, run_id=run_id, toxicity_model=_toxicity_model(spark, sf_dir)
+        ),
+    )
+    return scored.renamed(run_id)
 
 
 def eval_rows(spark, sf_dir):

@@ -163,21 +163,31 @@ _GRADES = """
   END AS ari_grade"""
 
 
-def _values(run_id: str, suffix: str = "", answers: str = "answers") -> str:
+def _values(run_id: str, suffix: str = "", answers: str = "answers", hits: str = "hits") -> str:
     """A table ``vals``: run_id, qid, metric, value."""
     union = " UNION ALL ".join(
         f"SELECT '{run_id}' AS run_id, qid, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM scored{suffix}"
-        for m in catalog.SUMMARY_METRICS
+        for m in (*catalog.SUMMARY_METRICS, "toxicity")
     )
     return f"""
 reads{suffix} AS (SELECT qid, {_readability('result')} FROM {answers}),
 grades{suffix} AS (SELECT qid, {_GRADES} FROM reads{suffix}),
+tox_words{suffix} AS (SELECT qid, unnest({_tok('result')}) AS t FROM {answers}),
+toxic{suffix} AS (
+  SELECT a.qid, round(1 / (1 + exp(-(odds + prior))), 6) AS toxicity
+  FROM {answers} a LEFT JOIN (
+    SELECT qid, sum(coalesce(ln(a + 1) - ln(b + 1), 0) + unseen) AS odds
+    FROM tox_words{suffix} LEFT JOIN tox_counted USING (t), tox_sums GROUP BY qid) o USING (qid), tox_prior),
+{_rouge_l_parts(suffix, answers)},{_faithfulness_parts('result', 3, suffix, answers, hits)},
+{_relevance_parts(suffix, answers, hits)},
 scored{suffix} AS MATERIALIZED (
   SELECT qid, CASE WHEN len({_tok('result')}) > 0 AND len({_tok('ground_truth')}) > 0
               THEN CAST({_tok('result')} = {_tok('ground_truth')} AS INTEGER) END AS exact_match,
-         o1.f AS token_f1, o1.f AS rouge1_f1, o2.f AS rouge2_f1, flesch_kincaid_grade, ari_grade
+         o1.f AS token_f1, o1.f AS rouge1_f1, o2.f AS rouge2_f1, flesch_kincaid_grade, ari_grade,
+         rouge_l, faithfulness_lexical, relevance_lexical, toxicity
   FROM {answers} JOIN over1{suffix} o1 USING (qid) JOIN over2{suffix} o2 USING (qid)
-  JOIN grades{suffix} USING (qid)),
+  JOIN grades{suffix} USING (qid) JOIN longest{suffix} USING (qid) JOIN faithful{suffix} USING (qid)
+  JOIN relevant{suffix} USING (qid) JOIN toxic{suffix} USING (qid)),
 vals{suffix} AS (SELECT * FROM ({union}))"""
 
 
@@ -190,7 +200,7 @@ def _overlap_for(n: int, suffix: str, answers: str) -> str:
 
 def _two_runs() -> str:
     """``vals``: the values of the runs with one and with four chunks per question."""
-    parts = [PAIRS, CHUNKS, BM25]
+    parts = [PAIRS, CHUNKS, BM25, _TOXIC_MODEL]
     for k, suffix in ((1, "_a"), (catalog.K, "_b")):
         for text in (_hits(k), ANSWERS):
             for name in ("hits", "lines", "sents", "found", "best", "answers"):
@@ -199,9 +209,9 @@ def _two_runs() -> str:
                 ).replace(f"JOIN {name}", f"JOIN {name}{suffix}")
             parts.append(text)
         parts += [_overlap_for(n, suffix, f"answers{suffix}") for n in (1, 2)]
-        parts.append(_values(f"top{k}", suffix, f"answers{suffix}"))
+        parts.append(_values(f"top{k}", suffix, f"answers{suffix}", f"hits{suffix}"))
     parts.append("\nvals AS (SELECT * FROM vals_a UNION ALL SELECT * FROM vals_b)")
-    return "WITH" + ",".join(parts)
+    return "WITH RECURSIVE" + ",".join(parts)
 
 
 def _vectors(asked: str = "SELECT CAST(NULL AS BIGINT) AS qid, '' AS text") -> str:
@@ -240,24 +250,27 @@ SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS
 FROM cosines QUALIFY rank <= {k}"""
 
 
-_TOXICITY = f"""WITH words AS MATERIALIZED (
+_TOXIC_MODEL = f"""
+tox_docs AS MATERIALIZED (
   SELECT doc_id, unnest({_tok('text')}) AS t FROM documents),
-learned AS (
+tox_learned AS (
   SELECT doc_id, toxic FROM labels
   WHERE CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 30),
-counted AS (
+tox_counted AS MATERIALIZED (
   SELECT t, count(*) FILTER (WHERE toxic = 1) AS a, count(*) FILTER (WHERE toxic = 0) AS b
-  FROM words JOIN learned USING (doc_id) GROUP BY t),
-sums AS (SELECT ln((sum(b) + count(*) + 1) / (sum(a) + count(*) + 1)::DOUBLE) AS unseen FROM counted),
-prior AS (
+  FROM tox_docs JOIN tox_learned USING (doc_id) GROUP BY t),
+tox_sums AS (SELECT ln((sum(b) + count(*) + 1) / (sum(a) + count(*) + 1)::DOUBLE) AS unseen FROM tox_counted),
+tox_prior AS (
   SELECT ln((count(*) FILTER (WHERE toxic = 1) + 1) / (count(*) FILTER (WHERE toxic = 0) + 1)::DOUBLE) AS prior
-  FROM learned JOIN documents USING (doc_id)),
+  FROM tox_learned JOIN documents USING (doc_id))"""
+
+_TOXICITY = f"""WITH {_TOXIC_MODEL},
 odds AS (
   SELECT doc_id, sum(coalesce(ln(a + 1) - ln(b + 1), 0) + unseen) AS odds
-  FROM words LEFT JOIN counted USING (t), sums GROUP BY doc_id),
+  FROM tox_docs LEFT JOIN tox_counted USING (t), tox_sums GROUP BY doc_id),
 scored AS (
   SELECT doc_id, round(1 / (1 + exp(-(odds + prior))), 6) AS toxicity
-  FROM documents LEFT JOIN odds USING (doc_id), prior),
+  FROM documents LEFT JOIN odds USING (doc_id), tox_prior),
 flagged AS (SELECT doc_id, toxicity, toxicity >= 0.5 AS toxic_flag FROM scored)"""
 
 
@@ -341,16 +354,18 @@ def _knn() -> str:
       FROM s) WHERE rank <= {catalog.K}"""
 
 
-def _rouge_l() -> str:
-    """One row of the LCS table per step: a running maximum over the positions of the target."""
-    return f"""{_flow().replace('WITH', 'WITH RECURSIVE', 1)},
-    texts AS MATERIALIZED (
-      SELECT qid, {_tok('result')} AS a, {_tok('ground_truth')} AS b FROM answers),
-    cells AS (
+def _rouge_l_parts(suffix: str = "", answers: str = "answers") -> str:
+    """``longest``: qid, rouge_l. One row of the LCS table per step: a running maximum over the
+    positions of the target."""
+    x = suffix
+    return f"""
+    texts{x} AS MATERIALIZED (
+      SELECT qid, {_tok('result')} AS a, {_tok('ground_truth')} AS b FROM {answers}),
+    cells{x} AS (
       SELECT qid, a, len(a) AS n, j, b[j] AS y FROM (
-        SELECT qid, a, b, unnest(range(1, len(b) + 1)) AS j FROM texts)),
-    lcs AS (
-      SELECT qid, CAST(0 AS BIGINT) AS i, j, 0 AS v FROM cells
+        SELECT qid, a, b, unnest(range(1, len(b) + 1)) AS j FROM texts{x})),
+    lcs{x} AS (
+      SELECT qid, CAST(0 AS BIGINT) AS i, j, 0 AS v FROM cells{x}
       UNION ALL
       SELECT qid, i + 1, j,
              max(greatest(v, CASE WHEN y = x THEN diag + 1 ELSE 0 END))
@@ -358,42 +373,59 @@ def _rouge_l() -> str:
       FROM (
         SELECT l.qid, i, l.j, v, y, a[i + 1] AS x,
                coalesce(lag(v) OVER (PARTITION BY l.qid ORDER BY l.j), 0) AS diag
-        FROM lcs l JOIN cells c ON l.qid = c.qid AND l.j = c.j WHERE i < n))
-    SELECT qid, CASE WHEN len(a) > 0 AND len(b) > 0
-                THEN round(2.0::DOUBLE * v / (len(a) + len(b)), 6) END AS rouge_l
-    FROM texts LEFT JOIN (SELECT qid, i, max(v) AS v FROM lcs GROUP BY qid, i) m
-      USING (qid) WHERE i = len(a) OR i IS NULL"""
+        FROM lcs{x} l JOIN cells{x} c ON l.qid = c.qid AND l.j = c.j WHERE i < n)),
+    longest{x} AS (
+      SELECT qid, CASE WHEN len(a) > 0 AND len(b) > 0
+                  THEN round(2.0::DOUBLE * v / (len(a) + len(b)), 6) END AS rouge_l
+      FROM texts{x} LEFT JOIN (SELECT qid, i, max(v) AS v FROM lcs{x} GROUP BY qid, i) m
+        USING (qid) WHERE i = len(a) OR i IS NULL)"""
 
 
-def _faithfulness(answer: str, n: int) -> str:
+def _rouge_l() -> str:
+    return f"{_flow().replace('WITH', 'WITH RECURSIVE', 1)},{_rouge_l_parts()} SELECT * FROM longest"
+
+
+def _faithfulness_parts(answer: str, n: int, suffix: str = "", answers: str = "answers", hits: str = "hits") -> str:
     def share(size: int) -> str:
         mine = f"list_distinct({_grams('t', size)})"
         return f"len(list_intersect({mine}, g{size})) / len({mine})"
 
-    return f"""{_flow()},
-    given AS (
+    x = suffix
+    return f"""
+    given{x} AS (
       SELECT qid, flatten(list({_grams('t', n)})) AS g{n}, flatten(list(t)) AS g1
-      FROM (SELECT qid, {_tok('page_content')} AS t FROM hits) GROUP BY qid),
-    said AS (
-      SELECT qid, abstained, {_tok(answer)} AS t FROM answers)
+      FROM (SELECT qid, {_tok('page_content')} AS t FROM {hits}) GROUP BY qid),
+    said{x} AS (
+      SELECT qid, abstained, {_tok(answer)} AS t FROM {answers}),
+    faithful{x} AS (
     SELECT qid, CASE WHEN abstained OR len(t) = 0 THEN NULL
       WHEN len(t) >= {n} THEN CAST(1 + floor(round(4 * ({share(n)}), 6)) AS INTEGER)
       ELSE CAST(1 + floor(round(4 * ({share(1)}), 6)) AS INTEGER) END AS faithfulness_lexical
-    FROM said LEFT JOIN given USING (qid)"""
+    FROM said{x} LEFT JOIN given{x} USING (qid))"""
+
+
+def _faithfulness(answer: str, n: int) -> str:
+    return f"{_flow()},{_faithfulness_parts(answer, n)} SELECT * FROM faithful"
 
 
-_RELEVANCE = f"""{_flow()},
-    seen AS (
-      SELECT qid, unnest({_tok('page_content')}) AS w FROM hits
-      UNION SELECT qid, unnest({_tok('result')}) FROM answers),
-    weights AS (
+def _relevance_parts(suffix: str = "", answers: str = "answers", hits: str = "hits") -> str:
+    x = suffix
+    return f"""
+    seen{x} AS (
+      SELECT qid, unnest({_tok('page_content')}) AS w FROM {hits}
+      UNION SELECT qid, unnest({_tok('result')}) FROM {answers}),
+    weights{x} AS (
       SELECT qid, w, coalesce(idf, ln(1 + (n + 0.5) / 0.5)) AS idf
       FROM asked LEFT JOIN terms USING (w), size),
-    shares AS (
+    shares{x} AS (
       SELECT qid, sum(CASE WHEN s.w IS NOT NULL THEN idf ELSE 0 END) / sum(idf) AS share
-      FROM weights LEFT JOIN seen s USING (qid, w) GROUP BY qid)
-    SELECT qid, CAST(1 + floor(round(4 * share, 6)) AS INTEGER) AS relevance_lexical
-    FROM pairs LEFT JOIN shares USING (qid)"""
+      FROM weights{x} LEFT JOIN seen{x} s USING (qid, w) GROUP BY qid),
+    relevant{x} AS (
+      SELECT qid, CAST(1 + floor(round(4 * share, 6)) AS INTEGER) AS relevance_lexical
+      FROM pairs LEFT JOIN shares{x} USING (qid))"""
+
+
+_RELEVANCE = f"{_flow()},{_relevance_parts()} SELECT * FROM relevant"
 
 
 def _judge_prompt() -> str:
@@ -478,7 +510,8 @@ def oracle() -> dict[str, str]:
     pairs, chunks = f"WITH{PAIRS}", f"WITH{CHUNKS}"
     found = "WITH" + ",".join([PAIRS, CHUNKS, BM25, _hits(catalog.K)])
     two = "WITH" + ",".join([PAIRS, CHUNKS, BM25, _hits(2)])
-    scored = ",".join([_flow(), _overlap(1), _overlap(2), _values("run")])
+    flow = _flow().replace("WITH", "WITH RECURSIVE", 1)
+    scored = ",".join([flow, _TOXIC_MODEL, _overlap(1), _overlap(2), _values("run")])
     guard = f"SELECT doc_id, {_tok('text')} AS t FROM documents"
     return {
         "rag_token_f1": f"""{_flow()},{_overlap(1)}
