@@ -66,7 +66,7 @@ def test_quality_rules_of_odd_rows(odd_docs, make_docs):
     assert {r.kept for r in rows if r.doc_id in (1, 2, 3, 7, 8, 9)} == {False}
     assert {r.n_words for r in rows if r.doc_id == 4} == {60_000}
     assert quality_rules.apply_rules(make_docs([])).count() == 0
-    judged = quality_rules.judge("Home | News | More\n" + "A fine sentence with quite a few words in it.\n" * 1)
+    judged = quality_rules.judge("Home | News | More\n" * 2 + "A fine sentence with quite a few words in it.\n")
     assert judged[-2:] == (False, "A fine sentence with quite a few words in it.\n")
 
 
