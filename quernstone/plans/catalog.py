@@ -442,6 +442,30 @@ def sync_index(spark, sf_dir):
     return sync.read_index(spark, f"{folder}/index").select("id", "doc_id", "page_content")
 
 
+def sync_batches(spark, sf_dir):
+    """The index after three arrivals: all documents, a language rewritten, a source removed."""
+    folder = scratch_path(spark, "sync")
+    docs = _docs(spark, sf_dir).select("doc_id", "text", "lang", "source")
+    rewritten = F.replace("text", F.lit("\n"), F.lit(" ")).alias("text")
+    kept, gone = F.lit(False).alias("deleted"), F.lit(True).alias("deleted")
+    arrivals = (
+        docs.select("doc_id", "text", kept),
+        docs.where("lang = 'fr'").select("doc_id", rewritten, kept),
+        docs.where("source = 'src0'").select("doc_id", "text", gone),
+    )
+    for arrival in arrivals:
+        arrival.write.mode("append").parquet(f"{folder}/docs")
+        sync.sync_index(
+            spark,
+            f"{folder}/docs",
+            arrival.schema,
+            f"{folder}/index",
+            f"{folder}/progress",
+            lambda live: chunking.with_chunk_id(chunking.chunk(live.drop("deleted"), mode="window")),
+        )
+    return sync.read_index(spark, f"{folder}/index").select("id", "doc_id", "page_content")
+
+
 def save_roundtrip(spark, sf_dir):
     """The chunk table saved, then overwritten by one without ``type``: the column stays."""
     chunks = chunking.chunk_table(_chunks(spark, sf_dir))
@@ -530,6 +554,7 @@ QUERIES: dict[str, Query] = {
         change_feed,
         change_counts,
         sync_index,
+        sync_batches,
         save_roundtrip,
         run_history,
         signature_check,

@@ -630,6 +630,11 @@ def oracle() -> dict[str, str]:
         "change_counts": f"""WITH {_CHANGES} SELECT change, count(*) AS n FROM changes
             WHERE change IS NOT NULL GROUP BY change""",
         "sync_index": f"{chunks} SELECT id, doc_id, page_content FROM chunks",
+        "sync_batches": f"""WITH final AS (
+              SELECT doc_id, CASE WHEN lang = 'fr' THEN replace(text, chr(10), ' ') ELSE text END AS text
+              FROM documents WHERE source <> 'src0'),
+            {CHUNKS.replace('FROM documents', 'FROM final')}
+            SELECT id, doc_id, page_content FROM chunks""",
         "save_roundtrip": f"""{chunks} SELECT id, page_content, CAST(NULL AS VARCHAR) AS type
             FROM chunks""",
         "run_history": f"""{_two_runs()}
