@@ -200,7 +200,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     labels = components(links)
     more = materialize(_remaining(large.select("key", "uid"), labels, classes), "more-candidates")
     if not more.isEmpty():
-        labels = components(links.unionAll(_confirm(more, classes, docs)))
+        so_far = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        labels = components(so_far.unionAll(_confirm(more, classes, docs)))
 
     in_group = classes.select("uid", "doc_id").join(labels, classes["uid"] == labels["node"]).select("uid", "doc_id", "label")
     least = in_group.groupBy("label").agg(F.min("doc_id").alias("component_id"))
