@@ -205,6 +205,7 @@ def bm25_search(
             floor=0.0,
             block_rows=block_rows,
             broadcast_bytes=broadcast_bytes,
+            item_bytes=F.aggregate("tokens", F.lit(0).cast("long"), lambda n, t: n + F.octet_length(t) + 8),
         ).select("qkey", F.col("item").alias("rep"), "score"),
         "bm25_found",
     )

@@ -89,6 +89,7 @@ def knn_exact(
         query_size=(rows, size),
         block_rows=block_rows,
         broadcast_bytes=broadcast_bytes,
+        item_bytes=F.size("embedding").cast("long") * 8,
     ).select(F.col("qkey").alias("qid"), "rank", F.col("item").alias("id"), "score")
 
 
@@ -279,6 +280,7 @@ def knn_cells(
             k,
             query_size=(0, 0),
             cell="cell",
+            item_bytes=F.size("embedding").cast("long") * 8,
         )
 
     found = materialize(within(near), "near")

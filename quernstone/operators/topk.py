@@ -23,6 +23,7 @@ Kernel = Callable[[pa.Table], Callable[[pa.Table], Scores]]
 
 BLOCK_ROWS = 16_384
 BROADCAST_BYTES = 64 << 20
+BLOCK_BYTES = 128 << 20
 SLICE = 128
 PLACES = 6
 
@@ -101,13 +102,15 @@ def _result_type(queries: DataFrame) -> str:
     return f"qkey {queries.schema['qkey'].dataType.simpleString()}, item long, score double"
 
 
-def _blocks(df: DataFrame, cell: Column, rows: int) -> DataFrame:
-    """``cell, blocks``: into how many blocks each cell's rows are cut. One row per cell."""
-    return (
-        df.groupBy(cell.alias("cell"))
-        .count()
-        .select("cell", F.ceil(F.col("count") / rows).cast("int").alias("blocks"))
+def _blocks(df: DataFrame, cell: Column, rows: int, size: Column | None = None) -> DataFrame:
+    """``cell, blocks``: into how many blocks each cell's rows are cut, by their number and, where
+    a row's ``size`` is given, by their bytes. One row per cell."""
+    size = F.lit(0) if size is None else size
+    sums = df.groupBy(cell.alias("cell")).agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")
     )
+    blocks = F.greatest(F.col("rows") / rows, F.col("bytes") / BLOCK_BYTES)
+    return sums.select("cell", F.ceil(blocks).cast("int").alias("blocks"))
 
 
 def _paired_topk(
@@ -118,11 +121,12 @@ def _paired_topk(
     floor: float | None,
     cell: str | None,
     block_rows: int,
+    item_bytes: Column | None,
 ) -> DataFrame:
     at = F.col(cell) if cell else F.lit(0)
     # One row per cell, and each task of a cell search holds all centres anyway.
     grid = F.broadcast(
-        _blocks(items, at, block_rows)
+        _blocks(items, at, block_rows, item_bytes)
         .withColumnRenamed("blocks", "item_blocks")
         .join(_blocks(queries, at, block_rows).withColumnRenamed("blocks", "query_blocks"), "cell")
     )
@@ -167,12 +171,14 @@ def block_topk(
     cell: str | None = None,
     block_rows: int = BLOCK_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    item_bytes: Column | None = None,
 ) -> DataFrame:
     """``qkey, item, score, rank``: the ``k`` best items per query.
 
     ``queries`` has a unique ``qkey`` (unique per cell with ``cell``), ``items`` a unique long
     ``item``. Only items scoring above ``floor`` count. With ``cell`` a query only meets the items
-    of its own cells. ``query_size`` is the measured number of queries and of their bytes.
+    of its own cells. ``query_size`` is the measured number of queries and of their bytes,
+    ``item_bytes`` the size of an item, by which blocks are bounded besides their rows.
     """
     if k < 1:
         raise ValueError("k must be positive")
@@ -180,5 +186,5 @@ def block_topk(
     if cell is None and rows <= block_rows and size <= broadcast_bytes:
         scored = _broadcast_topk(queries, items, kernel, k, floor)
     else:
-        scored = _paired_topk(queries, items, kernel, k, floor, cell, block_rows)
+        scored = _paired_topk(queries, items, kernel, k, floor, cell, block_rows, item_bytes)
     return best_per_query(scored, k)
