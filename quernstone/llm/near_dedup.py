@@ -12,8 +12,9 @@ two sets of similarity 0.75 share none with probability (1 - 0.75^4)^32 = 5e-6.
    them with a deviation of 4.9; pairs below ``AGREE`` = 70 are dropped (probability about 1e-7).
 4. The rest is confirmed on full sets, read again from the texts: 100 * common >= 75 * union.
 5. Larger bands whose classes are now in different components are gone through in blocks: a task
-   compares one block of a band with the classes outside the band's commonest component, and passes
-   on pairs of different components only. These are confirmed too.
+   compares one block of a band with the classes outside the band's commonest component, first by
+   sketches, then those that look alike by their full sets. It passes on no pairs but the confirmed
+   links that join components, fewer than there are classes.
 6. Components of all confirmed links; the smallest doc_id of a component names it.
 
 Documents without words have no set and no links. Rows without doc_id are linked with nothing, have
@@ -24,6 +25,7 @@ smallest id. An empty table gives an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -42,7 +44,7 @@ BANDS = 2 * HASHES // ROWS
 SIMILAR = 75  # per cent
 AGREE = 70  # of 2 * HASHES bytes
 SMALL = 16  # classes of a band compared in all pairs: 120 at most
-BLOCK = 2048  # classes of a band in one task
+BLOCK = 512  # classes of a band in one task
 
 _rng = np.random.default_rng(77)
 _MULTIPLY = _rng.integers(1, 1 << 63, (HASHES, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -114,12 +116,7 @@ def _pass_sketch(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs whose full sets are similar enough; only texts of classes in a pair are read for it."""
     pairs = materialize(pairs, "likely")
-    uids = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-    wanted = materialize(classes.select("uid", "doc_id", "cls").join(uids, "uid"), "wanted")
-    near = docs.filter(may_be_in(wanted, "doc_id")(F.xxhash64("doc_id")))
-    sets = near.join(wanted, "doc_id").select("uid", "cls", _arrow(_sets_of, "cls binary, shingles array<long>")("text").alias("s"))
-    sets = sets.filter("s.cls = cls").select("uid", "s.shingles").dropDuplicates(["uid"])
-    sets = materialize(sets, "sets")
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct(), classes, docs)
     a = sets.select(F.col("uid").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("uid").alias("b"), F.col("shingles").alias("sb"))
     met = salted_join(salted_join(pairs, a, "a", "b"), b, "b", "a")
@@ -128,24 +125,69 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     return materialize(sized.filter(F.expr(f"100 * common >= {SIMILAR} * (both - common)")).select("a", "b"), "confirmed")
 
 
-def _cross_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one block with the band's minor classes: different labels, sketches that agree."""
-    here = rows[rows["in_block"]]
-    minor = rows[rows["minor"]]
-    found = []
-    if len(here) and len(minor):
-        mine = np.frombuffer(b"".join(here["sketch"]), np.uint8).reshape(len(here), -1)
-        uid, label = here["uid"].to_numpy(), here["label"].to_numpy()
-        for other, group, sketch in zip(minor["uid"], minor["label"], minor["sketch"], strict=True):
-            near = (mine == np.frombuffer(sketch, np.uint8)).sum(axis=1) >= AGREE
-            hits = uid[near & (label != group)]
-            if len(hits):
-                found.append(pd.DataFrame({"a": np.minimum(hits, other), "b": np.maximum(hits, other)}))
-    return pd.concat(found).drop_duplicates() if found else pd.DataFrame({"a": [], "b": []}, dtype="int64")
-
-
-def _remaining(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidates inside large bands that hold classes of more than one component so far."""
+def _sets(uids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(uid, shingles): the full sets of some classes, read again from the texts."""
+    wanted = materialize(classes.select("uid", "doc_id", "cls").join(uids, "uid"), "wanted")
+    near = docs.filter(may_be_in(wanted, "doc_id")(F.xxhash64("doc_id")))
+    sets = near.join(wanted, "doc_id").select("uid", "cls", _arrow(_sets_of, "cls binary, shingles array<long>")("text").alias("s"))
+    sets = sets.filter("s.cls = cls").select("uid", "s.shingles").dropDuplicates(["uid"])
+    return materialize(sets, "sets")
+
+
+def _near_others(rows: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """Per minor class of a block: its row, and the rows of the block of other labels with a like sketch."""
+    here, minor = np.flatnonzero(rows["in_block"]), np.flatnonzero(rows["minor"])
+    if not len(here) or not len(minor):
+        return
+    sketches = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
+    label = rows["label"].to_numpy()
+    for k in minor:
+        near = (sketches[here] == sketches[k]).sum(axis=1) >= AGREE
+        found = here[near & (label[here] != label[k])]
+        if len(found):
+            yield k, found
+
+
+def _like_others(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """The classes of a block in any pair that sketches leave open."""
+    hit = np.zeros(len(rows), bool)
+    for k, found in _near_others(rows):
+        hit[k] = True
+        hit[found] = True
+    return pd.DataFrame({"key": key[0], "uid": rows["uid"].to_numpy()[hit]}).drop_duplicates()
+
+
+def _cross_links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Links of a block confirmed on full sets: those that join labels not joined by an earlier one."""
+    sets, uid, label = list(rows["shingles"]), rows["uid"].to_numpy(), rows["label"].to_numpy()
+    sizes = np.array([len(s) for s in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    out = []
+    for k, found in _near_others(rows):
+        low = np.searchsorted(flat, sets[k])
+        n = np.searchsorted(flat, sets[k], side="right") - low
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        common = np.bincount(owner[at], minlength=len(sets))[found]
+        for j in found[100 * common >= SIMILAR * (sizes[found] + sizes[k] - common)]:
+            one, two = root(int(label[k])), root(int(label[j]))
+            if one != two:
+                parent[max(one, two)] = min(one, two)
+                out.append((min(uid[k], uid[j]), max(uid[k], uid[j])))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def _remaining(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links inside large bands that hold classes of more than one component so far."""
     named = members.join(labels, members["uid"] == labels["node"], "left")
     named = named.select("key", "uid", F.coalesce("label", "uid").alias("label"))
     by_label = materialize(named.groupBy("key", "label").agg(F.count("*").alias("n")), "band-labels")
@@ -165,7 +207,12 @@ def _remaining(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Dat
     every = F.when(F.col("minor"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))
     rows = rows.withColumn("block", F.explode(every)).withColumn("in_block", F.col("block") == F.col("own"))
     rows = rows.select("key", "block", "uid", "label", "sketch", "minor", "in_block")
-    return rows.groupBy("key", "block").applyInPandas(_cross_pairs, "a long, b long").distinct()
+    rows = materialize(rows, "open-blocks")
+    likely = rows.groupBy("key", "block").applyInPandas(_like_others, "key long, uid long").distinct()
+    likely = materialize(likely, "open-classes")
+    sets = _sets(likely.select("uid").distinct(), classes, docs)
+    rows = rows.join(likely, ["key", "uid"], "left_semi").join(sets, "uid")
+    return rows.groupBy("key", "block").applyInPandas(_cross_links, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -198,10 +245,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     star = large.filter("uid != centre").select(F.least("uid", "centre").alias("a"), F.greatest("uid", "centre").alias("b"))
     links = _confirm(_pass_sketch(pairs.unionAll(star).distinct(), classes), classes, docs)
     labels = components(links)
-    more = materialize(_remaining(large.select("key", "uid"), labels, classes), "more-candidates")
+    more = materialize(_remaining(large.select("key", "uid"), labels, classes, docs), "more-links")
     if not more.isEmpty():
         so_far = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-        labels = components(so_far.unionAll(_confirm(more, classes, docs)))
+        labels = components(so_far.unionAll(more))
 
     in_group = classes.select("uid", "doc_id").join(labels, classes["uid"] == labels["node"]).select("uid", "doc_id", "label")
     least = in_group.groupBy("label").agg(F.min("doc_id").alias("component_id"))
