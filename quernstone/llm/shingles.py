@@ -31,7 +31,7 @@ def shingle_hashes(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
     if not n:
         return words
     if n < width:
-        return mix((words * _FACTORS[:n]).sum(keepdims=True) + _FACTORS[-1] * np.uint64(n))
+        return mix((words * _FACTORS[:n]).sum(keepdims=True) + _FACTORS[-1:] * np.uint64(n))
     total = words[: n - width + 1] * _FACTORS[0]
     for k in range(1, width):
         total += words[k : n - width + 1 + k] * _FACTORS[k]
