@@ -193,6 +193,25 @@ def test_state_is_carried_across_windows():
         assert abs(whole.sum() / np.log(10) - score) < 1e-3 * abs(score) + 1e-3
 
 
+def test_every_token_is_learned_from(spark, make_docs):
+    """Few long documents of one cycle of words: all their tokens reach a trainer, and the model learns the order."""
+    cycle = [f"w{k * 7 % 40}" for k in range(40)]
+    rows = [(i, " ".join((cycle * 500)[i : i + 15_000 + i])) for i in range(6)] + [(6, ""), (7, "w1"), (8, None)]
+    docs = make_docs(rows)
+    words = language_model.lexicon(materialize(language_model.word_counts(docs), "word-counts"))
+    found = language_model._stretches(docs, spark.sparkContext.broadcast(words)).collect()
+    taken = [np.frombuffer(r.tokens, "<i2") for r in found]
+    assert sum(len(t) - 1 for t in taken) == words.tokens == sum(15_001 + i for i in range(6)) + 1 + 2 + 1
+    learned = Counter(int(k) for t in taken for k in t[1:])
+    assert learned == {words.own[w]: c for w, c in words.head.items()}
+    whole = language_model._numbers(language_model.tokens_of(rows[3][1]), words.own)
+    parts = language_model.stretches_of(whole)
+    assert [int(k) for p in parts for k in p[1:]] == whole
+    assert [int(p[0]) for p in parts[1:]] == [int(p[-1]) for p in parts[:-1]]
+    scored = {r.doc_id: r for r in language_model.score_documents(docs, F.expr("doc_id < 5 or doc_id > 5")).collect()}
+    assert scored[5].score > 0.5 * scored[5].base_score
+
+
 def test_rare_words_are_joined(spark, make_docs, monkeypatch):
     """With almost nothing broadcast, the base still holds."""
     monkeypatch.setattr(language_model, "HEAD", 3)
