@@ -12,9 +12,9 @@ two sets of similarity 0.75 share none with probability (1 - 0.75^4)^32 = 5e-6.
    them with a deviation of 4.9; pairs below ``AGREE`` = 70 are dropped (probability about 1e-7).
 4. The rest is confirmed on full sets, read again from the texts: 100 * common >= 75 * union.
 5. Larger bands whose classes are now in different components are gone through in blocks: a task
-   compares one block of a band with the classes outside the band's commonest component, first by
-   sketches, then those that look alike by their full sets. It passes on no pairs but the confirmed
-   links that join components, fewer than there are classes.
+   compares one block of a band with one block of the classes outside the band's commonest component,
+   first by sketches, then, cut into blocks again, those that look alike by their full sets. A task
+   holds two blocks at most, and passes on no pairs but the confirmed links that join components.
 6. Components of all confirmed links; the smallest doc_id of a component names it.
 
 Documents without words have no set and no links. Rows without doc_id are linked with nothing, have
@@ -44,7 +44,8 @@ BANDS = 2 * HASHES // ROWS
 SIMILAR = 75  # per cent
 AGREE = 70  # of 2 * HASHES bytes
 SMALL = 16  # classes of a band compared in all pairs: 120 at most
-BLOCK = 512  # classes of a band in one task
+BLOCK = 512  # classes of a band on either side of a task that compares full sets
+SKETCHES = 4096  # the same where only sketches are compared
 
 _rng = np.random.default_rng(77)
 _MULTIPLY = _rng.integers(1, 1 << 63, (HASHES, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -135,15 +136,16 @@ def _sets(uids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _near_others(rows: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
-    """Per minor class of a block: its row, and the rows of the block of other labels with a like sketch."""
-    here, minor = np.flatnonzero(rows["in_block"]), np.flatnonzero(rows["minor"])
-    if not len(here) or not len(minor):
+    """Per asking minor class: its row, and the rows of the block of other labels with a like sketch."""
+    here, asks = np.flatnonzero(rows["here"]), np.flatnonzero(rows["asks"])
+    if not len(here) or not len(asks):
         return
     sketches = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
-    label = rows["label"].to_numpy()
-    for k in minor:
+    label, uid, minor = (rows[c].to_numpy() for c in ("label", "uid", "minor"))
+    for k in asks:
         near = (sketches[here] == sketches[k]).sum(axis=1) >= AGREE
-        found = here[near & (label[here] != label[k])]
+        # Of two minor classes the smaller one asks.
+        found = here[near & (label[here] != label[k]) & (~minor[here] | (uid[here] > uid[k]))]
         if len(found):
             yield k, found
 
@@ -186,6 +188,25 @@ def _cross_links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
+def _dealt(rows: DataFrame, block: int) -> DataFrame:
+    """Rows (key, uid, minor, size, minors, ...) as groups (key, part, block) that hold every pair of a minor class once.
+
+    In each group the classes that ask are of one part of the band's minors, those ``here`` of one block
+    of all its classes; both are of about ``block`` classes.
+    """
+    rows = rows.withColumn("parts", F.ceil(F.greatest("minors", F.lit(1)) / block).cast("int"))
+    rows = rows.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    part, own = (F.pmod(F.xxhash64("uid"), F.col(c)).cast("int") for c in ("parts", "blocks"))
+
+    def cell(p, b, asks, here):
+        return F.struct(p.alias("part"), b.alias("block"), asks.alias("asks"), here.alias("here"))
+
+    asking = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: cell(part, b, F.lit(True), b == own))
+    asked = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: cell(p, own, F.lit(False), F.lit(True)))
+    cells = F.when(F.col("minor"), F.concat(asking, F.filter(asked, lambda c: c["part"] != part))).otherwise(asked)
+    return rows.withColumn("cell", F.explode(cells)).select("*", "cell.*").drop("cell", "size", "minors", "parts", "blocks")
+
+
 def _remaining(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Links inside large bands that hold classes of more than one component so far."""
     named = members.join(labels, members["uid"] == labels["node"], "left")
@@ -194,25 +215,24 @@ def _remaining(members: DataFrame, labels: DataFrame, classes: DataFrame, docs:
     # The commonest component of each band, by count and then by label, both packed in no struct.
     most = by_label.groupBy("key").agg(F.max("n").alias("most"), F.count("*").alias("labels"), F.sum("n").alias("n"))
     major = by_label.join(most.filter("labels > 1").select("key", "most", F.col("n").alias("size")), "key")
-    major = major.filter("n = most").groupBy("key").agg(F.min("label").alias("major"), F.first("size").alias("size"))
+    major = major.filter("n = most").groupBy("key").agg(
+        F.min("label").alias("major"), F.first("size").alias("size"), F.first(F.col("size") - F.col("most")).alias("minors")
+    )
     major = materialize(major, "open-bands")
     if major.isEmpty():
         return members.select(F.col("uid").alias("a"), F.col("uid").alias("b")).limit(0)
     total = members.count()
-    rows = join_by_counts(named, major, "key", "size", total).join(classes.select("uid", "sketch"), "uid")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = rows.select(
-        "key", "uid", "label", "sketch", (F.col("label") != F.col("major")).alias("minor"), blocks.alias("blocks")
-    ).withColumn("own", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
-    every = F.when(F.col("minor"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))
-    rows = rows.withColumn("block", F.explode(every)).withColumn("in_block", F.col("block") == F.col("own"))
-    rows = rows.select("key", "block", "uid", "label", "sketch", "minor", "in_block")
-    rows = materialize(rows, "open-blocks")
-    likely = rows.groupBy("key", "block").applyInPandas(_like_others, "key long, uid long").distinct()
-    likely = materialize(likely, "open-classes")
+    rows = join_by_counts(named, major, "key", "size", total).withColumn("minor", F.col("label") != F.col("major"))
+    rows = rows.join(classes.select("uid", "sketch"), "uid")
+    rows = materialize(rows.select("key", "uid", "label", "sketch", "minor", "size", "minors"), "open-rows")
+    likely = _dealt(rows, SKETCHES).groupBy("key", "part", "block").applyInPandas(_like_others, "key long, uid long")
+    likely = materialize(likely.distinct(), "open-classes")
     sets = _sets(likely.select("uid").distinct(), classes, docs)
-    rows = rows.join(likely, ["key", "uid"], "left_semi").join(sets, "uid")
-    return rows.groupBy("key", "block").applyInPandas(_cross_links, "a long, b long").distinct()
+    rows = materialize(rows.drop("size", "minors").join(likely, ["key", "uid"], "left_semi"), "open-rows")
+    counts = rows.groupBy("key").agg(F.count("*").alias("size"), F.sum(F.col("minor").cast("long")).alias("minors"))
+    rows = join_by_counts(rows, materialize(counts, "open-sizes"), "key", "size", rows.count())
+    rows = _dealt(rows.join(sets, "uid"), BLOCK)
+    return rows.groupBy("key", "part", "block").applyInPandas(_cross_links, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -77,6 +77,36 @@ def test_near_copies_in_large_bands(make_docs, monkeypatch):
     assert found_components(near_dedup.near_duplicates(make_docs(rows))) == brute_components(rows)
 
 
+def test_a_band_of_minor_classes_is_cut_on_both_sides(spark):
+    """No group holds all minors of a band, and each pair of a minor with another class meets in one group."""
+    n, block = 200, 10
+    for minors in (199, 60, 1):
+        rows = spark.range(n).select(
+            F.lit(7).cast("long").alias("key"), F.col("id").alias("uid"), (F.col("id") < minors).alias("minor"),
+            F.lit(n).cast("long").alias("size"), F.lit(minors).cast("long").alias("minors"),
+        )
+        groups = defaultdict(list)
+        for r in near_dedup._dealt(rows, block).collect():
+            groups[r.part, r.block].append(r)
+        assert max(map(len, groups.values())) <= 6 * block
+        met = Counter((a.uid, b.uid) for held in groups.values() for a in held if a.asks for b in held if b.here)
+        assert met == {(a, b): 1 for a in range(minors) for b in range(n)}
+
+
+def test_templated_texts_under_the_threshold(make_docs, monkeypatch):
+    """A template that all texts share to about 65 %, with a few true near copies among them."""
+    for name, value in (("SMALL", 2), ("BLOCK", 8), ("SKETCHES", 16)):
+        monkeypatch.setattr(near_dedup, name, value)
+    rng = random.Random(6)
+    template = [f"t{k}" for k in range(160)]
+    own = lambda: [f"u{rng.randrange(10**7)}" for _ in range(40)]
+    rows = [(i, " ".join(template + own())) for i in range(70)]
+    rows += [(100 + i, t.rsplit(" ", 3)[0]) for i, t in rows[::9]]
+    found = found_components(near_dedup.near_duplicates(make_docs(rows)))
+    assert found == brute_components(rows)
+    assert 60 < len({c for _, c in found.values()}) < len(rows)
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, make_docs):
     found = [(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(odd_docs).collect()]
     assert sorted(found, key=str) == sorted(
