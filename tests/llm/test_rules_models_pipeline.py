@@ -110,6 +110,24 @@ def test_quality_scores_separate_held_out_labels(spark):
     assert (good[:, None] > bad[None]).mean() > 0.85
 
 
+def test_long_words_count_whole_and_by_characters():
+    rng = random.Random(4)
+    for word in ("a", "éß", "plain", "你好世界" * 3, "ab" * 40 + "é", "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(30_000))):
+        marked = f"<{word}>"
+        grams = [(marked[i : i + n].encode(), n) for n in (3, 4, 5) for i in range(len(marked) - n + 1)]
+        wanted = Counter(1 + quality_classifier._hash(g, n) % (quality_classifier.BUCKETS - 1) for g, n in [(word.encode(), 7), *grams])
+        at, times = quality_classifier.feature_counts(word.encode())
+        found = Counter()
+        for k, c in zip(at.tolist(), times.tolist(), strict=True):
+            found[k] += c
+        assert found == wanted
+    logit = np.random.default_rng(1).normal(size=quality_classifier.BUCKETS).astype(np.float32)
+    model = quality_classifier.Model(logit, 0.0)
+    wanted_logit = sum(float(logit[k]) * c for k, c in wanted.items()) / wanted.total()
+    assert abs(model.score(word) - 1 / (1 + np.exp(-wanted_logit))) < 1e-6
+    assert model.score("文" * 50 + "a" * 500) != model.score("文" * 50 + "b" * 500)
+
+
 def test_quality_of_odd_rows(spark, odd_docs, make_docs):
     labels = spark.createDataFrame([(5, 1), (5, 0), (6, 1), (None, 1), (7, None)], "doc_id long, quality int")
     model = quality_classifier.train(quality_classifier.training_rows(odd_docs, labels, F.lit(True)))
