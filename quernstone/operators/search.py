@@ -327,6 +327,21 @@ def recall_report(found: DataFrame, truth: DataFrame, n_vectors: int) -> DataFra
     )
 
 
+def probes_for_recall(
+    index: VectorIndex, queries: DataFrame, truth: DataFrame, k: int, least: float, nprobe: int = 1
+) -> int:
+    """The first number of cells from ``nprobe`` on, in steps of a fifth, whose search finds ``least`` of ``truth``."""
+    cells = index.cells.count()
+    while nprobe < cells:
+        found = knn_cells(index, queries, k, nprobe=nprobe, exact=False).select("qid", "id", F.lit(1).alias("hit"))
+        hits = truth.join(queries.select("qid"), "qid", "left_semi").join(found, ["qid", "id"], "left")
+        recall = hits.agg(F.avg(F.coalesce("hit", F.lit(0)))).first()[0]
+        if recall is None or recall >= least:
+            break
+        nprobe = min(cells, nprobe + max(1, nprobe // 5))
+    return nprobe
+
+
 def describe_index(index: VectorIndex) -> DataFrame:
     """One row: size, dimensions, null and repeated keys, and how uneven the cells are."""
     per_key = index.vectors.groupBy("id").agg(

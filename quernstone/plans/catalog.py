@@ -32,6 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 K = 4
 DIMENSIONS = embedding.DIMENSIONS
 CELLS = 16
+RECALL = 0.9
+PROBE_QUERIES = 1000  # the queries that choose how many cells are visited
 ROUTES = {"large": 60, "medium": 30, "small": 10}
 SUMMARY_METRICS = (*evaluation.QA_METRICS, "faithfulness_lexical", "relevance_lexical")
 
@@ -176,10 +178,18 @@ def reopened_bm25(spark, sf_dir):
 
 
 def knn_cells_recall(spark, sf_dir):
+    """An index with the default number of cells, visited as far as a recall of ``RECALL`` needs."""
     vectors = _vectors(spark, sf_dir)
-    asked = vectors.withColumnRenamed("id", "qid")
-    found = search.knn_cells(_vector_index(spark, sf_dir), asked, K, nprobe=4, exact=False)
-    return search.recall_report(found, search.knn_exact(asked, vectors, K), vectors.count())
+    asked, n = vectors.withColumnRenamed("id", "qid"), vectors.count()
+    index = search.build_index(vectors)
+    truth = materialize(search.knn_exact(asked, vectors, K), "neighbours")
+    nprobe = max(1, index.cells.count() // 3)
+    if n > PROBE_QUERIES:  # some queries choose, all of them confirm
+        some = asked.where(F.pmod(F.xxhash64("qid"), F.lit(-(-n // PROBE_QUERIES))) == 0)
+        nprobe = search.probes_for_recall(index, some, truth, K, RECALL, nprobe)
+    nprobe = search.probes_for_recall(index, asked, truth, K, RECALL, nprobe)
+    found = search.knn_cells(index, asked, K, nprobe=nprobe, exact=False)
+    return search.recall_report(found, truth, n)
 
 
 def describe_index(spark, sf_dir):

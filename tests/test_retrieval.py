@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quernstone.operators import bm25, embedding, joins, search
-from quernstone.plans import rag
+from quernstone.plans import catalog, rag
 
 
 def tokens(text):
@@ -179,6 +179,11 @@ def test_recall_is_far_above_the_share_scored(spark, small):
     assert row["recall"] - row["share_scored"] >= 0.2
 
 
+def test_the_registered_index_finds_nine_in_ten(spark, small):
+    row = catalog.knn_cells_recall(spark, small).first()
+    assert row["recall"] >= 0.9 and row["share_scored"] < 0.8
+
+
 def test_describe_index_counts_bad_keys(spark):
     rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (None, [1.0, 1.0]), (4, [1.0, 2.0]), (5, None)]
     index = search.build_index(spark.createDataFrame(rows, "id long, embedding array<float>"), 2)
