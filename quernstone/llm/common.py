@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quernstone.sources.scratch import materialize
 from quernstone.sources.tables import read_table
 
-__all__ = ["WORD", "documents", "fold", "lower_ascii", "materialize", "read_table", "split_hot", "text_udf", "words_of"]
+__all__ = ["WORD", "documents", "fold", "lower_ascii", "materialize", "read_table", "text_udf", "words_of"]
 
 # A word is a run of characters other than blank, tab, \n, \v, \f and \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -68,12 +68,6 @@ def text_udf(of_text: Callable[[str | None], tuple], fields: list[tuple[str, pa.
     return F.arrow_udf(run, schema)
 
 
-def split_hot(counts: DataFrame, n: str, total: int) -> tuple[DataFrame, DataFrame]:
-    """Keys with over a thousandth of all rows, under 1000 of them by counting, and the other keys."""
-    limit = max(1, total // 1000)
-    return counts.filter(F.col(n) > limit), counts.filter(F.col(n) <= limit)
-
-
 def has_letter(text: str) -> bool:
     return bool(_LETTER.search(text)) or any(map(str.isalpha, text))
 
@@ -81,17 +75,22 @@ def has_letter(text: str) -> bool:
 _LETTER = re.compile("[A-Za-z]")
 
 
-def join_by_counts(left: DataFrame, right: DataFrame, key: str, n: str, total: int) -> DataFrame:
+SALTS = 64
+
+
+def join_by_counts(left: DataFrame, right: DataFrame, key: str | list[str], n: str, total: int) -> DataFrame:
     """Inner join of ``left`` with a table of one row per key that knows the key's rows ``n`` in ``left``.
 
-    Keys with over a thousandth of the rows are fewer than 1000, so they are broadcast and their
-    rows stay where they are; the rest has no hot key and is joined plainly.
+    Keys with over a thousandth of the ``total`` rows are fewer than 1000 (none is hot in a small
+    table). Their rows are dealt to ``SALTS`` tasks each, and their row of ``right`` is repeated as
+    often; all other keys have one salt. Of a key of several columns the first tells hot ones.
     """
-    hot, cold = split_hot(right, n, total)
-    hot = materialize(hot, "hot-keys")
-    with_hot = left.join(F.broadcast(hot), key)
-    without = left.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return with_hot.unionByName(without.join(cold, key))
+    keys = [key] if isinstance(key, str) else key
+    hot = [r[0] for r in right.filter(F.col(n) > max(1000, total // 1000)).select(keys[0]).distinct().collect()]
+    salts = F.when(F.col(keys[0]).isin(hot), SALTS).otherwise(1)
+    left = left.withColumn("__salt", F.pmod(F.xxhash64(*left.columns), salts).cast("int"))
+    right = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), (salts - 1).cast("int"))))
+    return left.join(right, [*keys, "__salt"]).drop("__salt")
 
 
 def salted_join(pairs: DataFrame, table: DataFrame, key: str, other: str) -> DataFrame:
@@ -114,13 +113,12 @@ def salted_join(pairs: DataFrame, table: DataFrame, key: str, other: str) -> Dat
 SKETCH_BITS = 1 << 26  # 8 MB, whatever the number of keys
 
 
-def may_be_in(keys: DataFrame, *key: str):
-    """A UDF on ``xxhash64`` of a key of one or more columns: false only for keys not in ``keys``.
+def membership(keys: DataFrame, value: Column) -> Callable[[np.ndarray], np.ndarray]:
+    """A test of 64-bit values: false only for values not among ``value`` of ``keys``.
 
-    A bitmap of fixed size is broadcast. It keeps most rows without a partner out of a shuffle as
-    long as keys are few against its bits, and never leaves out a row with one.
-    """
-    place = F.pmod(F.xxhash64(*key), F.lit(SKETCH_BITS)) + 1
+    A bitmap of fixed size is broadcast, whatever the number of keys; the fuller it is, the more other
+    values pass.    """
+    place = F.pmod(value, F.lit(SKETCH_BITS)) + 1
     parts = keys.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
     )
@@ -130,9 +128,23 @@ def may_be_in(keys: DataFrame, *key: str):
         bits[(row.part - 1) * len(part) : row.part * len(part)] = part
     held = keys.sparkSession.sparkContext.broadcast(bits)
 
+    def known(values: np.ndarray) -> np.ndarray:
+        at = values % SKETCH_BITS
+        return (held.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+    return known
+
+
+def may_be_in(keys: DataFrame, *key: str):
+    """A UDF on ``xxhash64`` of a key of one or more columns: false only for keys not in ``keys``.
+
+    It keeps most rows without a partner out of a shuffle as long as keys are few against the bits of
+    the bitmap (``membership``), and never leaves out a row with one.
+    """
+    test = membership(keys, F.xxhash64(*key))
+
     def known(hashes: pa.Array) -> pa.Array:
-        at = hashes.to_numpy(zero_copy_only=False) % SKETCH_BITS
-        return pa.array((held.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+        return pa.array(test(hashes.to_numpy(zero_copy_only=False)))
 
     known.__annotations__ = {"hashes": pa.Array, "return": pa.Array}
     return F.arrow_udf(known, "boolean")

@@ -129,4 +129,24 @@ SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_chunks, 0)::B
 FROM d LEFT JOIN by_doc USING (r)
 """
 
-ORACLE = {"op1_quality_rules": OP1, "op2_sharding": OP2, "op7_line_dedup": OP7}
+OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT r, doc_id, i, array_to_string(w[i:i+12], ' ') AS g FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)
+), hit AS (
+  SELECT r, unnest(range(i, i + 13)) AS p FROM (
+    SELECT r, doc_id, i, min(doc_id) OVER (PARTITION BY g) AS first_doc FROM windows
+  ) WHERE doc_id > first_doc
+), gone AS (
+  SELECT DISTINCT r, p FROM hit
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+  FROM (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d) ANTI JOIN gone USING (r, p)
+  GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+ORACLE = {"op1_quality_rules": OP1, "op2_sharding": OP2, "op7_line_dedup": OP7, "op13_substring_dedup": OP13}

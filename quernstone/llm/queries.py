@@ -14,12 +14,15 @@ from quernstone.llm import (
     line_dedup,
     near_dedup,
     packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     sharding,
+    substring_dedup,
     token_counts,
+    whitening,
 )
-from quernstone.llm.common import documents, fold, read_table
+from quernstone.llm.common import documents, fold, read_table, small_batches
 
 SHARD_BYTES = 1 << 20
 END_TOKEN = 2
@@ -92,6 +95,35 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), *columns)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(documents(spark, sf_dir), change=periodic_runs.planted)
+    # The longest, of those the first, of those the one of the smallest period.
+    rank = F.transform("runs", lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    best = F.array_max(rank)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    spelled = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.l").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("(1000 * best.l) div (-best.p)").alias("exponent_milli"),
+        F.sha2(spelled, 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(read_table(small_batches(spark), sf_dir, "embeddings"))
+    return whitened.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substring_dedup.remove_repeated(documents(spark, sf_dir))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("clean_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
@@ -103,4 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_language_model": op10_language_model,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_substring_dedup": op13_substring_dedup,
 }
