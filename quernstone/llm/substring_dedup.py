@@ -3,18 +3,21 @@
 A window is ``width`` consecutive words of one document. A word goes if a window covers it whose word
 sequence also starts in a document with a smaller id; windows are judged on the input.
 
+Rows whose whole text a row of a smaller id has too lose everything (from ``width`` words on) and add no
+window; they are told by the md5 of their text and take no part in what follows.
+
 1. Anchors. Positions of a text are taken modulo ``period``; a difference cover is a set of residues
    whose differences give every residue. Only at the cover's positions the next ``anchor`` words are
    hashed (of 13 words: 7, at 3 of 7 positions). Two equal windows at any two positions have cover
    positions at the same distance from their starts, within ``period``, so they share an anchor there.
    Counting anchors once per document, combined in tasks, gives those that occur in two or more.
-2. Extension. Around each shared anchor the windows that contain it are spelled out by a hash of 128
+2. Extension. Around each shared anchor the windows that contain it are spelled out by a hash of 96
    bits, and the smallest id is found per window. No pair of occurrences is ever formed.
 3. Windows whose smallest id is below their own document's are gathered per document, and its words
    are dropped. Only texts that lose something are moved.
 
-Which anchors are shared is told to the scan by a bitmap of fixed size as long as they are few against
-its bits (``few``); beyond that each text's anchors are joined with the shared ones. Both ways name
+Which anchors are shared is told to the scan by a bitmap of 32 MB as long as they are few against its
+bits (``few``); beyond that each text's anchors are joined with the shared ones. Both ways name
 every shared anchor and the result is the same. Joins are salted by counts (``join_by_counts``), so a
 passage in a third of all documents is spread over tasks.
 
@@ -36,11 +39,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import SKETCH_BITS, join_by_counts, materialize, may_be_in, membership, words_of
+from quernstone.llm.common import join_by_counts, materialize, may_be_in, membership, words_of
 from quernstone.llm.shingles import mix
 
 WIDTH = 13
-FEW = SKETCH_BITS // 8
+ANCHOR_BITS = 1 << 28
+FEW = ANCHOR_BITS // 12
 
 _digest = xxhash.xxh3_128_digest
 
@@ -114,8 +118,8 @@ def _anchors_udf(width: int):
     return _annotated(run, "array<long>")
 
 
-_WINDOW = pa.struct([("w1", pa.int64()), ("w2", pa.int64()), ("start", pa.int32())])
-_WINDOWS = "array<struct<w1 long, w2 long, start int>>"
+_WINDOW = pa.struct([("w1", pa.int64()), ("w2", pa.int32()), ("start", pa.int32())])
+_WINDOWS = "array<struct<w1 long, w2 int, start int>>"
 
 
 def _windows(texts: pa.Array, width: int, shared) -> pa.Array:
@@ -128,8 +132,9 @@ def _windows(texts: pa.Array, width: int, shared) -> pa.Array:
         parts.append((start, two))
         sizes.append(len(start))
     start = np.concatenate([p[0] for p in parts] or [np.empty(0)]).astype(np.int32)
-    two = np.concatenate([p[1] for p in parts] or [np.empty((0, 2), np.uint64)]).view(np.int64)
-    flat = pa.StructArray.from_arrays([pa.array(two[:, 0].copy()), pa.array(two[:, 1].copy()), pa.array(start)], ["w1", "w2", "start"])
+    two = np.concatenate([p[1] for p in parts] or [np.empty((0, 2), np.uint64)])
+    w1, w2 = two[:, 0].copy().view(np.int64), two[:, 1].astype(np.uint32).view(np.int32)
+    flat = pa.StructArray.from_arrays([pa.array(w1), pa.array(w2), pa.array(start)], ["w1", "w2", "start"])
     return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), flat)
 
 
@@ -141,7 +146,7 @@ def candidate_windows(rows: DataFrame, width: int, few: int) -> DataFrame:
     shared = materialize(shared, "shared-anchors")
     n_shared = shared.count()
     if n_shared <= few:
-        known = membership(shared, F.col("h"))
+        known = membership(shared, F.col("h"), ANCHOR_BITS)
 
         def by_bitmap(texts: pa.Array) -> pa.Array:
             return _windows(texts, width, lambda k, hashes: known(hashes))
@@ -162,14 +167,27 @@ def candidate_windows(rows: DataFrame, width: int, few: int) -> DataFrame:
     return near.select("doc_id", "digest", F.explode("w").alias("w")).select("doc_id", "digest", "w.*")
 
 
+def copied_rows(named: DataFrame) -> DataFrame:
+    """(doc_id, digest) of the rows whose text a row of a smaller id has too."""
+    texts = named.select("doc_id", "digest", F.unhex(F.md5("text")).alias("cls"))
+    classes = texts.groupBy("cls").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+    copied = materialize(classes.filter("first_doc < last_doc").drop("last_doc"), "copied-texts")
+    total = copied.agg(F.sum("n")).first()[0] or 0
+    maybe = texts.filter(may_be_in(copied, "cls")(F.xxhash64("cls")))
+    hit = join_by_counts(maybe, copied, "cls", "n", total).filter("doc_id > first_doc")
+    return materialize(hit.select("doc_id", "digest").distinct(), "copied-rows")
+
+
 def _rewritten_udf(width: int):
     kinds = [("clean_text", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64())]
 
-    def run(texts: pa.Array, starts: pa.Array) -> pa.Array:
+    def run(texts: pa.Array, starts: pa.Array, copies: pa.Array) -> pa.Array:
         rows = []
-        for t, s in zip(texts, starts, strict=True):
+        for t, s, copy in zip(texts, starts, copies, strict=True):
             words = kept = words_of(t.as_py() or "")
-            if s.is_valid:
+            if copy.as_py() and len(words) >= width:
+                kept = []
+            elif s.is_valid:
                 change = np.zeros(len(words) + 1, np.int64)
                 at = np.unique(s.values.to_numpy(zero_copy_only=False))
                 change[at] += 1
@@ -184,21 +202,31 @@ def _rewritten_udf(width: int):
 
 def remove_repeated(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id", text: str = "text", few: int = FEW) -> DataFrame:
     """(doc_id, clean_text, n_words, n_removed) per row; clean_text holds the kept words joined by one blank."""
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).withColumn("digest", F.xxhash64("text"))
-    named = rows.filter("doc_id is not null")
-    found = materialize(candidate_windows(named, width, few), "candidate-windows")
+    # The digest tells rows of one id apart.
+    digest = F.pmod(F.xxhash64("text"), F.lit((1 << 31) - 1)).cast("int").alias("digest")
+    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).select("doc_id", "text", digest)
+    named = rows.filter("doc_id is not null and text is not null")
+    key = F.xxhash64("doc_id", "digest")
+
+    copies = copied_rows(named)
+    maybe_copy = may_be_in(copies, "doc_id", "digest")(key)
+    others = materialize(named.filter(maybe_copy).join(copies, ["doc_id", "digest"], "left_anti"), "taken-for-copies")
+    firsts = named.filter(~maybe_copy).unionByName(others)
+
+    found = candidate_windows(firsts, width, few)
     windows = found.groupBy("w1", "w2").agg(
         F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")
     )
     repeated = materialize(windows.filter("first_doc < last_doc").drop("last_doc"), "repeated-windows")
     maybe = found.filter(may_be_in(repeated, "w1")(F.xxhash64("w1")))
-    hit = join_by_counts(maybe, repeated, ["w1", "w2"], "n", found.count()).filter("doc_id > first_doc")
-    gone = hit.groupBy("doc_id", "digest").agg(F.collect_set("start").alias("gone"))
-    gone = materialize(gone, "windows-gone")
-
-    concerned = F.coalesce(may_be_in(gone, "doc_id", "digest")(F.xxhash64("doc_id", "digest")) & F.col("doc_id").isNotNull(), F.lit(False))
-    rewritten = _rewritten_udf(width)
-    some = rows.filter(concerned).join(gone, ["doc_id", "digest"], "left")
-    whole = rows.filter(~concerned).withColumn("gone", F.lit(None).cast("array<int>"))
-    every = some.select("doc_id", "text", "gone").unionAll(whole.select("doc_id", "text", "gone"))
-    return every.select("doc_id", rewritten("text", "gone").alias("r")).select("doc_id", "r.*")
+    total = repeated.agg(F.sum("n")).first()[0] or 0
+    hit = join_by_counts(maybe, repeated, ["w1", "w2"], "n", total).filter("doc_id > first_doc")
+    gone = hit.groupBy("doc_id", "digest").agg(F.collect_set("start").alias("gone")).withColumn("copy", F.lit(False))
+    lost = gone.unionByName(copies.withColumn("gone", F.lit(None).cast("array<int>")).withColumn("copy", F.lit(True)))
+    lost = materialize(lost, "rows-that-lose")
+
+    concerned = F.coalesce(may_be_in(lost, "doc_id", "digest")(key) & F.col("doc_id").isNotNull() & F.col("text").isNotNull(), F.lit(False))
+    some = rows.filter(concerned).join(lost, ["doc_id", "digest"], "left").select("doc_id", "text", "gone", "copy")
+    none = F.lit(None).cast("array<int>").alias("gone"), F.lit(False).alias("copy")
+    every = some.unionAll(rows.filter(~concerned).select("doc_id", "text", *none))
+    return every.select("doc_id", _rewritten_udf(width)("text", "gone", "copy").alias("r")).select("doc_id", "r.*")

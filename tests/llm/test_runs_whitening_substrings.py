@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quernstone.llm import periodic_runs, substring_dedup, whitening
+from quernstone.llm import common, periodic_runs, substring_dedup, whitening
 from quernstone.llm.queries import QUERIES
 from quernstone.sources.tables import read_table
 
@@ -233,3 +233,23 @@ def test_a_passage_in_every_document_is_spread_over_salts(spark, make_docs):
     rows = [(i, f"a{i} {passage} b{i}") for i in range(3000)]
     found = substring_dedup.remove_repeated(make_docs(rows)).collect()
     assert {(r.doc_id == 0, r.n_removed) for r in found} == {(True, 0), (False, 20)}
+
+
+def test_joins_with_hot_keys_lose_and_repeat_nothing(spark):
+    """Keys of bytes and of two columns, one of them with a third of all rows."""
+    rows = [(i, bytes([i % 200 if i % 3 else 7]) * 16, i % 200 if i % 3 else 7, i % 2) for i in range(9000)]
+    left = spark.createDataFrame(rows, "row long, cls binary, a long, b int").filter("row != 5")
+    for keys in ("cls", ["a", "b"]):
+        one = [keys] if isinstance(keys, str) else keys
+        counts = left.groupBy(*one).agg(F.count("*").alias("n")).withColumn("v", F.col("n") * 2).filter("n != 45")
+        found = common.join_by_counts(left, counts, keys, "n", 9000)
+        assert sorted(r.row for r in found.collect()) == sorted(r.row for r in left.join(counts, one).collect())
+        assert found.columns == [*one, *[c for c in left.columns if c not in one], "n", "v"]
+
+
+def test_membership_has_no_false_negatives_and_few_false_positives(spark):
+    keys = spark.range(50_000).select(F.xxhash64("id").alias("h"))
+    test = common.membership(keys, F.col("h"), 1 << 20)
+    values = np.array([r.h for r in spark.range(100_000).select(F.xxhash64("id").alias("h")).collect()], np.int64)
+    found = test(values)
+    assert found[:50_000].all() and found[50_000:].mean() < 0.01
