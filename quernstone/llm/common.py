@@ -112,6 +112,13 @@ def salted_join(pairs: DataFrame, table: DataFrame, key: str, other: str) -> Dat
 
 SKETCH_BITS = 1 << 26  # 8 MB, whatever the number of keys
 PROBES = 4
+_filters: list = []  # broadcast by this driver and not yet released
+
+
+def release_filters() -> None:
+    """Let executors drop the filters broadcast so far; one still in use is sent again."""
+    while _filters:
+        _filters.pop().unpersist()
 
 
 def membership(keys: DataFrame, value: Column, bits: int = SKETCH_BITS) -> Callable[[np.ndarray], np.ndarray]:
@@ -132,6 +139,7 @@ def membership(keys: DataFrame, value: Column, bits: int = SKETCH_BITS) -> Calla
         part = np.frombuffer(bytes(row.bits), np.uint8)
         filled[(row.part - 1) * len(part) : row.part * len(part)] = part
     held = keys.sparkSession.sparkContext.broadcast(filled)
+    _filters.append(held)
 
     def known(values: np.ndarray) -> np.ndarray:
         values = values.view(np.uint64)

@@ -255,8 +255,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # uid ^ key orders each band in its own way, so bands choose different centres.
     bands = banded.groupBy("key").agg(F.count("*").alias("n"), F.min(F.expr("uid ^ key")).alias("least")).filter("n > 1")
     bands = materialize(bands.select("key", "n", F.expr("least ^ key").alias("centre")), "bands")
-    n_banded = BANDS * classes.count()
-    members = materialize(join_by_counts(banded, bands, "key", "n", n_banded), "band-members")
+    # Only rows of bands that two classes share are moved.
+    shared = banded.filter(may_be_in(bands, "key")(F.xxhash64("key")))
+    n_shared = bands.agg(F.sum("n")).first()[0] or 0
+    members = materialize(join_by_counts(shared, bands, "key", "n", n_shared), "band-members")
 
     small = members.filter(F.col("n") <= SMALL).select("key", "uid")
     one, two = small.select("key", F.col("uid").alias("a")), small.select("key", F.col("uid").alias("b"))

@@ -22,7 +22,7 @@ from quernstone.llm import (
     token_counts,
     whitening,
 )
-from quernstone.llm.common import documents, fold, read_table, small_batches
+from quernstone.llm.common import documents, fold, materialize, read_table, small_batches
 
 SHARD_BYTES = 1 << 20
 END_TOKEN = 2
@@ -83,8 +83,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    return token_counts.with_suffix_sums(token_counts.length_histogram(docs, vocabulary(), F.col("lang")))
+    histogram = token_counts.length_histogram(documents(spark, sf_dir), vocabulary(), F.col("lang"))
+    return token_counts.with_suffix_sums(materialize(histogram, "length-histogram"))  # read twice
 
 
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
