@@ -17,32 +17,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.llm import decontamination, line_dedup, near_dedup, packing, quality_rules
-from quernstone.llm.common import materialize, read_table, small_batches
+from quernstone.llm.common import materialize, read_table, release_filters, small_batches
 from quernstone.llm.queries import CONTEXT, END_TOKEN, vocabulary
 
 
-def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _begin(spark: SparkSession) -> None:
     small_batches(spark)
+    release_filters()  # what earlier stages have broadcast
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _begin(spark)
     return quality_rules.clean_documents(docs)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    _begin(spark)
     return line_dedup.clean_documents(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    _begin(spark)
     return near_dedup.one_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    _begin(spark)
     return decontamination.clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    _begin(spark)
     return packing.pack(docs, vocabulary(), CONTEXT, END_TOKEN)
 
 
