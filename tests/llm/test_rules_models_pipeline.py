@@ -110,24 +110,58 @@ def test_quality_scores_separate_held_out_labels(spark):
     assert (good[:, None] > bad[None]).mean() > 0.85
 
 
-def test_long_words_count_whole_and_by_characters():
+def plain_buckets(text):
+    """Every word, n-gram of characters and pair of neighbours of a text, hashed one by one."""
+    factors = [int(f) for f in quality_classifier._FACTORS]
+    whole = 1 << 64
+
+    def mixed(x):
+        x = (x ^ (x >> 33)) * 0xFF51AFD7ED558CCD % whole
+        x = (x ^ (x >> 33)) * 0xC4CEB9FE1A85EC53 % whole
+        return x ^ (x >> 33)
+
+    spelled, found = [], Counter()
+    for word in text.split():
+        marked = [ord(c) for c in f"<{word}>"]
+        spelled.append(mixed(sum(mixed((c * factors[5] + i * factors[6]) % whole) for i, c in enumerate(marked)) % whole))
+        found[spelled[-1] % quality_classifier.BUCKETS] += 1
+        for n in quality_classifier.GRAMS:
+            for i in range(len(marked) - n + 1):
+                total = n + sum(c * f for c, f in zip(marked[i : i + n], factors, strict=False))
+                found[mixed(total % whole) % quality_classifier.BUCKETS] += 1
+    for one, two in zip(spelled, spelled[1:], strict=False):
+        found[mixed((one * factors[0] + two * factors[1]) % whole) % quality_classifier.BUCKETS] += 1
+    return found
+
+
+def test_long_words_count_whole_and_by_characters(monkeypatch):
     rng = random.Random(4)
-    for word in ("a", "éß", "plain", "你好世界" * 3, "ab" * 40 + "é", "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(30_000))):
-        marked = f"<{word}>"
-        grams = [(marked[i : i + n].encode(), n) for n in (3, 4, 5) for i in range(len(marked) - n + 1)]
-        wanted = Counter(1 + quality_classifier._hash(g, n) % (quality_classifier.BUCKETS - 1) for g, n in [(word.encode(), 7), *grams])
-        at, times = quality_classifier.feature_counts(word.encode())
-        found = Counter()
-        for k, c in zip(at.tolist(), times.tolist(), strict=True):
-            found[k] += c
-        assert found == wanted
+    long_word = "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(3000))
     logit = np.random.default_rng(1).normal(size=quality_classifier.BUCKETS).astype(np.float32)
-    model = quality_classifier.Model(logit, 0.0)
-    wanted_logit = sum(float(logit[k]) * c for k, c in wanted.items()) / wanted.total()
-    assert abs(model.score(word) - 1 / (1 + np.exp(-wanted_logit))) < 1e-6
+    texts = ["a", "éß", "plain words and plain words again", "你好世界" * 3, "ab" * 40 + "é", f"the {long_word} the end", "x x x x"]
+    for stretch in (1 << 20, 50):
+        monkeypatch.setattr(quality_classifier, "STRETCH", stretch)
+        model = quality_classifier.Model(logit, 0.25)
+        together = model.scores([None, *texts, ""])
+        assert together[0] == together[-1] == model.score(" ") == 1 / (1 + np.exp(-0.25))
+        for text, score in zip(texts, together[1:-1], strict=True):
+            wanted = plain_buckets(text)
+            ids, weights = quality_classifier.document_features(text)
+            assert dict(zip(ids.tolist(), np.round(weights.astype(float) * wanted.total()).astype(int).tolist(), strict=True)) == wanted
+            plain = 0.25 + sum(float(logit[k]) * c for k, c in wanted.items()) / wanted.total()
+            assert abs(score - 1 / (1 + np.exp(-plain))) < 1e-6 and abs(model.score(text) - score) < 1e-12
     assert model.score("文" * 50 + "a" * 500) != model.score("文" * 50 + "b" * 500)
 
 
+def test_a_worker_forgets_words_it_has_no_room_for(monkeypatch):
+    logit = np.random.default_rng(1).normal(size=quality_classifier.BUCKETS).astype(np.float32)
+    texts = [f"w{i} w{i + 1} w{2 * i}" for i in range(40)]
+    wanted = quality_classifier.Model(logit, 0.0).scores(texts)
+    monkeypatch.setattr(quality_classifier, "KEPT", 5)
+    model = quality_classifier.Model(logit, 0.0)
+    assert np.allclose([model.score(t) for t in texts], wanted) and len(model._known) < 10
+
+
 def test_quality_of_odd_rows(spark, odd_docs, make_docs):
     labels = spark.createDataFrame([(5, 1), (5, 0), (6, 1), (None, 1), (7, None)], "doc_id long, quality int")
     model = quality_classifier.train(quality_classifier.training_rows(odd_docs, labels, F.lit(True)))
