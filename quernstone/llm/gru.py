@@ -29,16 +29,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def run(cell: dict, symbols: np.ndarray, state: np.ndarray, keep: bool = False) -> tuple[np.ndarray, list]:
     """States (time, batch, width) after each step of ``symbols`` (time, batch); with ``keep``, also what ``back`` needs."""
     width = state.shape[1]
-    tables = [np.ascontiguousarray(cell["table"][:, k * width : (k + 1) * width]) for k in range(3)]
-    us = [np.ascontiguousarray(cell["u"][:, k * width : (k + 1) * width]) for k in range(3)]
+    table, u = cell["table"], cell["u"]
     out = np.empty((*symbols.shape, width), np.float32)
     kept = []
-    for t, x in enumerate(symbols):
-        z = _sigmoid(state @ us[0] + tables[0][x])
-        r = _sigmoid(state @ us[1] + tables[1][x])
-        inner = state @ us[2]
+    for t, symbol in enumerate(symbols):
+        x, product = table[symbol], state @ u
+        gates = product[:, : 2 * width] + x[:, : 2 * width]
+        _sigmoid(gates)
+        z, r, inner = gates[:, :width], gates[:, width:], product[:, 2 * width :]
         n = r * inner
-        n += tables[2][x]
+        n += x[:, 2 * width :]
         np.tanh(n, out=n)
         if keep:
             kept.append((state, z, r, inner, n))
@@ -49,44 +49,75 @@ def run(cell: dict, symbols: np.ndarray, state: np.ndarray, keep: bool = False)
     return out, kept
 
 
-def back(cell: dict, symbols: np.ndarray, kept: list, d_out: np.ndarray) -> dict[str, np.ndarray]:
-    """Gradients of table and u for gradients ``d_out`` of all states; truncated at the first step."""
+def back(cell: dict, symbols: np.ndarray, kept: list, d_out: np.ndarray, rows: bool = False) -> dict:
+    """Gradients of table and u for gradients ``d_out`` of all states; truncated at the first step.
+
+    With ``rows`` that of the table is a pair: the rows met, and their gradients.
+    """
     u = cell["u"]
+    width = d_out.shape[2]
     d_state = np.zeros_like(kept[0][0])
     d_u = np.zeros_like(u)
     d_gates = np.empty((*symbols.shape, u.shape[1]), np.float32)
+    product = np.empty((symbols.shape[1], u.shape[1]), np.result_type(u, d_out))
     for t in range(len(symbols) - 1, -1, -1):
         state, z, r, inner, n = kept[t]
-        d = d_state + d_out[t]
-        d_n = d * (1 - z) * (1 - n * n)
-        d_z = d * (state - n) * z * (1 - z)
-        d_inner = d_n * r
-        d_r = d_n * inner * r * (1 - r)
-        d_gates[t] = np.concatenate([d_z, d_r, d_n], axis=1)
-        product = np.concatenate([d_z, d_r, d_inner], axis=1)
+        d = d_out[t] + d_state
+        open_ = 1 - z
+        d_n = d * open_
+        d_n *= 1 - n * n
+        d_z = d * (state - n)
+        d_z *= z
+        np.multiply(d_z, open_, out=product[:, :width])
+        d_inner = np.multiply(d_n, r, out=product[:, 2 * width :])
+        d_r = d_inner * inner
+        np.multiply(d_r, 1 - r, out=product[:, width : 2 * width])
+        d_gates[t, :, : 2 * width] = product[:, : 2 * width]
+        d_gates[t, :, 2 * width :] = d_n
         d_u += state.T @ product
-        d_state = d * z + product @ u.T
+        d_state = product @ u.T
+        d *= z
+        d_state += d
+    flat = symbols.ravel()
+    order = np.argsort(flat, kind="stable")
+    ordered = flat[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    met, sums = ordered[first], np.add.reduceat(d_gates.reshape(-1, u.shape[1])[order], first, axis=0)
+    if rows:
+        return {"table": (met, sums), "u": d_u}
     d_table = np.zeros_like(cell["table"])
-    np.add.at(d_table, symbols.ravel(), d_gates.reshape(-1, u.shape[1]))
+    d_table[met] = sums
     return {"table": d_table, "u": d_u}
 
 
 class Adam:
-    """Steps of a size that the first and second moments of each gradient give."""
+    """Steps of a size that the first and second moments of each gradient give.
+
+    A gradient given as (rows, values) moves these rows alone, moments included.
+    """
 
     def __init__(self, params: dict[str, np.ndarray], rate: float):
         self.params, self.rate, self.t = params, rate, 0
         self.first = {k: np.zeros_like(v) for k, v in params.items()}
         self.second = {k: np.zeros_like(v) for k, v in params.items()}
 
-    def step(self, gradients: dict[str, np.ndarray], limit: float = 1.0) -> None:
+    def step(self, gradients: dict, limit: float = 1.0, share: float = 1.0) -> None:
         self.t += 1
-        norm = np.sqrt(sum(float((g * g).sum()) for g in gradients.values()))
-        scale = min(1.0, limit / (norm + 1e-9))
+        norm = share * np.sqrt(sum(float(np.vdot(v, v)) for v in (g[1] if isinstance(g, tuple) else g for g in gradients.values())))
+        scale = np.float32(share * min(1.0, limit / (norm + 1e-9)))
+        early, late = np.float32(1 - 0.9**self.t), np.float32(1 - 0.99**self.t)
         for k, g in gradients.items():
+            at, g = g if isinstance(g, tuple) else (slice(None), g)
             g = g * scale
-            self.first[k] += 0.1 * (g - self.first[k])
-            self.second[k] += 0.01 * (g * g - self.second[k])
-            first = self.first[k] / (1 - 0.9**self.t)
-            second = self.second[k] / (1 - 0.99**self.t)
-            self.params[k] -= self.rate * first / (np.sqrt(second) + 1e-7)
+            first, second = self.first[k][at], self.second[k][at]
+            first += np.float32(0.1) * (g - first)
+            g *= g
+            second += np.float32(0.01) * (g - second)
+            if not isinstance(at, slice):
+                self.first[k][at], self.second[k][at] = first, second
+            np.divide(second, late, out=g)
+            np.sqrt(g, out=g)
+            g += np.float32(1e-7)
+            np.divide(first, g, out=g)
+            g *= np.float32(self.rate) / early
+            self.params[k][at] -= g

@@ -207,13 +207,13 @@ def test_gradients_of_the_unit():
 
 
 def test_base_and_model_of_a_corpus(spark):
-    docs = documents(spark, SMALL).collect()
+    docs = documents(spark, SF).collect()
     counts = Counter()
     for d in docs:
         if crc(d.doc_id, 7) != 2:
             counts.update([*language_model.tokens_of(d.text), b""])
     n, v = sum(counts.values()), len(counts)
-    rows = {r.doc_id: r for r in queries.op10_language_model(spark, SMALL).collect()}
+    rows = {r.doc_id: r for r in queries.op10_language_model(spark, SF).collect()}
     for d in docs:
         tokens, r = [*language_model.tokens_of(d.text), b""], rows[d.doc_id]
         base = sum(np.log10((counts[t] + 1) / (n + v + 1)) for t in tokens)
@@ -221,7 +221,34 @@ def test_base_and_model_of_a_corpus(spark):
         assert abs(r.base_score - base) < 1e-6 * abs(base) + 1e-9
         assert r.held_out == (crc(d.doc_id, 7) == 2)
     held = [r for r in rows.values() if r.held_out]
-    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    gain = sum(r.score - r.base_score for r in held) / sum(r.n_tokens for r in held)
+    assert gain > 0.15  # log10 a token
+
+
+def test_rows_of_a_table_move_as_in_the_whole_table():
+    rng = np.random.default_rng(6)
+    cell = gru.new_cell(rng, 9, 4)
+    symbols = rng.integers(0, 6, (7, 3))
+    _, kept = gru.run(cell, symbols, np.zeros((3, 4), np.float32), True)
+    d_out = rng.normal(size=(7, 3, 4)).astype(np.float32)
+    whole, (met, values) = gru.back(cell, symbols, kept, d_out)["table"], gru.back(cell, symbols, kept, d_out, rows=True)["table"]
+    assert met.tolist() == sorted(set(symbols.ravel().tolist())) and np.allclose(whole[met], values)
+    assert not whole[[k for k in range(9) if k not in met]].any()
+    one, two = ({"table": cell["table"].copy()} for _ in range(2))
+    gru.Adam(one, 0.1).step({"table": whole / 5})
+    gru.Adam(two, 0.1).step({"table": (met, values)}, share=1 / 5)
+    assert np.allclose(one["table"], two["table"], atol=1e-6)
+
+
+def test_words_of_equal_counts_are_the_models_own(spark, make_docs, monkeypatch):
+    """More words of one count than are broadcast: the first by spelling still get numbers of their own."""
+    monkeypatch.setattr(language_model, "HEAD", 10)
+    docs = make_docs([(i, " ".join(f"u{i}x{k:02d}" for k in range(30))) for i in range(4)])
+    words = language_model.lexicon(materialize(language_model.word_counts(docs), "word-counts"))
+    assert len(words.own) == 121 and words.own[b"u0x00"] == 2 and words.own[b"u3x29"] == 121
+    assert {language_model.input_row(b"never seen")} <= set(range(language_model.VOCABULARY, language_model.VOCABULARY + language_model.HASHED))
+    rows = language_model.score_documents(docs, F.lit(True)).collect()
+    assert all(np.isfinite(r.score) and r.n_known == 31 for r in rows)
 
 
 def test_probabilities_sum_to_one():
