@@ -1,7 +1,15 @@
-"""Exact BM25 retrieval for many questions at once (Robertson and Zaragoza, 2009)."""
+"""Exact BM25 retrieval for many questions at once (Robertson and Zaragoza, 2009).
+
+Distinct texts are dealt to blocks by a hash. The index holds one posting list per term and block,
+with the largest count and the smallest length in it: together they bound what the term can add to a
+score there, whatever the average length becomes. A search moves the lists of the terms it asks
+for, and no text's tokens. A task goes through its blocks with a running k-th score per question and
+skips each block whose bound stays below it (block-max pruning, Ding and Suel, 2011).
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,20 +25,29 @@ from quernstone.sources.scratch import materialize, scratch_path
 
 K1 = 1.2
 B = 0.75
+BLOCK_TEXTS = 1024
+# Blocks scored against one block of questions by a task, where questions travel in blocks.
+BLOCKS_TOGETHER = 16
+# Scores of one round of the kernel.
+CELLS = 1 << 18
+HALF_PLACE = 0.5 * 10.0**-topk.PLACES + 1e-9
 
 
 @dataclass
 class Bm25Index:
     """Written tables of an index.
 
-    texts: rep, copies, n_tokens, tokens, page_content (one row per distinct chunk text)
+    texts: rep, copies, n_tokens, page_content (one row per distinct chunk text)
     copies: rep, id (one row per chunk)
     terms: term, df, idf
+    postings: batch, block, term, df, most, least, docs(rep, n_tokens, tf); a row without a term
+        lists texts of its block that are gone
     """
 
     texts: DataFrame
     copies: DataFrame
     terms: DataFrame
+    postings: DataFrame
     n_chunks: int
     avg_tokens: float
     k1: float
@@ -62,6 +79,32 @@ def _smallest_copies(index: Bm25Index, reps: DataFrame, k: int) -> DataFrame:
     )
 
 
+def block_of(n_texts: int) -> Column:
+    return F.pmod(F.xxhash64("rep"), F.lit(max(1, -(-n_texts // BLOCK_TEXTS)))).cast("int")
+
+
+def postings_of(texts: DataFrame, n_texts: int, batch: int = 0) -> DataFrame:
+    """The posting lists of ``texts(rep, copies, n_tokens, page_content)``.
+
+    The texts move once, to their blocks; counts and lists are made where they then lie.
+    """
+    placed = texts.withColumn("block", block_of(n_texts)).repartition("block")
+    every = placed.select("block", "rep", "copies", "n_tokens", F.explode(tx.tokens("page_content")).alias("term"))
+    counts = every.groupBy("block", "term", "rep", "copies", "n_tokens").agg(F.count("*").cast("int").alias("tf"))
+    return (
+        counts.groupBy("block", "term")
+        .agg(
+            F.sum("copies").alias("df"),
+            F.max("tf").alias("most"),
+            F.min("n_tokens").alias("least"),
+            # at most the texts of a block
+            F.sort_array(F.collect_list(F.struct("rep", "n_tokens", "tf"))).alias("docs"),
+        )
+        .select(F.lit(batch).alias("batch"), "block", "term", "df", "most", "least", "docs")
+        .sortWithinPartitions("term", "block")
+    )
+
+
 def build_bm25(
     chunks: DataFrame, k1: float = K1, b: float = B, path: str | None = None
 ) -> Bm25Index:
@@ -69,11 +112,7 @@ def build_bm25(
     path = path or scratch_path(chunks.sparkSession, "bm25")
     known = chunks.where("page_content is not null").select("id", "page_content")
     texts = materialize(
-        distinct_texts(known)
-        .withColumn("tokens", tx.tokens("page_content"))
-        .withColumn("n_tokens", F.size("tokens")),
-        "texts",
-        f"{path}/texts",
+        distinct_texts(known).withColumn("n_tokens", F.size(tx.tokens("page_content"))), "texts", f"{path}/texts"
     )
     keyed = materialize(known.select("id", F.md5("page_content").alias("text_key")), "keyed")
     reps = texts.select("rep", F.md5("page_content").alias("text_key"))
@@ -81,32 +120,29 @@ def build_bm25(
         salted_join(keyed, reps, "text_key").select("rep", "id"), "copies", f"{path}/copies"
     )
     totals = texts.agg(
-        F.sum("copies").alias("n"), F.sum(F.col("copies") * F.col("n_tokens")).alias("tokens")
+        F.count("*").alias("texts"),
+        F.sum("copies").alias("n"),
+        F.sum(F.col("copies") * F.col("n_tokens")).alias("tokens"),
     ).first()
     n_chunks = totals["n"] or 0
     avg_tokens = (totals["tokens"] or 0) / n_chunks if n_chunks else 0.0
-    terms = materialize(
-        texts.select("copies", F.explode(F.array_distinct("tokens")).alias("term"))
-        .groupBy("term")
-        .agg(F.sum("copies").alias("df"))
-        .withColumn("idf", idf(n_chunks, F.col("df"))),
-        "terms",
-        f"{path}/terms",
-    )
+    postings = materialize(postings_of(texts, totals["texts"]), "postings", f"{path}/postings")
+    terms = postings.groupBy("term").agg(F.sum("df").alias("df"))
+    terms = materialize(terms.withColumn("idf", idf(n_chunks, F.col("df"))), "terms", f"{path}/terms")
     totals_row = [(n_chunks, float(avg_tokens), k1, b)]
     materialize(
         chunks.sparkSession.createDataFrame(totals_row, "n_chunks long, avg_tokens double, k1 double, b double"),
         "totals",
         f"{path}/totals",
     )
-    return Bm25Index(texts, copies, terms, n_chunks, avg_tokens, k1, b)
+    return Bm25Index(texts, copies, terms, postings, n_chunks, avg_tokens, k1, b)
 
 
 def open_bm25(spark: SparkSession, path: str) -> Bm25Index:
     """The index that ``build_bm25`` wrote to ``path``, in this or another session."""
     totals = spark.read.parquet(f"{path}/totals").first()
-    texts, copies, terms = (spark.read.parquet(f"{path}/{name}") for name in ("texts", "copies", "terms"))
-    return Bm25Index(texts, copies, terms, *totals)
+    names = ("texts", "copies", "terms", "postings")
+    return Bm25Index(*(spark.read.parquet(f"{path}/{name}") for name in names), *totals)
 
 
 def question_terms(questions: DataFrame) -> DataFrame:
@@ -137,44 +173,136 @@ def term_weights(index: Bm25Index, asked: DataFrame) -> DataFrame:
     )
 
 
-def bm25_kernel(k1: float, b: float, avg_tokens: float) -> topk.Kernel:
-    def kernel(queries: pa.Table):
+class _Scorer:
+    """Questions against blocks of posting lists, with the best ``k`` texts per question so far."""
+
+    def __init__(self, queries: pa.Table, k: int, k1: float, b: float, avg_tokens: float):
         weights = queries.column("q_weights").combine_chunks()
         flat = weights.flatten()
-        ends = weights.offsets.to_numpy() - weights.offsets[0].as_py()
-        vocabulary = flat.field("term").unique()
-        codes = pc.index_in(flat.field("term"), value_set=vocabulary).to_numpy()
-        idfs = flat.field("idf").to_numpy()
-
-        def prepared(items: pa.Table) -> topk.Scores:
-            tokens = items.column("tokens").combine_chunks()
-            n, v = items.num_rows, len(vocabulary)
-            found = pc.index_in(tokens.flatten(), value_set=vocabulary)
-            doc = np.repeat(np.arange(n), pc.list_value_length(tokens).to_numpy())
-            known = found.is_valid().to_numpy(zero_copy_only=False)
-            code = found.drop_null().to_numpy().astype(np.int64)
-            # (term, chunk) pairs in term order, with their counts
-            pair, tf = np.unique(code * n + doc[known], return_counts=True)
-            term, at = pair // n, pair % n
-            length = items.column("n_tokens").to_numpy()
-            norm = k1 * (1 - b + b * length / (avg_tokens or 1.0))
-            sat = tf * (k1 + 1) / (tf + norm[at])
-            starts = np.searchsorted(term, np.arange(v + 1))
-
-            def scores(lo: int, hi: int) -> np.ndarray:
-                out = np.zeros((hi - lo, n))
-                for q in range(lo, hi):
-                    row = out[q - lo]
-                    for j in range(ends[q], ends[q + 1]):
-                        span = slice(starts[codes[j]], starts[codes[j] + 1])
-                        row[at[span]] += idfs[j] * sat[span]
-                return out
-
-            return scores
-
-        return prepared
-
-    return kernel
+        self.names = queries.column("qkey").combine_chunks()
+        self.n = queries.num_rows
+        self.vocabulary = flat.field("term").unique()
+        self.codes = pc.index_in(flat.field("term"), value_set=self.vocabulary).to_numpy()
+        self.idfs = flat.field("idf").to_numpy()
+        self.owner = np.repeat(np.arange(self.n), pc.list_value_length(weights).to_numpy())
+        self.best = topk.Best(self.n, k, 0.0)
+        self.k1, self.b, self.avg = k1, b, avg_tokens or 1.0
+        self.scored = self.skipped = 0  # (question, block) pairs
+
+    def _added(self, tf: np.ndarray, length: np.ndarray) -> np.ndarray:
+        return tf * (self.k1 + 1) / (tf + self.k1 * (1 - self.b + self.b * length / self.avg))
+
+    def add(self, lists: pa.Table) -> None:
+        """Score the lists of one block, those of terms not asked for included."""
+        code = pc.index_in(lists.column("term"), value_set=self.vocabulary).combine_chunks()
+        docs = lists.column("docs").combine_chunks()
+        flat, sizes = docs.flatten(), pc.list_value_length(docs).to_numpy()
+        if not len(flat):
+            return
+        reps, at = np.unique(flat.field("rep").to_numpy(), return_inverse=True)
+        gone = np.zeros(len(reps), bool)
+        gone[at[np.repeat(lists.column("term").combine_chunks().is_null().to_numpy(zero_copy_only=False), sizes)]] = True
+        asked = np.flatnonzero(code.is_valid().to_numpy(zero_copy_only=False))
+        v = len(self.vocabulary)
+        first, size, bound = np.zeros(v, np.int64), np.zeros(v, np.int64), np.zeros(v)
+        here = code.take(pa.array(asked)).to_numpy()
+        first[here], size[here] = (np.cumsum(sizes) - sizes)[asked], sizes[asked]
+        most, least = (lists.column(c).to_numpy()[asked].astype(np.float64) for c in ("most", "least"))
+        bound[here] = self._added(most, least)
+        gain = self._added(flat.field("tf").fill_null(0).to_numpy().astype(np.float64), flat.field("n_tokens").to_numpy())
+        reach = np.bincount(self.owner, self.idfs * bound[self.codes], self.n)
+        alive = (reach > 0) & (reach >= self.best.bar - HALF_PLACE)
+        self.scored += int(alive.sum())
+        self.skipped += int((reach > 0).sum() - alive.sum())
+        together = max(1, CELLS // len(reps))
+        entries = np.flatnonzero(alive[self.owner] & (size[self.codes] > 0))
+        questions = np.flatnonzero(alive)
+        for low in range(0, len(questions), together):
+            some = questions[low : low + together]
+            mine = entries[np.searchsorted(self.owner[entries], some[0]) : np.searchsorted(self.owner[entries], some[-1], side="right")]
+            n = size[self.codes[mine]]
+            place = np.repeat(first[self.codes[mine]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            row = np.repeat(np.searchsorted(some, self.owner[mine]), n)
+            worth = np.repeat(self.idfs[mine], n) * gain[place]
+            scores = np.bincount(row * len(reps) + at[place], worth, len(some) * len(reps)).reshape(len(some), -1)
+            scores[:, gone] = 0
+            scores = np.round(scores, topk.PLACES)
+            for k in np.flatnonzero(scores.max(axis=1) >= self.best.bar[some]):
+                self.best.add(some[k], scores[k], reps)
+
+    def add_sorted(self, batches: Iterator[pa.RecordBatch]) -> None:
+        """Rows sorted by batch and block, in pieces of any size; a block's rows are scored together."""
+        held: list[pa.Table] = []
+
+        def done() -> None:
+            if held:
+                self.add(pa.concat_tables(held))
+                held.clear()
+
+        last = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            place = np.stack([table.column(c).to_numpy() for c in ("batch", "block")], axis=1)
+            cuts = [0, *(np.flatnonzero((place[1:] != place[:-1]).any(axis=1)) + 1).tolist(), len(place)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if lo == hi:
+                    continue
+                if last is not None and tuple(place[lo]) != last:
+                    done()
+                last = tuple(place[lo])
+                held.append(table.slice(lo, hi - lo))
+        done()
+
+    def table(self) -> pa.Table:
+        return self.best.table(self.names)
+
+
+_LIST = ("batch", "block", "term", "most", "least", "docs")
+
+
+def _few_questions(index: Bm25Index, queries: DataFrame, asked_terms: DataFrame, k: int) -> DataFrame:
+    """The questions go to every task, which keeps its best of all its blocks."""
+    spark = queries.sparkSession
+    shared = spark.sparkContext.broadcast(queries.toArrow())
+    how = (k, index.k1, index.b, index.avg_tokens)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not shared.value.num_rows:
+            return
+        scorer = _Scorer(shared.value, *how)
+        scorer.add_sorted(batches)
+        yield from scorer.table().to_batches()
+
+    # Asked terms are part of the broadcast questions, so their size is bounded too.
+    lists = index.postings.join(F.broadcast(asked_terms), "term", "left_semi")
+    lists = lists.unionByName(index.postings.where("term is null")).select(*_LIST)
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lists = lists.repartition(tasks, "batch", "block").sortWithinPartitions("batch", "block")
+    return lists.mapInArrow(scan, "qkey string, item long, score double")
+
+
+def _many_questions(index: Bm25Index, queries: DataFrame, n_queries: int, block_rows: int, k: int) -> DataFrame:
+    """Questions travel in blocks, each with the lists of its own terms in groups of blocks of texts."""
+    parts = max(1, -(-n_queries // block_rows))
+    blocks = index.postings.select("batch", "block").distinct().count()
+    groups = max(1, -(-blocks // BLOCKS_TOGETHER))
+    how = (k, index.k1, index.b, index.avg_tokens)
+    dealt = queries.withColumn("part", F.pmod(F.xxhash64("qkey"), F.lit(parts)).cast("int"))
+    wanted = dealt.select(F.col("part").alias("of_part"), F.explode("q_weights.term").alias("term")).distinct()
+    group = F.pmod(F.xxhash64("batch", "block"), F.lit(groups)).cast("int").alias("of_group")
+    lists = index.postings.join(wanted, "term").select("of_part", group, *_LIST)
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("of_part")
+    lists = lists.unionByName(index.postings.where("term is null").select(every, group, *_LIST))
+    asked = dealt.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+
+    def score(questions: pa.Table, block: pa.Table) -> pa.Table:
+        scorer = _Scorer(questions, *how)
+        if questions.num_rows and block.num_rows:
+            scorer.add_sorted(iter(block.sort_by([("batch", "ascending"), ("block", "ascending")]).to_batches()))
+        return scorer.table()
+
+    grouped = asked.groupBy("part", "group").cogroup(lists.groupBy("of_part", "of_group"))
+    return grouped.applyInArrow(score, "qkey string, item long, score double")
 
 
 def bm25_search(
@@ -189,26 +317,21 @@ def bm25_search(
     Questions with equal terms are searched once, and equal chunk texts are scored once. Chunks
     without any question term are no hits. Ties go to the smaller id.
     """
+    if k < 1:
+        raise ValueError("k must be positive")
     asked = materialize(question_terms(questions), "asked")
     queries = materialize(term_weights(index, asked), "bm25_queries")
     term_bytes = F.aggregate(
         "q_weights", F.lit(0).cast("long"), lambda s, w: s + F.octet_length(w["term"]) + 16
     )
     rows, size = queries.agg(F.count("*"), F.coalesce(F.sum(term_bytes), F.lit(0))).first()
-    found = materialize(
-        topk.block_topk(
-            queries,
-            index.texts.select(F.col("rep").alias("item"), "tokens", "n_tokens"),
-            bm25_kernel(index.k1, index.b, index.avg_tokens),
-            k,
-            query_size=(rows, size),
-            floor=0.0,
-            block_rows=block_rows,
-            broadcast_bytes=broadcast_bytes,
-            item_bytes=F.aggregate("tokens", F.lit(0).cast("long"), lambda n, t: n + F.octet_length(t) + 8),
-        ).select("qkey", F.col("item").alias("rep"), "score"),
-        "bm25_found",
-    )
+    if rows <= block_rows and size <= broadcast_bytes:
+        asked_terms = queries.select(F.explode("q_weights.term").alias("term")).distinct()
+        scored = _few_questions(index, queries, asked_terms, k)
+    else:
+        scored = _many_questions(index, queries, rows, block_rows, k)
+    best = topk.best_per_query(scored, k)
+    found = materialize(best.select("qkey", F.col("item").alias("rep"), "score"), "bm25_found")
     ids = _smallest_copies(index, found.select("rep").distinct(), k)
     texts = ids.join(index.texts.select("rep", "page_content"), "rep")
     ranked = Window.partitionBy("qkey").orderBy(F.desc("score"), "id")

@@ -34,7 +34,7 @@ EPSILON = 1e-9
 MARGIN = 1e-6
 TRAIN_PER_CELL = 256
 # Queries looked at, and the share of vectors above which visiting cells cannot pay off.
-LOOKED_AT = 256
+LOOKED_AT = 64
 TOO_MUCH = 0.5
 
 
@@ -102,20 +102,22 @@ class VectorIndex:
     centres: np.ndarray
 
 
-def build_index(
-    vectors: DataFrame,
-    cells: int | None = None,
-    seed: int = 7,
-    path: str | None = None,
-) -> VectorIndex:
-    """Index ``vectors(id, embedding)``; other columns are kept.
+def small_kmeans(points: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.ndarray:
+    """At most ``k`` centres of a sample that fits a task."""
+    rng = np.random.default_rng(seed)
+    distinct = np.unique(points, axis=0)
+    centres = distinct[rng.permutation(len(distinct))[:k]]
+    for _ in range(rounds):
+        cell = _distances(points, centres).argmin(axis=1)
+        n = np.bincount(cell, minlength=len(centres))
+        sums = np.zeros_like(centres)
+        np.add.at(sums, cell, points)
+        centres = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres)
+    return centres
 
-    The number of cells defaults to the root of the number of vectors, as far as their centres fit
-    every task. About ``TRAIN_PER_CELL`` rows per cell, sampled, place the centres; every row is
-    assigned to a cell.
-    """
-    path = path or scratch_path(vectors.sparkSession, "vectors")
-    known = vectors.where("embedding is not null")
+
+def fitted_centres(known: DataFrame, cells: int | None, seed: int) -> np.ndarray:
+    """Centres of ``known(embedding)``, placed by a sample of about ``TRAIN_PER_CELL`` rows per cell."""
     rows, width = known.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
     if cells is None:
         cells = max(1, min(round(rows**0.5), MAX_CENTRE_BYTES // (8 * width)))
@@ -124,16 +126,47 @@ def build_index(
         training = training.sample(TRAIN_PER_CELL * cells / rows, seed=seed)
     unit = Normalizer(inputCol="vector", outputCol="features").transform(training)
     training = materialize(unit.select("features"), "training")
+    if cells == 1 or rows <= 2 * cells:  # too few for the distributed fit
+        some = training.limit(TRAIN_PER_CELL * cells).collect()
+        return small_kmeans(np.array([r.features.toArray() for r in some]), cells, seed)
     centres = np.array(KMeans(k=cells, seed=seed, maxIter=20).fit(training).clusterCenters())
     if centres.nbytes > MAX_CENTRE_BYTES:
         raise ValueError("too many cells: the centres are kept by every task")
+    return centres
+
+
+def nearest_udf(centres: np.ndarray, reach: np.ndarray | None = None):
+    """``cell, gap`` of a vector: the nearest centre (of those in ``reach``) and its distance."""
 
     @F.pandas_udf("cell int, gap double")
     def nearest(embeddings: pd.Series) -> pd.DataFrame:
+        if not len(embeddings):
+            return pd.DataFrame({"cell": [], "gap": []})
         away = _distances(_unit(np.stack(embeddings).astype(np.float64)), centres)
+        if reach is not None:
+            away[:, ~reach] = np.inf
         cell = away.argmin(axis=1)
         return pd.DataFrame({"cell": cell, "gap": away[np.arange(len(cell)), cell]})
 
+    return nearest
+
+
+def build_index(
+    vectors: DataFrame,
+    cells: int | None = None,
+    seed: int = 7,
+    path: str | None = None,
+) -> VectorIndex:
+    """Index ``vectors(id, embedding)``; other columns are kept.
+
+    The number of cells defaults to the root of the number of vectors, as far as their centres fit
+    every task. About ``TRAIN_PER_CELL`` rows per cell, sampled, place the centres; every row is
+    assigned to a cell.
+    """
+    path = path or scratch_path(vectors.sparkSession, "vectors")
+    known = vectors.where("embedding is not null")
+    centres = fitted_centres(known, cells, seed)
+    nearest = nearest_udf(centres)
     assigned = known.withColumn("_at", nearest("embedding")).select(
         *vectors.columns, "_at.gap", "_at.cell"
     )
@@ -238,17 +271,23 @@ def _beyond(index: VectorIndex, nprobe: int):
     return within
 
 
-def least_share(index: VectorIndex, queries: DataFrame) -> float:
-    """A lower bound of the share of vectors an exact search by cells visits, over some queries.
+def visited_share(index: VectorIndex, queries: DataFrame, k: int) -> float:
+    """The share of vectors that an exact search by cells visits, estimated on some queries.
 
-    A cell whose ball holds the query can never be left out, however near the best vectors are.
+    The k-th score of each is found by one pass over the vectors, which few queries share; a cell has
+    to be visited if its ball reaches as near.
     """
     radius, size = _cell_bounds(index)
-    some = queries.where("embedding is not null").select("embedding").limit(LOOKED_AT).collect()
-    if not some or not size.sum():
+    some = queries.where("embedding is not null").limit(LOOKED_AT)
+    some = materialize(some.select(F.monotonically_increasing_id().alias("qid"), "embedding"), "looked-at")
+    kth = knn_exact(some, index.vectors, k).groupBy("qid").agg(F.min("score").alias("least"), F.count("*").alias("n"))
+    rows = some.join(kth, "qid").collect()  # LOOKED_AT at most
+    if not rows or not size.sum():
         return 0.0
-    away = _distances(_unit(np.array([row[0] for row in some], dtype=np.float64)), index.centres)
-    return float(((away <= radius) @ size).mean() / size.sum())
+    away = _distances(_unit(np.array([r["embedding"] for r in rows], dtype=np.float64)), index.centres)
+    least = np.array([r["least"] if r["n"] == k else -1.0 for r in rows]) - HALF_PLACE
+    reach = np.sqrt(np.maximum(0, 2 - 2 * least)) + MARGIN
+    return float(((away - radius <= reach[:, None]) @ size).mean() / size.sum())
 
 
 def knn_cells(
@@ -257,10 +296,10 @@ def knn_cells(
     """``qid, rank, id, score, pairs``: search by cells. ``pairs`` is the number of vectors that
     were scored for the query.
 
-    An exact search whose bounds show on some queries that most cells must be visited anyway is one
-    pass over all vectors instead; the result is the same.
+    An exact search that, by some of its queries, would visit most vectors anyway is one pass over
+    all of them instead; the result is the same. A search of hardly more queries than that goes by cells.
     """
-    if exact and least_share(index, queries) > TOO_MUCH:
+    if exact and queries.limit(4 * LOOKED_AT + 1).count() > 4 * LOOKED_AT and visited_share(index, queries, k) > TOO_MUCH:
         total = index.cells.agg(F.sum("n")).first()[0]
         return knn_exact(queries, index.vectors, k).withColumn("pairs", F.lit(total).cast("long"))
     near = materialize(probes(index, queries, nprobe), "probes")

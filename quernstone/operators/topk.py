@@ -28,7 +28,7 @@ SLICE = 128
 PLACES = 6
 
 
-class _Best:
+class Best:
     """Running best ``k`` per query, by score and then by smaller item key."""
 
     def __init__(self, n: int, k: int, floor: float | None):
@@ -65,7 +65,7 @@ class _Best:
         )
 
 
-def _scan(best: _Best, prepared, items: pa.Table, n_queries: int) -> None:
+def _scan(best: Best, prepared, items: pa.Table, n_queries: int) -> None:
     if items.num_rows == 0:
         return
     keys = items.column("item").to_numpy()
@@ -90,7 +90,7 @@ def _broadcast_topk(
         if not asked.num_rows:
             return
         prepared = kernel(asked)
-        best = _Best(asked.num_rows, k, floor)
+        best = Best(asked.num_rows, k, floor)
         for batch in batches:
             _scan(best, prepared, pa.Table.from_batches([batch]), asked.num_rows)
         yield from best.table(_names(asked)).to_batches()
@@ -143,7 +143,7 @@ def _paired_topk(
     place = ["cell", "item_block", "query_block"]
 
     def score(asked: pa.Table, block: pa.Table) -> pa.Table:
-        best = _Best(asked.num_rows, k, floor)
+        best = Best(asked.num_rows, k, floor)
         if asked.num_rows:
             _scan(best, kernel(asked), block, asked.num_rows)
         return best.table(_names(asked))

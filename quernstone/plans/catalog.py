@@ -13,6 +13,7 @@ from quernstone.operators import (
     bm25,
     changes,
     chunking,
+    codes,
     embedding,
     evaluation,
     judging,
@@ -25,7 +26,7 @@ from quernstone.operators import (
 from quernstone.plans import rag
 from quernstone.sources import tables
 from quernstone.sources.scratch import materialize, scratch_path
-from quernstone.streaming import sync
+from quernstone.streaming import live, sync
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +34,7 @@ K = 4
 DIMENSIONS = embedding.DIMENSIONS
 CELLS = 16
 RECALL = 0.9
+SURVIVORS = 40  # full vectors scored for a query
 PROBE_QUERIES = 1000  # the queries that choose how many cells are visited
 ROUTES = {"large": 60, "medium": 30, "small": 10}
 SUMMARY_METRICS = (*evaluation.QA_METRICS, "faithfulness_lexical", "relevance_lexical")
@@ -192,6 +194,16 @@ def knn_cells_recall(spark, sf_dir):
     return search.recall_report(found, truth, n)
 
 
+def knn_codes_recall(spark, sf_dir):
+    """Every vector's neighbours by codes: recall, and the share of full vectors scored for it."""
+    vectors = _vectors(spark, sf_dir)
+    asked, n = vectors.withColumnRenamed("id", "qid"), vectors.count()
+    index = codes.build_codes(vectors)
+    truth = materialize(search.knn_exact(asked, vectors, K), "neighbours")
+    found = codes.knn_codes(index, asked, K, nprobe=len(index.centres), survivors=SURVIVORS)
+    return search.recall_report(found, truth, n)
+
+
 def describe_index(spark, sf_dir):
     described = search.describe_index(_vector_index(spark, sf_dir))
     return described.select(
@@ -452,30 +464,72 @@ def sync_index(spark, sf_dir):
     return sync.read_index(spark, f"{folder}/index").select("id", "doc_id", "page_content")
 
 
-def sync_batches(spark, sf_dir):
-    """The index after three arrivals: all documents, a language rewritten, a source removed."""
-    folder = scratch_path(spark, "sync")
+def _arrivals(spark, sf_dir) -> tuple[DataFrame, ...]:
+    """All documents, a language rewritten, a source removed."""
     docs = _docs(spark, sf_dir).select("doc_id", "text", "lang", "source")
     rewritten = F.replace("text", F.lit("\n"), F.lit(" ")).alias("text")
     kept, gone = F.lit(False).alias("deleted"), F.lit(True).alias("deleted")
-    arrivals = (
+    return (
         docs.select("doc_id", "text", kept),
         docs.where("lang = 'fr'").select("doc_id", rewritten, kept),
         docs.where("source = 'src0'").select("doc_id", "text", gone),
     )
-    for arrival in arrivals:
+
+
+def _window_chunks(docs: DataFrame) -> DataFrame:
+    return chunking.with_chunk_id(chunking.chunk(docs.drop("deleted"), mode="window"))
+
+
+def sync_batches(spark, sf_dir):
+    """The index after three arrivals."""
+    folder = scratch_path(spark, "sync")
+    for arrival in _arrivals(spark, sf_dir):
         arrival.write.mode("append").parquet(f"{folder}/docs")
         sync.sync_index(
-            spark,
-            f"{folder}/docs",
-            arrival.schema,
-            f"{folder}/index",
-            f"{folder}/progress",
-            lambda live: chunking.with_chunk_id(chunking.chunk(live.drop("deleted"), mode="window")),
+            spark, f"{folder}/docs", arrival.schema, f"{folder}/index", f"{folder}/progress", _window_chunks
         )
     return sync.read_index(spark, f"{folder}/index").select("id", "doc_id", "page_content")
 
 
+def live_bm25(spark, sf_dir):
+    """Questions answered by an index that took three arrivals one after another."""
+    folder = scratch_path(spark, "live-bm25")
+    index = live.LiveBm25(spark, f"{folder}/index")
+
+    def apply(docs: DataFrame, touched: DataFrame, number: int) -> None:
+        chunks = _window_chunks(docs).withColumnRenamed("doc_id", "key")
+        index.apply(materialize(chunks, "chunks"), touched.withColumnRenamed("doc_id", "key"), number)
+
+    for arrival in _arrivals(spark, sf_dir):
+        arrival.write.mode("append").parquet(f"{folder}/docs")
+        sync.follow(spark, f"{folder}/docs", arrival.schema, f"{folder}/progress", apply)
+    return bm25.bm25_search(index.open(), _pairs(spark, sf_dir), K).select("qid", "rank", "id", "score")
+
+
+def live_vectors(spark, sf_dir):
+    """Neighbours of every vector, by an index that took three arrivals: all of them, every fifth with
+    its entries in reverse order, and the removal of a label."""
+    folder = scratch_path(spark, "live-vectors")
+    index = live.LiveVectors(spark, f"{folder}/index")
+    rows = tables.read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    kept, gone = F.lit(False).alias("deleted"), F.lit(True).alias("deleted")
+    arrivals = (
+        rows.select("vec_id", "embedding", kept),
+        rows.where("vec_id % 5 = 0").select("vec_id", F.reverse("embedding").alias("embedding"), kept),
+        rows.where("label = 0").select("vec_id", "embedding", gone),
+    )
+
+    def apply(vectors: DataFrame, touched: DataFrame, number: int) -> None:
+        named = vectors.select(F.col("vec_id").alias("id"), F.col("vec_id").alias("key"), "embedding")
+        index.apply(named, touched.withColumnRenamed("vec_id", "key"), number)
+
+    for arrival in arrivals:
+        arrival.write.mode("append").parquet(f"{folder}/rows")
+        sync.follow(spark, f"{folder}/rows", arrival.schema, f"{folder}/progress", apply, key="vec_id")
+    asked = _vectors(spark, sf_dir).withColumnRenamed("id", "qid")
+    return search.knn_cells(index.open(), asked, K).drop("pairs")
+
+
 def save_roundtrip(spark, sf_dir):
     """The chunk table saved, then overwritten by one without ``type``: the column stays."""
     chunks = chunking.chunk_table(_chunks(spark, sf_dir))
@@ -529,6 +583,7 @@ QUERIES: dict[str, Query] = {
         reopened_index,
         reopened_bm25,
         knn_cells_recall,
+        knn_codes_recall,
         describe_index,
         embed_text,
         similarity_search,
@@ -565,6 +620,8 @@ QUERIES: dict[str, Query] = {
         change_counts,
         sync_index,
         sync_batches,
+        live_bm25,
+        live_vectors,
         save_roundtrip,
         run_history,
         signature_check,

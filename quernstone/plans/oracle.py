@@ -363,21 +363,30 @@ def _chunk_merge(split_long: bool) -> str:
            page_content FROM numbered"""
 
 
-def _knn() -> str:
+def _knn(items: str = "embeddings") -> str:
     return f"""WITH v AS MATERIALIZED (
       SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e,
              sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS norm
       FROM embeddings),
+    w AS MATERIALIZED (
+      SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e,
+             sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS norm
+      FROM {items}),
     s AS (
       SELECT a.vec_id AS qid, b.vec_id AS id,
              round(list_dot_product(a.e, b.e) / (a.norm * b.norm), 6) AS score
-      FROM v a, v b)
+      FROM v a, w b)
     SELECT qid, rank, id, score FROM (
       SELECT qid, id, score,
              CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS INTEGER) AS rank
       FROM s) WHERE rank <= {catalog.K}"""
 
 
+_ARRIVED = """final AS (
+  SELECT doc_id, CASE WHEN lang = 'fr' THEN replace(text, chr(10), ' ') ELSE text END AS text
+  FROM documents WHERE source IS DISTINCT FROM 'src0')"""
+
+
 def _rouge_l_parts(suffix: str = "", answers: str = "answers") -> str:
     """``longest``: qid, rouge_l. One row of the LCS table per step: a running maximum over the
     positions of the target."""
@@ -532,6 +541,7 @@ def _signature() -> str:
 
 def oracle() -> dict[str, str]:
     pairs, chunks = f"WITH{PAIRS}", f"WITH{CHUNKS}"
+    arrived = CHUNKS.replace("FROM documents", "FROM final")
     found = "WITH" + ",".join([PAIRS, CHUNKS, BM25, _hits(catalog.K)])
     two = "WITH" + ",".join([PAIRS, CHUNKS, BM25, _hits(2)])
     flow = _flow().replace("WITH", "WITH RECURSIVE", 1)
@@ -654,11 +664,12 @@ def oracle() -> dict[str, str]:
         "change_counts": f"""WITH {_CHANGES} SELECT change, count(*) AS n FROM changes
             WHERE change IS NOT NULL GROUP BY change""",
         "sync_index": f"{chunks} SELECT id, doc_id, page_content FROM chunks",
-        "sync_batches": f"""WITH final AS (
-              SELECT doc_id, CASE WHEN lang = 'fr' THEN replace(text, chr(10), ' ') ELSE text END AS text
-              FROM documents WHERE source <> 'src0'),
-            {CHUNKS.replace('FROM documents', 'FROM final')}
-            SELECT id, doc_id, page_content FROM chunks""",
+        "sync_batches": f"WITH {_ARRIVED}, {arrived} SELECT id, doc_id, page_content FROM chunks",
+        "live_bm25": f"""WITH {",".join([_ARRIVED, PAIRS, arrived, BM25, _hits(catalog.K)])}
+            SELECT qid, CAST(rank AS INTEGER) AS rank, id, score FROM hits""",
+        "live_vectors": _knn("""(
+            SELECT vec_id, CASE WHEN vec_id % 5 = 0 THEN list_reverse(embedding) ELSE embedding END AS embedding
+            FROM embeddings WHERE label IS DISTINCT FROM 0)"""),
         "save_roundtrip": f"""{chunks} SELECT id, page_content, CAST(NULL AS VARCHAR) AS type
             FROM chunks""",
         "run_history": f"""{_two_runs()}
