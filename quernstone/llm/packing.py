@@ -5,12 +5,17 @@ pieces behind a first piece that takes the rest. The lengths' histogram has at m
 rows and is all the driver sees.
 
 - A configuration says how many pieces of each length share a sequence; the linear program covers
-  the histogram with as few as possible. Multiplicative weights solve it: a length's price starts at
-  its size and falls as its demand is covered; the most valuable configuration at these prices comes
-  from a knapsack by dynamic programming and takes a share of the demand it can cover.
-- The solution is rounded to whole sequences without exceeding the demand. What is left is placed,
-  longest first, where it leaves the least room; bins are handled in groups of equal content, so the
-  work depends on the number of lengths and not on the number of pieces.
+  the histogram with as few as possible. Multiplicative weights solve it (``solve``): a length's price
+  starts at its size and falls as it is covered; each round the most valuable configuration at these
+  prices comes from a knapsack by dynamic programming and gets an equal share of the sequences. The
+  average of the rounds is the fractional solution. The prices of each round, scaled so that no
+  configuration is worth more than one, are a solution of the dual: the demand at these prices is a
+  lower bound of any packing, and the best one tells how far off the result can be.
+- The solution is rounded to whole sequences without exceeding the demand. What is left is covered
+  the same way, round by round at prices of what is still uncovered (``cover``), and then placed, longest first,
+  where it leaves the least room; bins are handled in groups of equal content, so the work depends on
+  the number of lengths and not on the number of pieces. Of this, of covering from the start and of
+  placing alone the shortest packing is taken.
 - Pieces are ranked within their length, which gives each its sequence and offset in closed form.
 
 Ranks are counted in blocks of hashed rows with the blocks' counts before them, so no length has to
@@ -31,7 +36,10 @@ from pyspark.sql import functions as F
 from quernstone.llm.common import materialize
 from quernstone.llm.tokens import encoder
 
-ROUNDS = 1500  # of multiplicative weights at most
+AVERAGED = 400  # rounds of multiplicative weights whose average solves the program
+CHANGE = 12.0  # e-folds by which a price falls while its length is covered once
+CLOSE = 1.002  # of the lower bound: near enough to stop
+ROUNDS = 1500  # of covering what rounding leaves, at most
 SHARES = (0.05, 0.7)  # of the coverable demand a round takes: the less, the fewer lengths there are
 RATE = 1.0
 TILT = 0.1  # by which a full-length piece is dearer per token than a tiny one: long pieces are hard to place
@@ -92,8 +100,42 @@ def knapsack(prices: np.ndarray, capacity: int) -> dict[int, int]:
     return found
 
 
-def configurations(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int], float]]:
-    """The fractional solution: configurations and how often each is used."""
+def solve(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[dict[int, int], float]], float]:
+    """The fractional solution, and a lower bound of the number of sequences."""
+    lengths = np.array(sorted(histogram))
+    demand = np.array([histogram[length] for length in lengths], float)
+    bound = float(lengths @ demand) / capacity
+    covered, used, dual = np.zeros(len(lengths)), {}, np.zeros(len(lengths))
+
+    def best(weight: np.ndarray) -> tuple[dict[int, int], np.ndarray]:
+        prices = np.full(capacity + 1, -np.inf)
+        prices[lengths] = weight
+        found = knapsack(prices, capacity)
+        taken = np.zeros(len(lengths))
+        taken[np.searchsorted(lengths, list(found))] = list(found.values())
+        return found, taken
+
+    for k in range(AVERAGED):
+        weight = lengths * np.exp(-CHANGE * (covered - covered.min()))
+        found, taken = best(weight)
+        key = tuple(sorted(found.items()))
+        bound = max(bound, float(demand @ weight) / float(taken @ weight))
+        dual += weight / float(demand @ weight)
+        if k % 50 == 49:  # so is the average of their prices, which settles as the rounds go on
+            bound = max(bound, float(demand @ dual) / float(best(dual)[1] @ dual))
+            dual *= 0.5
+        # A share of all sequences, or less if that covers one of its lengths.
+        times = min(bound / AVERAGED, float((demand[taken > 0] / taken[taken > 0]).min()))
+        used[key] = used.get(key, 0.0) + times
+        covered += taken * times / demand
+        if covered.min() > 0 and sum(used.values()) / covered.min() <= CLOSE * bound:
+            break
+    scale = 1 / covered.min() if covered.min() > 0 else 1.0
+    return [(dict(key), times * scale) for key, times in used.items()], bound
+
+
+def cover(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int], float]]:
+    """Configurations and how often each is used, taken one after another from what is uncovered."""
     demand = np.zeros(capacity + 1)
     for length, n in histogram.items():
         demand[length] = n
@@ -158,9 +200,25 @@ def best_fit(groups: list[Group], left: dict[int, int], capacity: int) -> list[G
     return [group for held in by_room.values() for group in held]
 
 
-def pack_histogram(histogram: dict[int, int], capacity: int) -> list[Group]:
-    groups, left = rounded(configurations(histogram, capacity), histogram)
-    return best_fit(groups, left, capacity)
+def _bins(groups: list[Group]) -> int:
+    return sum(n for _, n in groups)
+
+
+def pack_histogram(histogram: dict[int, int], capacity: int) -> tuple[list[Group], int]:
+    """The packing, and the number of sequences that no packing goes below."""
+    if not histogram:
+        return [], 0
+    solution, bound = solve(histogram, capacity)
+    least, found = int(np.ceil(bound - 1e-6)), []
+    for start in (solution, [], None):
+        groups, left = rounded(start or [], histogram)
+        if start is not None and left:
+            more, left = rounded(cover(left, capacity), left)
+            groups = groups + more
+        found.append(best_fit(groups, left, capacity))
+        if _bins(found[-1]) == least:
+            break
+    return min(found, key=_bins), least
 
 
 def places(groups: list[Group]) -> dict[int, np.ndarray]:
@@ -200,7 +258,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end: int = 2, d
     pieces = docs.select(docs[doc_id].alias("doc_id"), F.explode(cut(docs[text])).alias("p")).select("doc_id", "p.*")
     pieces = materialize(pieces, "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows
-    table = places(pack_histogram(histogram, capacity))
+    table = places(pack_histogram(histogram, capacity)[0])
 
     blocks = max(1, sum(histogram.values()) // PER_BLOCK)
     columns = ("doc_id", "piece", "start", "length", "ids_crc32")

@@ -29,6 +29,8 @@ passage in a third of all documents is spread over tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
 from math import isqrt
@@ -43,6 +45,7 @@ from quernstone.llm.common import join_by_counts, materialize, may_be_in, member
 from quernstone.llm.shingles import mix
 
 WIDTH = 13
+GROUP = 200_000  # words hashed together
 ANCHOR_BITS = 1 << 28
 FEW = ANCHOR_BITS // 12
 
@@ -62,6 +65,15 @@ def difference_cover(period: int) -> tuple[int, ...]:
     return tuple(sorted({*range(root), *range(root - 1, period, root), period - 1}))
 
 
+@dataclass
+class Group:
+    """Texts one after another: their sizes, where each begins, and two 64-bit hashes per word."""
+
+    sizes: np.ndarray
+    first: np.ndarray
+    words: np.ndarray
+
+
 class Anchors:
     """The cover's positions and the hashes of anchors and windows of one width."""
 
@@ -73,34 +85,51 @@ class Anchors:
         rng = np.random.default_rng(1729)
         self.factors = rng.integers(1, 1 << 63, (width, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def words(self, text: str | None) -> np.ndarray:
-        """Two 64-bit hashes per word."""
-        return np.frombuffer(b"".join(map(_digest, words_of(text or ""))), "<u8").reshape(-1, 2)
-
-    def at_cover(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(position, hash) of the anchors."""
-        n = len(words) - self.size + 1
-        if len(words) < self.width:
-            return np.empty(0, np.int64), np.empty(0, np.uint64)
-        place = (np.arange(0, n, self.period)[:, None] + self.cover).ravel()
-        place = place[place < n]
+    def groups(self, texts: pa.Array) -> Iterator[Group]:
+        """The texts in groups of about ``GROUP`` words; a longer text is a group of its own."""
+        held, size = [], 0
+        for t in texts:
+            words = words_of(t.as_py() or "")
+            if held and size + len(words) > GROUP:
+                yield self._group(held)
+                held, size = [], 0
+            held.append(words)
+            size += len(words)
+        if held:
+            yield self._group(held)
+
+    @staticmethod
+    def _group(each: list[list[bytes]]) -> Group:
+        sizes = np.array([len(words) for words in each], np.int64)
+        digests = b"".join(_digest(w) for words in each for w in words)
+        return Group(sizes, np.cumsum(sizes) - sizes, np.frombuffer(digests, "<u8").reshape(-1, 2))
+
+    def at_cover(self, group: Group) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, position in the group, hash) of the anchors of texts with a window, in order."""
+        n = np.where(group.sizes >= self.width, group.sizes - self.size + 1, 0)
+        owner = np.repeat(np.arange(len(n)), n)
+        inside = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+        chosen = np.isin(np.arange(self.period), self.cover)[inside % self.period]
+        owner, place = owner[chosen], (group.first[owner] + inside)[chosen]
         total = np.zeros(len(place), np.uint64)
+        lane = group.words[:, 0]
         for k in range(self.size):
-            total += words[place + k, 0] * self.factors[k, 0]
-        return place, mix(total)
-
-    def windows_around(self, words: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, two hashes) of the windows that hold an anchor at one of the places."""
-        n = len(words) - self.width + 1
-        change = np.zeros(max(n, 0) + 1, np.int64)
-        low, high = np.maximum(place - (self.width - self.size), 0), np.minimum(place + 1, n)
-        np.add.at(change, low[low < high], 1)
-        np.add.at(change, high[low < high], -1)
+            total += lane[place + k] * self.factors[k, 0]
+        return owner, place, mix(total)
+
+    def windows_around(self, group: Group, owner: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, start in the text, two hashes) of the windows that hold an anchor at one of the places."""
+        first, sizes = group.first[owner], group.sizes[owner]
+        change = np.zeros(len(group.words) + 1, np.int32)
+        change += np.bincount(np.maximum(place - (self.width - self.size), first), minlength=len(change)).astype(np.int32)
+        change -= np.bincount(np.minimum(place + 1, first + sizes - self.width + 1), minlength=len(change)).astype(np.int32)
         start = np.flatnonzero(np.cumsum(change)[:-1])
         total = np.zeros((len(start), 2), np.uint64)
         for k in range(self.width):
-            total += words[start + k] * self.factors[k]
-        return start, mix(total)
+            total += group.words[start + k] * self.factors[k]
+        text = np.searchsorted(group.first, start, side="right") - 1
+        # Texts without words begin where the next one does; the last of equal beginnings has the words.
+        return text, start - group.first[text], mix(total)
 
 
 def _annotated(function, kind: str):
@@ -111,8 +140,11 @@ def _annotated(function, kind: str):
 
 def _anchors_udf(width: int):
     def run(texts: pa.Array) -> pa.Array:
-        of = Anchors(width)
-        found = [np.unique(of.at_cover(of.words(t.as_py()))[1]).view(np.int64) for t in texts]
+        of, found = Anchors(width), []
+        for group in of.groups(texts):
+            owner, _, hashes = of.at_cover(group)
+            cuts = np.searchsorted(owner, np.arange(len(group.sizes) + 1))
+            found += [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(cuts, cuts[1:], strict=False)]
         return pa.array(found, pa.list_(pa.int64()))
 
     return _annotated(run, "array<long>")
@@ -123,19 +155,20 @@ _WINDOWS = "array<struct<w1 long, w2 int, start int>>"
 
 
 def _windows(texts: pa.Array, width: int, shared) -> pa.Array:
-    """The windows around the anchors that ``shared(row, hashes)`` marks."""
-    of, parts, sizes = Anchors(width), [], [0]
-    for k, t in enumerate(texts):
-        words = of.words(t.as_py())
-        place, hashes = of.at_cover(words)
-        start, two = of.windows_around(words, place[shared(k, hashes.view(np.int64))])
+    """The windows around the anchors that ``shared(rows, hashes)`` marks; rows are in order."""
+    of, parts, sizes, row = Anchors(width), [], [np.zeros(1, np.int64)], 0
+    for group in of.groups(texts):
+        owner, place, hashes = of.at_cover(group)
+        marked = shared(row + owner, hashes.view(np.int64))
+        text, start, two = of.windows_around(group, owner[marked], place[marked])
         parts.append((start, two))
-        sizes.append(len(start))
+        sizes.append(np.bincount(text, minlength=len(group.sizes)))
+        row += len(group.sizes)
     start = np.concatenate([p[0] for p in parts] or [np.empty(0)]).astype(np.int32)
     two = np.concatenate([p[1] for p in parts] or [np.empty((0, 2), np.uint64)])
     w1, w2 = two[:, 0].copy().view(np.int64), two[:, 1].astype(np.uint32).view(np.int32)
     flat = pa.StructArray.from_arrays([pa.array(w1), pa.array(w2), pa.array(start)], ["w1", "w2", "start"])
-    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), flat)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)), pa.int32()), flat)
 
 
 def candidate_windows(rows: DataFrame, width: int, few: int) -> DataFrame:
@@ -149,7 +182,7 @@ def candidate_windows(rows: DataFrame, width: int, few: int) -> DataFrame:
         known = membership(shared, F.col("h"), ANCHOR_BITS)
 
         def by_bitmap(texts: pa.Array) -> pa.Array:
-            return _windows(texts, width, lambda k, hashes: known(hashes))
+            return _windows(texts, width, lambda rows, hashes: known(hashes))
 
         near = rows.withColumn("w", _annotated(by_bitmap, _WINDOWS)("text"))
     else:
@@ -159,8 +192,14 @@ def candidate_windows(rows: DataFrame, width: int, few: int) -> DataFrame:
         lists = met.groupBy("doc_id", "digest").agg(F.collect_set("h").alias("known"))
 
         def by_list(texts: pa.Array, known: pa.Array) -> pa.Array:
-            lists = [np.sort(k.values.to_numpy(zero_copy_only=False)) for k in known]
-            return _windows(texts, width, lambda k, hashes: np.isin(hashes, lists[k]))
+            lists = [k.values.to_numpy(zero_copy_only=False) for k in known]
+
+            def shared(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+                cuts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1], [True]])) if len(rows) else []
+                parts = [np.isin(hashes[a:b], lists[rows[a]]) for a, b in zip(cuts, cuts[1:], strict=False)]
+                return np.concatenate([*parts, np.empty(0, bool)])
+
+            return _windows(texts, width, shared)
 
         joined = rows.dropDuplicates(["doc_id", "digest"]).join(lists, ["doc_id", "digest"])
         near = joined.withColumn("w", _annotated(by_list, _WINDOWS)("text", "known"))
@@ -213,7 +252,7 @@ def remove_repeated(docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id",
     others = materialize(named.filter(maybe_copy).join(copies, ["doc_id", "digest"], "left_anti"), "taken-for-copies")
     firsts = named.filter(~maybe_copy).unionByName(others)
 
-    found = candidate_windows(firsts, width, few)
+    found = materialize(candidate_windows(firsts, width, few), "candidate-windows")
     windows = found.groupBy("w1", "w2").agg(
         F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")
     )

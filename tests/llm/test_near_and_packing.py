@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from quernstone.llm import decontamination, line_dedup, near_dedup, packing, queries, token_counts
+from quernstone.llm import decontamination, line_dedup, near_dedup, packing, queries, token_counts, tokens
 from quernstone.llm.common import documents, read_table
 
 SF = "/root/testdata/sf0.01"
@@ -117,11 +117,30 @@ def test_near_duplicates_of_odd_rows(odd_docs, make_docs):
     assert near_dedup.near_duplicates(make_docs([])).count() == 0
 
 
+def test_ids_are_those_of_the_plain_tokenizer():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(queries.vocabulary())
+    for text in ("hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|><|endoftext|>  b\n<|endoftext", "é 你好 <|endoftext|>!"):
+        assert tokens.encoder(queries.vocabulary()).ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_the_program_is_solved_to_its_bound():
+    """A histogram that best fit packs into 948 sequences and its best configurations into 934."""
+    histogram = {522: 600, 277: 600, 266: 600, 236: 1200}
+    groups, least = packing.pack_histogram(histogram, 1024)
+    total = sum(n for _, n in groups)
+    assert least <= total <= 936 and total <= 1.01 * least
+    solution, bound = packing.solve(histogram, 1024)
+    for length, n in histogram.items():
+        assert sum(found.get(length, 0) * times for found, times in solution) >= n - 1e-6
+    assert bound <= sum(times for _, times in solution) and bound <= 934
+
+
 def test_packing_is_a_round_trip(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(queries.vocabulary())
-    tokenizer.encode_special_tokens = True
     rows = queries.op6_best_fit_packing(spark, SF).collect()
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -151,7 +170,7 @@ def test_packing_is_a_round_trip(spark):
 def test_configurations_cover_every_length(seed):
     rng = random.Random(seed)
     histogram = {rng.randrange(1, 65): rng.randrange(1, 200) for _ in range(30)}
-    groups = packing.pack_histogram(histogram, 64)
+    groups, least = packing.pack_histogram(histogram, 64)
     packed = Counter()
     for found, times in groups:
         assert sum(a * b for a, b in found.items()) <= 64
@@ -160,7 +179,7 @@ def test_configurations_cover_every_length(seed):
     assert dict(packed) == histogram
     total = sum(n for _, n in groups)
     plain = sum(n for _, n in packing.best_fit([], histogram, 64))
-    assert total <= plain * 1.03 + 1
+    assert least <= total <= plain
 
 
 def test_knapsack_is_optimal():
