@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as tx
@@ -59,21 +63,12 @@ def answer_extractive(df: DataFrame, unknown: str = UNKNOWN) -> DataFrame:
     )
 
 
-def answer_with(
-    prompts: DataFrame,
-    predict: Callable[[list[str], Mapping], Sequence[str]],
-    params: Mapping | None = None,
-    max_tokens: int | None = None,
-    concurrency: int | None = None,
-) -> DataFrame:
-    """Add ``result, latency, error`` from a user's model.
+Predict = Callable[[list[str], Mapping], Sequence[str]]
+_ANSWER = "prompt_key string, result string, latency double, error string"
 
-    ``predict(prompts, params)`` gets one Arrow batch of prompts. Each distinct prompt is asked
-    once and its answer written before it is joined back, so a lost executor repeats its own
-    batches only. If a batch fails its prompts are tried one by one and failures land in
-    ``error``. ``latency`` is the wall-clock time of the call over its number of prompts.
-    """
-    params = dict(params or {})
+
+def _asked(distinct: DataFrame, predict: Predict, params: Mapping, concurrency: int | None) -> DataFrame:
+    """``prompt_key, result, latency, error`` of ``distinct(prompt_key, prompt)``, one call per Arrow batch."""
 
     def ask(texts: list[str]) -> pd.DataFrame:
         began = time.perf_counter()
@@ -94,24 +89,90 @@ def answer_with(
                 made = ask(batch["prompt"].tolist())
                 yield pd.concat([batch[["prompt_key"]].reset_index(drop=True), made], axis=1)
 
+    # A stated number of tasks, else as many as the session shuffles to: small prompts would
+    # otherwise be gathered into one task, however slow the model is.
+    dealt = distinct.repartition(concurrency, "prompt_key") if concurrency else placed_by(distinct, "prompt_key")
+    return dealt.mapInPandas(run, _ANSWER)
+
+
+def answer_with(
+    prompts: DataFrame,
+    predict: Predict,
+    params: Mapping | None = None,
+    max_tokens: int | None = None,
+    concurrency: int | None = None,
+) -> DataFrame:
+    """Add ``result, latency, error`` from a user's model.
+
+    ``predict(prompts, params)`` gets one Arrow batch of prompts. Each distinct prompt is asked
+    once and its answer written before it is joined back, so a lost executor repeats its own
+    batches only. If a batch fails its prompts are tried one by one and failures land in
+    ``error``. ``latency`` is the wall-clock time of the call over its number of prompts.
+    """
     keyed = materialize(
         prompts.withColumn("prompt_key", F.md5(F.coalesce("prompt", F.lit("")))), "prompts"
     )
     distinct = keyed.groupBy("prompt_key").agg(F.first("prompt").alias("prompt"))
-    # A stated number of tasks, else as many as the session shuffles to: small prompts would
-    # otherwise be gathered into one task, however slow the model is.
-    distinct = distinct.repartition(concurrency, "prompt_key") if concurrency else placed_by(distinct, "prompt_key")
-    answers = materialize(
-        distinct.mapInPandas(
-            run, "prompt_key string, result string, latency double, error string"
-        ),
-        "answers",
-    )
+    answers = materialize(_asked(distinct, predict, dict(params or {}), concurrency), "answers")
     if max_tokens is not None:
         answers = answers.withColumn("result", cut_tokens(F.col("result"), max_tokens))
     return salted_join(keyed, answers, "prompt_key").drop("prompt_key")
 
 
+class AnswerStore:
+    """Answers kept under ``path`` by a hash of model, parameters and prompt.
+
+    Every finished slice of a run is a folder that is written whole, so a run that breaks off loses
+    the slice it was in. Failed prompts are not kept; the next run asks them again.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def read(self) -> DataFrame:
+        """``prompt_key, result, latency, error``, one row per key."""
+        try:
+            stored = self.spark.read.schema(_ANSWER).option("recursiveFileLookup", "true").parquet(self.path)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], _ANSWER)
+        # Two runs at once may have asked the same prompt.
+        return stored.where("error is null").dropDuplicates(["prompt_key"])
+
+    def add(self, answers: DataFrame) -> DataFrame:
+        return materialize(answers, "slice", f"{self.path}/{uuid.uuid4().hex}")
+
+
+def answer_resumed(
+    prompts: DataFrame,
+    predict: Predict,
+    store: AnswerStore,
+    model: str,
+    params: Mapping | None = None,
+    slice_rows: int = 10_000,
+    concurrency: int | None = None,
+) -> DataFrame:
+    """Like ``answer_with``, but prompts whose answer is in ``store`` are not asked again.
+
+    A null prompt is asked as an empty one. The others are asked in slices of about ``slice_rows`` distinct prompts, each kept when it is
+    done. Adds ``result, latency, error, reused``; ``reused`` tells answers of earlier runs.
+    """
+    params = dict(params or {})
+    asked_as = F.lit(f"{model}\n{json.dumps(params, sort_keys=True)}\n")
+    key = F.sha2(F.concat(asked_as, F.coalesce("prompt", F.lit(""))), 256)
+    keyed = materialize(prompts.withColumn("prompt_key", key), "prompts")
+    distinct = keyed.groupBy("prompt_key").agg(F.first(F.coalesce("prompt", F.lit(""))).alias("prompt"))
+    known = store.read().select("prompt_key")
+    todo = materialize(distinct.join(known, "prompt_key", "left_anti"), "not-yet-asked")
+    slices = max(1, -(-todo.count() // slice_rows))
+    place = F.pmod(F.xxhash64("prompt_key"), F.lit(slices))
+    made = [store.add(_asked(todo.where(place == n), predict, params, concurrency)) for n in range(slices)]
+    fresh = reduce(DataFrame.unionAll, made).withColumn("reused", F.lit(False))
+    earlier = store.read().join(todo.select("prompt_key"), "prompt_key", "left_anti").withColumn("reused", F.lit(True))
+    return salted_join(keyed, fresh.unionByName(earlier), "prompt_key").drop("prompt_key")
+
+
 def cut_tokens(text: Column, max_tokens: int) -> Column:
     """The text up to the end of its last token allowed; nulls and short texts stay as they are."""
     pieces = F.regexp_extract_all(text, F.lit(r"(?s).*?[\p{L}\p{N}]+"), F.lit(0))
@@ -149,6 +210,24 @@ def route(questions: DataFrame, routes: Mapping[str, int], key: str = "qid") ->
     return questions.withColumns({"bucket": bucket, "model": chosen})
 
 
+def route_stable(questions: DataFrame, routes: Mapping[str, float], key: str = "qid") -> DataFrame:
+    """Add ``model`` by weighted rendezvous hashing (Thaler and Ravishankar, 1998).
+
+    Every model gives a key a number, the logarithm of a uniform hash over its weight; the largest
+    wins. A model's number does not depend on the others, so a change of weights, a new model or one
+    less moves only the share of keys that it must.
+    """
+    if not routes or any(not (weight >= 0) for weight in routes.values()) or not any(routes.values()):
+        raise ValueError("weights must not be negative, and one must be positive")
+    found = []
+    for name, weight in routes.items():
+        if weight > 0:
+            digest = F.substring(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(name))), 1, 8)
+            uniform = (F.conv(digest, 16, 10).cast("double") + 0.5) / float(1 << 32)
+            found.append(F.struct((F.log(uniform) / float(weight)).alias("score"), F.lit(name).alias("model")))
+    return questions.withColumn("model", F.array_max(F.array(*found))["model"])
+
+
 def parse_response(df: DataFrame, json_col: str) -> DataFrame:
     """Add ``content``: the first choice's message, null where the response is malformed."""
     return df.withColumn("content", F.get_json_object(json_col, "$.choices[0].message.content"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as tx
@@ -76,6 +76,47 @@ def to_messages(df: DataFrame, prompt_col: str = "prompt", role: str = "user") -
     return df.withColumn("messages", F.array(message)).drop(prompt_col)
 
 
+def earlier_turns(conversations: DataFrame, most: int = 8) -> DataFrame:
+    """``conv_id, turn, system, history``: for every turn the first system text and the ``most`` turns
+    before it that are no system turns, oldest first.
+
+    A window over the turns of one conversation holds no more than ``most`` of them.
+    """
+    turns = conversations.select("conv_id", "turn", "role", "text")
+    said = F.struct(F.col("role"), F.col("text").alias("content"))
+    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(-most, -1)
+    talk = turns.where("role <> 'system' or role is null")
+    talk = talk.withColumn("history", F.collect_list(said).over(before))
+    first = turns.where("role = 'system'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("system"))
+    return talk.join(first, "conv_id", "left").select("conv_id", "turn", "system", "history")
+
+
+def chat_request(
+    df: DataFrame,
+    prompt_col: str = "prompt",
+    system: Column | str | None = None,
+    history: Column | None = None,
+    **parameters: float | int | str,
+) -> DataFrame:
+    """Replace the prompt by a ``request``: ``messages`` and the model's ``parameters``.
+
+    The messages are the system turn (``system``: a column or one text for all; none where null), the
+    turns of ``history`` (role, content) and the prompt as the user's.
+    """
+    message = "array<struct<role:string,content:string>>"
+
+    def turn(role: str, content: Column) -> Column:
+        return F.array(F.struct(F.lit(role).alias("role"), content.alias("content"))).cast(message)
+
+    none = F.array().cast(message)
+    system = F.lit(system) if isinstance(system, str) else system
+    first = none if system is None else F.when(system.isNotNull(), turn("system", system)).otherwise(none)
+    past = none if history is None else F.coalesce(history.cast(message), none)
+    messages = F.concat(first, past, turn("user", F.coalesce(F.col(prompt_col), F.lit(""))))
+    fields = [messages.alias("messages"), *(F.lit(v).alias(k) for k, v in parameters.items())]
+    return df.withColumn("request", F.struct(*fields)).drop(prompt_col)
+
+
 def render_chat(
     conversations: DataFrame,
     add_generation_prompt: bool = True,

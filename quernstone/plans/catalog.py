@@ -24,7 +24,8 @@ from quernstone.operators import (
     toxicity,
 )
 from quernstone.plans import rag
-from quernstone.sources import tables
+from quernstone.functions.keys import pair_key
+from quernstone.sources import tables, versions
 from quernstone.sources.scratch import materialize, scratch_path
 from quernstone.streaming import live, sync
 
@@ -37,6 +38,8 @@ RECALL = 0.9
 SURVIVORS = 40  # full vectors scored for a query
 PROBE_QUERIES = 1000  # the queries that choose how many cells are visited
 ROUTES = {"large": 60, "medium": 30, "small": 10}
+ROUTES_LATER = {"large": 50, "medium": 30, "small": 10, "tiny": 10}
+HISTORY = 8
 SUMMARY_METRICS = (*evaluation.QA_METRICS, "faithfulness_lexical", "relevance_lexical")
 
 # Saved tables by session and folder: an index is built once and serves all queries on it.
@@ -301,6 +304,26 @@ def route_share(spark, sf_dir):
     )
 
 
+def route_stable(spark, sf_dir):
+    """Where the questions go before and after a change of weights."""
+    asked = _pairs(spark, sf_dir).select("qid")
+    before = answering.route_stable(asked, ROUTES).withColumnRenamed("model", "before")
+    after = answering.route_stable(before, ROUTES_LATER).withColumnRenamed("model", "after")
+    return after.groupBy("before", "after").agg(F.count("*").alias("questions"))
+
+
+def chat_requests(spark, sf_dir):
+    """Every question with the system text and the turns before it, as a model takes it."""
+    talk = prompting.earlier_turns(tables.read_table(spark, sf_dir, "conversations"), HISTORY)
+    talk = talk.select(pair_key("conv_id", "turn").alias("qid"), "system", "history")
+    asked = _pairs(spark, sf_dir).select("qid", "questions").join(talk, "qid")
+    made = prompting.chat_request(asked, "questions", F.col("system"), F.col("history"), max_tokens=256)
+    shown = F.transform("request.messages", lambda m: F.concat_ws(": ", m["role"], m["content"]))
+    return made.select(
+        "qid", F.size("request.messages").alias("n_messages"), F.array_join(shown, "\n").alias("messages"), "request.max_tokens"
+    )
+
+
 def response_parse(spark, sf_dir):
     turns = tables.read_table(spark, sf_dir, "conversations").where("role = 'assistant'")
     message = F.struct(F.lit("assistant").alias("role"), F.col("text").alias("content"))
@@ -438,6 +461,34 @@ def latency(spark, sf_dir):
     return made.select("qid", "result", (F.col("latency") >= 0).alias("timed"), "error")
 
 
+def resumed_answers(spark, sf_dir):
+    """A run over all prompts after one over those of even questions: answers it had are not asked again."""
+    asked = rag.spread(_answers(spark, sf_dir).select("qid", "prompt"))
+    store = answering.AnswerStore(spark, scratch_path(spark, "answer-store"))
+    answering.answer_resumed(asked.where("qid % 2 = 0"), _prompt_length, store, "length", slice_rows=500)
+    made = answering.answer_resumed(asked, _prompt_length, store, "length", slice_rows=500)
+    return made.select("qid", "result", "reused", "error")
+
+
+def version_changes(spark, sf_dir):
+    """Three versions of the documents: the changes between any two, and the rows an earlier one still has."""
+    docs = _docs(spark, sf_dir).select("doc_id", "text", "lang")
+    table = versions.VersionedTable(spark, scratch_path(spark, "versions"))
+    table.write(docs)
+    pinned = table.read()
+    rewritten = F.replace("text", F.lit("\n"), F.lit(" ")).alias("text")
+    table.write(docs.where("lang <> 'es'").select("doc_id", rewritten, "lang"))
+    table.write(pinned.where("lang <> 'fr'"))
+    out = None
+    for old, new in ((0, 1), (1, 2), (0, 2), (2, 0)):
+        found = table.changes(old, new, "doc_id").groupBy("change").agg(
+            F.count("*").alias("n"), F.sum("doc_id").alias("doc_ids")
+        )
+        found = found.select(F.lit(f"{old}-{new}").alias("span"), "change", "n", "doc_ids")
+        out = found if out is None else out.unionAll(found)
+    return out
+
+
 def change_feed(spark, sf_dir):
     docs = _docs(spark, sf_dir).select("doc_id", "text", "lang", "source")
     old = docs.where("source <> 'src0'").drop("source")
@@ -598,6 +649,8 @@ QUERIES: dict[str, Query] = {
         extractive_answer,
         abstain_rate,
         route_share,
+        route_stable,
+        chat_requests,
         response_parse,
         response_report,
         exact_match,
@@ -616,6 +669,8 @@ QUERIES: dict[str, Query] = {
         metric_summary,
         compare_runs,
         latency,
+        resumed_answers,
+        version_changes,
         change_feed,
         change_counts,
         sync_index,

@@ -500,6 +500,43 @@ def _route_share() -> str:
     FROM b GROUP BY ALL"""
 
 
+def _route_stable() -> str:
+    names = {**catalog.ROUTES, **catalog.ROUTES_LATER}
+    rows = ", ".join(f"('{n}', {catalog.ROUTES.get(n, 0)}, {catalog.ROUTES_LATER.get(n, 0)})" for n in names)
+    hashed = "CAST('0x' || substr(md5(CAST(qid AS VARCHAR) || '|' || name), 1, 8) AS BIGINT)"
+
+    def best(weight: str) -> str:
+        return f"arg_max(name, ln(({hashed} + 0.5::DOUBLE) / 4294967296::DOUBLE) / {weight}) FILTER (WHERE {weight} > 0)"
+
+    return f"""WITH {PAIRS}, r(name, w1, w2) AS (VALUES {rows}),
+    chosen AS (SELECT qid, {best("w1")} AS before, {best("w2")} AS after FROM pairs, r GROUP BY qid)
+    SELECT before, after, count(*) AS questions FROM chosen GROUP BY ALL"""
+
+
+_CHAT_REQUESTS = f"""WITH {PAIRS},
+    first AS (SELECT conv_id, arg_min(text, turn) AS system FROM conversations WHERE role = 'system' GROUP BY conv_id),
+    talk AS (
+      SELECT conv_id * 1000000 + turn AS qid, conv_id,
+             coalesce(list(role || ': ' || text) OVER (PARTITION BY conv_id ORDER BY turn
+               ROWS BETWEEN {catalog.HISTORY} PRECEDING AND 1 PRECEDING), []) AS history
+      FROM conversations WHERE role IS DISTINCT FROM 'system'),
+    whole AS (
+      SELECT qid, CASE WHEN system IS NULL THEN [] ELSE ['system: ' || system] END || history || ['user: ' || questions] AS m
+      FROM pairs JOIN talk USING (qid) LEFT JOIN first USING (conv_id))
+    SELECT qid, CAST(len(m) AS INTEGER) AS n_messages, array_to_string(m, chr(10)) AS messages, 256 AS max_tokens
+    FROM whole"""
+
+_VERSIONS = """WITH v0 AS (SELECT doc_id, text, lang FROM documents),
+    v1 AS (SELECT doc_id, replace(text, chr(10), ' ') AS text, lang FROM documents WHERE lang <> 'es'),
+    v2 AS (SELECT doc_id, text, lang FROM documents WHERE lang <> 'fr'),
+    """ + " UNION ALL ".join(
+    f"""SELECT '{a}-{b}' AS span, doc_id, CASE WHEN o.text IS NULL THEN 'insert' WHEN n.text IS NULL THEN 'delete'
+      WHEN o.text <> n.text THEN 'update' END AS change FROM v{a} o FULL JOIN v{b} n USING (doc_id)"""
+    for a, b in ((0, 1), (1, 2), (0, 2), (2, 0))
+).join(["spans AS (", ")"]) + """
+    SELECT span, change, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS doc_ids FROM spans WHERE change IS NOT NULL GROUP BY ALL"""
+
+
 _RESPONSES = """
     SELECT conv_id || '-' || turn AS response_id, text AS content
     FROM conversations WHERE role = 'assistant'
@@ -613,6 +650,11 @@ def oracle() -> dict[str, str]:
               round(avg(CAST(NOT supported AS INTEGER)), 6) AS unsupported_rate
             FROM marks""",
         "route_share": _route_share(),
+        "route_stable": _route_stable(),
+        "chat_requests": _CHAT_REQUESTS,
+        "version_changes": _VERSIONS,
+        "resumed_answers": f"""{found},{CONTEXTS} SELECT qid, CAST(length(prompt) AS VARCHAR) AS result,
+            prompt IN (SELECT prompt FROM prompts WHERE qid % 2 = 0) AS reused, CAST(NULL AS VARCHAR) AS error FROM prompts""",
         "response_parse": _RESPONSES,
         "response_report": f"""SELECT count(*) AS responses,
             count(*) - count(content) AS malformed FROM ({_RESPONSES})""",
