@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,6 +117,73 @@ def chunk(
     return docs.select(key, F.posexplode(pieces).alias("chunk_no", "page_content"))
 
 
+@lru_cache(maxsize=4)
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(path)
+    found.encode_special_tokens = True  # their strings in a text are ordinary text
+    return found
+
+
+def token_pieces(text: str, path: str, size: int, overlap: int) -> list[tuple[int, str, int]]:
+    """(first character, piece, ids) of windows of at most ``size`` ids.
+
+    Edges lie between tokens that share no character. A piece that has more ids alone than in its
+    text ends at an earlier edge.
+    """
+    encode = _tokenizer(path).encode
+    offsets = np.array(encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
+    ends = np.concatenate([[0], np.maximum.accumulate(offsets[:, 1])])
+    inner = np.flatnonzero(offsets[1:, 0] >= ends[1:-1]) + 1
+    edges = np.concatenate([[0], inner, [len(offsets)]]) if len(offsets) else np.zeros(2, np.int64)
+    at = np.concatenate([[0], ends[inner], [len(text)]])
+    out, low, last = [], 0, len(edges) - 1
+    while True:
+        high = max(low + 1, int(np.searchsorted(edges, edges[low] + size, side="right")) - 1)
+        piece = text[at[low] : at[high]]
+        n = len(encode(piece, add_special_tokens=False).ids)
+        while n > size and high > low + 1:
+            high = max(low + 1, high - max(1, n - size))
+            piece = text[at[low] : at[high]]
+            n = len(encode(piece, add_special_tokens=False).ids)
+        out.append((int(at[low]), piece, n))
+        if high == last:
+            return out
+        low = max(low + 1, int(np.searchsorted(edges, edges[high] - overlap, side="right")) - 1)
+
+
+def chunk_tokens(
+    docs: DataFrame,
+    tokenizer: str,
+    size: int = SIZE,
+    overlap: int = OVERLAP,
+    key: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Chunks ``key, chunk_no, page_content, start_char, n_ids`` of at most ``size`` ids of a model's tokenizer.
+
+    ``tokenizer`` names a tokenizer file that every worker can read. A chunk begins ``overlap`` ids
+    before the end of the one before, or at the edge before that; without overlap the chunks
+    joined are the text. Null texts have no chunks, an empty text has an empty one.
+    """
+    if not 0 <= overlap < size:
+        raise ValueError("overlap must be smaller than size")
+
+    @F.pandas_udf("array<struct<start_char:long,page_content:string,n_ids:int>>")
+    def cut(texts: pd.Series) -> pd.Series:
+        def pieces(text: str | None) -> list[dict] | None:
+            if text is None:
+                return None
+            names = ("start_char", "page_content", "n_ids")
+            return [dict(zip(names, p, strict=True)) for p in token_pieces(text, tokenizer, size, overlap)]
+
+        return texts.map(pieces)
+
+    made = docs.select(key, F.posexplode(cut(text_col)).alias("chunk_no", "piece"))
+    return made.select(key, "chunk_no", "piece.page_content", "piece.start_char", "piece.n_ids")
+
+
 def with_chunk_id(chunks: DataFrame, key: str = "doc_id", numeric: bool = True) -> DataFrame:
     """Add the long primary key ``id``, the same under any partitioning."""
     if not numeric:

@@ -140,6 +140,15 @@ def chunk_merge_split(spark, sf_dir):
     ).select("id", "doc_id", "chunk_no", "page_content")
 
 
+def token_chunks(spark, sf_dir):
+    """Chunks that fit a model's window of 512 ids of its own tokenizer."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    chunks = chunking.with_chunk_id(chunking.chunk_tokens(rag.spread(_docs(spark, sf_dir)), path))
+    return chunks.select("id", "doc_id", "chunk_no", "start_char", "n_ids", "page_content")
+
+
 def window_guard(spark, sf_dir):
     whole = rag.spread(_docs(spark, sf_dir)).select("doc_id", F.col("text").alias("page_content"))
     return chunking.window_guard(whole).select("doc_id", "n_tokens", "over_window", "model_input")
@@ -451,6 +460,12 @@ def compare_runs(spark, sf_dir):
     return evaluation.compare_runs(one.unionByName(four), ["top1", "top4"], "top1")
 
 
+def compare_certainty(spark, sf_dir):
+    one = _evaluation(spark, sf_dir, 1, "top1").values
+    four = _evaluation(spark, sf_dir, K, "top4").values
+    return evaluation.compare_certainty(one.unionByName(four), ["top1", "top4"], "top1")
+
+
 def _prompt_length(prompts, params):
     return [str(len(p)) for p in prompts]
 
@@ -626,6 +641,7 @@ QUERIES: dict[str, Query] = {
         chunk_window,
         chunk_merge,
         chunk_merge_split,
+        token_chunks,
         window_guard,
         window_report,
         missing_names,
@@ -668,6 +684,7 @@ QUERIES: dict[str, Query] = {
         eval_rows,
         metric_summary,
         compare_runs,
+        compare_certainty,
         latency,
         resumed_answers,
         version_changes,

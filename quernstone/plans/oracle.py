@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quernstone.operators import judging, prompting
+from quernstone.operators import evaluation, judging, prompting
 from quernstone.operators.answering import UNKNOWN
 from quernstone.plans import catalog
 
@@ -700,6 +700,20 @@ def oracle() -> dict[str, str]:
               CAST(sum(CAST(b.value = a.value AS INTEGER)) AS BIGINT) AS ties,
               CAST(sum(CAST(b.value < a.value AS INTEGER)) AS BIGINT) AS losses
             FROM vals_a a JOIN vals_b b USING (qid, metric) GROUP BY a.metric""",
+        "compare_certainty": f"""{_two_runs()},
+            paired AS (
+              SELECT metric, qid, b.value - a.value AS d FROM vals_a a JOIN vals_b b USING (qid, metric)
+              WHERE a.value IS NOT NULL AND b.value IS NOT NULL),
+            drawn AS (
+              SELECT qid, r, (CAST('0x' || substr(md5(CAST(qid AS VARCHAR) || '-' || r), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                / 4294967296::DOUBLE AS u
+              FROM (SELECT DISTINCT qid FROM paired), range({evaluation.REPLICATES}) t(r)),
+            weights AS (SELECT qid, r, {" + ".join(f"(u >= {c}::DOUBLE)::INT" for c in evaluation.POISSON)} AS w FROM drawn),
+            means AS (SELECT metric, r, sum(w * d) / sum(w) AS mean FROM paired JOIN weights USING (qid) GROUP BY metric, r),
+            ordered AS (SELECT metric, list_sort(list(mean)) AS m FROM means GROUP BY metric)
+            SELECT 'top4' AS run_id, metric, difference, round(m[11], 6) AS low, round(m[len(m) - 10], 6) AS high,
+              round(len(list_filter(m, lambda x: x > 0)) / len(m)::DOUBLE, 6) AS better_share
+            FROM ordered JOIN (SELECT metric, round(avg(d), 6) AS difference FROM paired GROUP BY metric) USING (metric)""",
         "latency": f"""{found},{CONTEXTS} SELECT qid, CAST(length(prompt) AS VARCHAR) AS result,
             true AS timed, CAST(NULL AS VARCHAR) AS error FROM prompts""",
         "change_feed": f"WITH {_CHANGES} SELECT * FROM changes WHERE change IS NOT NULL",

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quernstone.operators import answering, evaluation, prompting, toxicity
+from quernstone.operators import answering, chunking, evaluation, prompting, toxicity
 from quernstone.sources import versions
 
 
@@ -126,3 +126,55 @@ def test_toxicity_of_null_and_repeated_keys(spark):
     assert sorted(((r.qid, r.result, r.toxicity) for r in scored.collect()), key=repr) == sorted(
         [(1, "vile", score[1]), (1, "kind", score[2]), (None, "vile", score[1]), (None, None, None)], key=repr
     )
+
+
+def test_token_chunks_fit_the_window_and_rebuild_the_text(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    texts = ["", " ", "plain words, and more of them " * 40, "你好世界🙂🙃 é" * 60, "a\n\n\n   b\t" * 50, "x" * 900, "<|endoftext|> tail " * 30, "🙂"]
+    docs = spark.createDataFrame([*enumerate(texts), (99, None)], "doc_id long, text string")
+    for size, overlap in ((16, 0), (16, 5), (7, 6), (512, 32)):
+        found = {}
+        for r in chunking.chunk_tokens(docs, path, size, overlap).collect():
+            found.setdefault(r.doc_id, []).append(r)
+        assert set(found) == set(range(len(texts)))
+        for i, text in enumerate(texts):
+            mine, end = sorted(found[i], key=lambda r: r.chunk_no), 0
+            assert [r.chunk_no for r in mine] == list(range(len(mine)))
+            for r in mine:
+                assert text[r.start_char : r.start_char + len(r.page_content)] == r.page_content
+                assert r.n_ids == len(tokenizer.encode(r.page_content, add_special_tokens=False).ids) <= size
+                assert r.start_char <= end  # nothing is left out
+                end = max(end, r.start_char + len(r.page_content))
+            assert end == len(text)
+            if not overlap:
+                assert "".join(r.page_content for r in mine) == text
+    with pytest.raises(ValueError, match="overlap"):
+        chunking.chunk_tokens(docs, path, 8, 8)
+
+
+def test_certainty_equals_a_plain_bootstrap(spark):
+    import hashlib
+    import random
+
+    rng = random.Random(1)
+    rows = [(run, q, m, rng.random() + (0.1 if run == "b" else 0)) for run in "ab" for q in range(80) for m in ("f1", "same")]
+    rows = [(run, q, m, 0.5 if m == "same" else v) for run, q, m, v in rows] + [("a", 500, "f1", None), ("b", 500, "f1", 1.0)]
+    values = spark.createDataFrame(rows, "run_id string, qid long, metric string, value double")
+    found = {r.metric: r for r in evaluation.compare_certainty(values, ["a", "b"], "a", replicates=100).collect()}
+    value = {(run, q): v for run, q, m, v in rows if m == "f1"}
+    diffs = {q: value["b", q] - value["a", q] for q in range(80)}
+    means = []
+    for r in range(100):
+        u = {q: (int(hashlib.md5(f"{q}-{r}".encode()).hexdigest()[:8], 16) + 0.5) / 2**32 for q in diffs}
+        w = {q: sum(u[q] >= c for c in evaluation.POISSON) for q in diffs}
+        means.append(sum(w[q] * d for q, d in diffs.items()) / sum(w.values()))
+    means.sort()
+    row = found["f1"]
+    assert (row.low, row.high) == (round(means[5], 6), round(means[94], 6)) and row.low < row.difference < row.high
+    assert row.better_share == round(sum(m > 0 for m in means) / 100, 6)
+    assert (found["same"].difference, found["same"].low, found["same"].high, found["same"].better_share) == (0, 0, 0, 0)
