@@ -5,9 +5,9 @@ from both states at a byte a softmax layer labels that byte with a probability f
 A document's probabilities are the averages over all its bytes, and its language is the likeliest.
 The network is trained in numpy by backpropagation through time.
 
-Learning uses at most ``max_rows`` documents of known language, the same number of each as far as
-there are that many (by hash order), and up to ``PARTS`` windows of each, spread over its text. This
-is the only sample; every byte of every text is labelled when documents are scored.
+Learning uses the whole texts of at most ``max_rows`` documents of known language, the same number of
+each language as far as there are that many (by hash order), all their windows ``EPOCHS`` times.
+This is the only sample; every byte of every text is labelled when documents are scored.
 
 - ``und`` with score 0 stands for null texts and texts without a letter, or if nothing was learned.
 - Rows are scored one by one, so repeated rows and null ids change nothing; a null id is never held
@@ -29,11 +29,10 @@ from quernstone.llm.gru import Adam, back, new_cell, run
 
 WIDTH = 8
 WINDOW = 128
-TRAIN_WINDOW = 64
-PARTS = 4
-MAX_ROWS = 2000
-STEPS = 240
+MAX_ROWS = 1000
+EPOCHS = 2
 BATCH = 128
+SPARE = 4  # documents of a language looked at for each one wanted
 RATE = 0.02
 TOGETHER = 2048  # windows labelled at a time
 PAD = 256  # the symbol behind the end of a text
@@ -102,14 +101,15 @@ def train(rows: list[tuple[list[bytes], str]], seed: int = 3) -> Model:
     params["out"] = rng.normal(0, 0.3, (2 * WIDTH, len(names))).astype(np.float32)
     params["bias"] = np.zeros(len(names), np.float32)
     adam = Adam(params, RATE)
-    for step in range(STEPS):
-        adam.rate = RATE * (1 - 0.9 * step / STEPS)
-        chosen = [parts[k] for k in rng.integers(0, len(parts), BATCH)]
-        symbols = padded([p for p, _ in chosen], TRAIN_WINDOW)
+    order = np.concatenate([rng.permutation(len(parts)) for _ in range(EPOCHS)])
+    for low in range(0, len(order), BATCH):
+        adam.rate = RATE * (1 - 0.9 * low / len(order))
+        chosen = [parts[k] for k in order[low : low + BATCH]]
+        symbols = padded([p for p, _ in chosen], WINDOW)
         labels = np.array([k for _, k in chosen])
         p, ahead, behind, kept_a, kept_b = _label(params, symbols, True)
         error = p.copy()
-        error[:, np.arange(BATCH), labels] -= 1
+        error[:, np.arange(len(chosen)), labels] -= 1
         error *= (symbols != PAD)[:, :, None] / max(1, int((symbols != PAD).sum()))
         flat = error.reshape(-1, len(names)).astype(np.float32)
         gradients = {
@@ -117,20 +117,16 @@ def train(rows: list[tuple[list[bytes], str]], seed: int = 3) -> Model:
             "bias": flat.sum(axis=0),
         }
         d_states = (flat @ params["out"].T).reshape(*symbols.shape, 2 * WIDTH)
-        for name, order, kept, d in (("a", symbols, kept_a, d_states[..., :WIDTH]), ("b", symbols[::-1], kept_b, d_states[::-1, :, WIDTH:])):
-            found = back({"table": params[f"table_{name}"], "u": params[f"u_{name}"]}, order, kept, d)
+        for name, read, kept, d in (("a", symbols, kept_a, d_states[..., :WIDTH]), ("b", symbols[::-1], kept_b, d_states[::-1, :, WIDTH:])):
+            found = back({"table": params[f"table_{name}"], "u": params[f"u_{name}"]}, read, kept, d)
             gradients |= {f"table_{name}": found["table"], f"u_{name}": found["u"]}
         adam.step(gradients)
     return Model(names, params)
 
 
 def _windows(texts: pa.Array) -> pa.Array:
-    out = []
-    for t in texts:
-        data = (t.as_py() or "").encode("utf-8", "surrogatepass")
-        last = max(0, len(data) - TRAIN_WINDOW)
-        out.append([data[at : at + TRAIN_WINDOW] for at in sorted({last * k // max(1, PARTS - 1) for k in range(PARTS)})])
-    return pa.array(out, pa.list_(pa.binary()))
+    data = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in texts]
+    return pa.array([[d[at : at + WINDOW] for at in range(0, len(d), WINDOW)] for d in data], pa.list_(pa.binary()))
 
 
 _windows.__annotations__ = {"texts": pa.Array, "return": pa.Array}
@@ -139,7 +135,13 @@ _windows.__annotations__ = {"texts": pa.Array, "return": pa.Array}
 def training_rows(docs: DataFrame, learn: Column, max_rows: int = MAX_ROWS) -> list[tuple[list[bytes], str]]:
     """Windows and language of at most ``max_rows`` documents; ``learn`` is a condition on doc_id."""
     known = docs.select("doc_id", F.col("lang").alias("name")).filter(learn & F.expr("doc_id is not null and lang is not null"))
-    order = Window.partitionBy("name").orderBy(F.xxhash64("doc_id"), "doc_id")
+    # Of each language only so many rows are ranked as its count says hold the first by hash, so a
+    # language of most documents is no more work than the others.
+    counts = known.groupBy("name").agg(F.count("*").alias("n"))
+    share = F.least(F.lit(1.0), F.lit(float(SPARE * max_rows)) / F.col("n"))
+    known = known.withColumn("draw", F.xxhash64("doc_id")).join(F.broadcast(materialize(counts, "language-counts")), "name")
+    known = known.filter((F.col("draw").cast("double") / float(1 << 63) + 1) / 2 <= share)
+    order = Window.partitionBy("name").orderBy("draw", "doc_id")
     ranked = known.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max_rows)
     chosen = ranked.orderBy("place", "name").limit(max_rows).groupBy("doc_id").agg(F.min("name").alias("name"))
     chosen = materialize(chosen, "chosen-languages")  # max_rows ids with their names: small enough to broadcast

@@ -188,6 +188,53 @@ def test_language_of_odd_rows(odd_docs, make_docs):
     assert language_id.train([]).predict(["text", None]) == [("und", 0.0)] * 2
 
 
+def plain_label(model, text):
+    """One byte, one window and one text at a time: the averages of the softmax over both states."""
+    data, width, total = text.encode(), language_id.WIDTH, 0
+
+    def states(name, symbols):
+        table, u, h, out = model.params[f"table_{name}"], model.params[f"u_{name}"], np.zeros(width), []
+        for x in symbols:
+            a, c = table[x].astype(float), h @ u.astype(float)
+            z, r = (1 / (1 + np.exp(-(a[k : k + width] + c[k : k + width]))) for k in (0, width))
+            n = np.tanh(a[2 * width :] + r * c[2 * width :])
+            h = n + z * (h - n)
+            out.append(h)
+        return out
+
+    for at in range(0, len(data), language_id.WINDOW):
+        part = list(data[at : at + language_id.WINDOW])
+        whole = part + [language_id.PAD] * (language_id.WINDOW - len(part))
+        ahead, behind = states("a", whole), states("b", whole[::-1])[::-1]
+        for one, two in list(zip(ahead, behind, strict=True))[: len(part)]:
+            logits = np.concatenate([one, two]) @ model.params["out"] + model.params["bias"]
+            p = np.exp(logits - logits.max())
+            total = total + p / p.sum()
+    return model.names[int(np.argmax(total))], float(np.max(total) / len(data))
+
+
+def test_labels_of_texts_together_equal_plain_ones(monkeypatch):
+    model = language_id.train([([b"the cat and the dog"] * 3, "en"), ([b"le chat et le chien"] * 3, "fr"), ([b"der hund"], "de")])
+    texts = ["the dog", "le chien et le chat " * 20, "x", "é" * 100, "the cat " * 16, "der " * 200, None, "12"]
+    for together in (2048, 3):
+        monkeypatch.setattr(language_id, "TOGETHER", together)
+        for text, (name, score) in zip(texts[:6], model.predict(texts), strict=False):
+            wanted, share = plain_label(model, text)
+            assert name == wanted and abs(score - share) < 1e-4, text
+    assert model.predict(texts)[6:] == [("und", 0.0)] * 2
+
+
+def test_learning_rows_are_whole_texts_of_every_language(spark, make_docs):
+    rows = [(i, f"text {i} " * 60) for i in range(400)]
+    docs = make_docs(rows).withColumn("lang", F.when(F.col("doc_id") % 20 == 0, "xx").when(F.col("doc_id") % 7 > 0, "en"))
+    found = language_id.training_rows(docs, F.lit(True), max_rows=24)
+    texts = {t.encode(): i for i, t in rows}
+    names = Counter(name for _, name in found)
+    assert names == {"en": 12, "xx": 12}
+    assert all((texts[b"".join(windows)] % 20 == 0) == (name == "xx") for windows, name in found)
+    assert len(language_id.training_rows(docs, F.lit(True), max_rows=1000)) == docs.filter("lang is not null").count()
+
+
 def test_gradients_of_the_unit():
     rng = np.random.default_rng(0)
     cell = {k: v.astype(np.float64) for k, v in gru.new_cell(rng, 7, 3).items()}
