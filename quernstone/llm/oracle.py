@@ -70,10 +70,10 @@ WITH h AS (
 ), shard AS (
   SELECT doc_id, bytes, h, min_by(struct_pack(depth, bits, size, n), depth) AS s
   FROM (SELECT *, row_number() OVER (PARTITION BY h, doc_id, bytes, depth) AS copy FROM sized)
-  WHERE size <= 1048576 OR n = 1 OR depth = 60
+  WHERE size <= 134217728 OR n = 1 OR depth = 60
   GROUP BY doc_id, bytes, h, copy
 ), paged AS (
-  SELECT *, CASE WHEN s.size > 1048576 AND s.n > 1 THEN greatest(1, 1048576 // greatest(bytes, 1)) END AS per_page,
+  SELECT *, CASE WHEN s.size > 134217728 AND s.n > 1 THEN greatest(1, 134217728 // greatest(bytes, 1)) END AS per_page,
     row_number() OVER (PARTITION BY h) - 1 AS k
   FROM shard
 )

@@ -24,7 +24,7 @@ from quernstone.llm import (
 )
 from quernstone.llm.common import documents, fold, materialize, read_table, small_batches
 
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 128 << 20
 END_TOKEN = 2
 CONTEXT = 1024
 
