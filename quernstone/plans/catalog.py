@@ -466,6 +466,26 @@ def compare_certainty(spark, sf_dir):
     return evaluation.compare_certainty(one.unionByName(four), ["top1", "top4"], "top1")
 
 
+def merged_summary(spark, sf_dir):
+    """Two runs summarised from what is saved of each, and whether the quantiles' ranks are as near as stated."""
+    folder = scratch_path(spark, "sketches")
+    asked = _answers(spark, sf_dir).select("qid", "prompt")
+    timed = materialize(answering.answer_with(rag.spread(asked), _prompt_length), "timed")
+    runs = []
+    for k, run_id in ((1, "top1"), (K, "top4")):
+        runs.append(_evaluation(spark, sf_dir, k, run_id).values.unionByName(evaluation.latency_values(timed, run_id)))
+        tables.save_eval({"sketches": evaluation.sketch_metrics(runs[-1])}, folder)
+    found = materialize(evaluation.merged_summary(tables.load_eval(spark, folder, "sketches")), "merged")
+    ranked = runs[0].unionByName(runs[1]).where("value is not null").join(found, "metric").groupBy("metric", "share").agg(
+        F.max("n").alias("n"),
+        F.avg((F.col("value") < F.col("quantile")).cast("double")).alias("below"),
+        F.avg((F.col("value") <= F.col("quantile")).cast("double")).alias("up_to"),
+    )
+    error = evaluation.rank_error()
+    near = (F.col("below") <= F.col("share") + error) & (F.col("up_to") >= F.col("share") - error)
+    return ranked.select("metric", "share", "n", near.alias("near"))
+
+
 def _prompt_length(prompts, params):
     return [str(len(p)) for p in prompts]
 
@@ -685,6 +705,7 @@ QUERIES: dict[str, Query] = {
         metric_summary,
         compare_runs,
         compare_certainty,
+        merged_summary,
         latency,
         resumed_answers,
         version_changes,

@@ -700,6 +700,10 @@ def oracle() -> dict[str, str]:
               CAST(sum(CAST(b.value = a.value AS INTEGER)) AS BIGINT) AS ties,
               CAST(sum(CAST(b.value < a.value AS INTEGER)) AS BIGINT) AS losses
             FROM vals_a a JOIN vals_b b USING (qid, metric) GROUP BY a.metric""",
+        "merged_summary": f"""{_two_runs()},
+            every AS (SELECT metric, value FROM vals UNION ALL SELECT 'latency', 0 FROM pairs, range(2))
+            SELECT metric, share, count(value) AS n, true AS near FROM every, (VALUES (0.5::DOUBLE), (0.9::DOUBLE)) s(share)
+            GROUP BY metric, share HAVING count(value) > 0""",
         "compare_certainty": f"""{_two_runs()},
             paired AS (
               SELECT metric, qid, b.value - a.value AS d FROM vals_a a JOIN vals_b b USING (qid, metric)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quernstone.operators import answering, chunking, evaluation, prompting, toxicity
-from quernstone.sources import versions
+from quernstone.sources import tables, versions
 
 
 def test_versions_are_whole_and_stay(spark, tmp_path, monkeypatch):
@@ -178,3 +178,27 @@ def test_certainty_equals_a_plain_bootstrap(spark):
     assert (row.low, row.high) == (round(means[5], 6), round(means[94], 6)) and row.low < row.difference < row.high
     assert row.better_share == round(sum(m > 0 for m in means) / 100, 6)
     assert (found["same"].difference, found["same"].low, found["same"].high, found["same"].better_share) == (0, 0, 0, 0)
+
+
+def test_quantiles_of_merged_runs_are_within_the_stated_rank(spark, tmp_path):
+    import random
+
+    rng = random.Random(9)
+    rows = [(f"r{k}", q, "m", rng.gauss(k, 1 + k)) for k in range(4) for q in range(5000)]
+    rows += [("r0", 1, "one", 2.5), ("r1", 1, "none", None), ("r1", 2, "none", float("nan"))]
+    values = spark.createDataFrame(rows, "run_id string, qid long, metric string, value double")
+    for run in ("r0", "r1", "r2", "r3", "r3"):  # saved one by one, one of them again
+        tables.save_eval({"sketches": evaluation.sketch_metrics(values.where(f"run_id = '{run}'"))}, str(tmp_path / "e"))
+    kept = tables.load_eval(spark, str(tmp_path / "e"), "sketches")
+    shares = (0.01, 0.5, 0.9, 0.99)
+    found = {(r.metric, r.share): r for r in evaluation.merged_summary(kept, shares).collect()}
+    plain = sorted(v for *_, m, v in rows if m == "m")
+    for share in shares:
+        row = found["m", share]
+        rank = sum(v <= row.quantile for v in plain) / len(plain)
+        assert row.n == 20_000 and abs(rank - share) <= evaluation.rank_error() and abs(row.mean - sum(plain) / 20_000) < 1e-9
+        assert found["one", share].quantile == 2.5
+    assert not any(metric == "none" for metric, _ in found)
+    by_run = evaluation.merged_summary(kept, (0.5,), by=("run_id", "metric")).collect()
+    assert len(by_run) == 5
+    assert max(len(r.sketch) for r in kept.collect()) < 12_000
