@@ -20,8 +20,8 @@ def test_query(spark, con, small, name):
     assert rows > 0 and not problem
 
 
-def test_only_the_recall_report_lacks_sql():
-    assert set(QUERIES) - set(SQL) == {"knn_cells_recall"}
+def test_only_recall_reports_and_token_chunks_lack_sql():
+    assert set(QUERIES) - set(SQL) == {"knn_cells_recall", "knn_codes_recall", "token_chunks"}
 
 
 def test_flagship(spark):
