@@ -1,19 +1,27 @@
 """Content-defined line chunks; chunks that repeat anywhere in the corpus stay once.
 
-A text is cut between lines (parts between ``\\n``). A rolling hash over the hashes of the last
-``WINDOW`` lines puts a boundary after a line where it is divisible by ``DIVISOR``; so boundaries
-depend on nearby lines only and come back to the same places after an insertion. No boundary stands
-between two equal lines, a line of ``PASSAGE`` words or more is a chunk of its own, and a run
-without a boundary is cut after every ``MOST`` lines.
+A text is cut between lines (parts between ``\\n``), by what stands in the lines nearby only:
+
+- *Edges.* For each two neighbouring lines the occurrences of this pair in all texts are counted. Where
+  that count is at most half of the pair's before or behind it, a repeated passage begins or ends, and
+  a boundary stands there. So a passage is cut out of each document alike, whatever surrounds it.
+- A line of ``PASSAGE`` words or more is a chunk of its own. Pairs with such a line count as once.
+- *Rolling hash.* Elsewhere a rolling hash over the hashes of the last ``WINDOW`` lines puts a boundary after a
+  line where it is divisible by ``DIVISOR``, but not between two equal lines, and not where it would leave one
+  line alone: next to a boundary above, or behind a line that has one already.
+- A run without a boundary is cut after every ``MOST`` lines; one line left over stays with those before.
 
 A chunk counts as removable if it has two lines or more, or ``PASSAGE`` words, and ``MIN_WORDS``
 words. Removable chunks are grouped by their bytes; of those occurring twice or more, the first
 occurrence inside the document with the smallest doc_id stays, all others go.
 
-How it runs: every task groups its own chunk texts before the shuffle, so a chunk that a third of
+How it runs: pairs of lines are counted by their 64-bit hashes (equal hashes of other pairs could only
+add a boundary). Counts above one come back to the texts that hold them; all other texts stay where they
+are. A chunk of several lines can only repeat if all its pairs do, so no other such chunk is moved.
+Every task groups its own chunk texts before the shuffle, so a chunk that a third of
 all documents share arrives once per task. Occurrences then travel as 128-bit keys only; a key that
 two different texts share removes nothing. What goes from a document is listed by its id and the
-hash of its text; texts that lose something are joined with the list, all others stay where they are.
+hash of its text; texts that lose something are joined with the list.
 
 - Null texts stay null, empty texts stay empty; neither has chunks. Lines without words count as
   lines and have no words.
@@ -26,8 +34,9 @@ from __future__ import annotations
 
 from hashlib import md5
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.llm.common import join_by_counts, materialize, may_be_in, words_of
@@ -41,23 +50,57 @@ PASSAGE = 50
 MIN_WORDS = 10
 
 
-def chunks(text: str | None) -> list[tuple[int, int, int]]:
-    """(first line, number of lines, number of words) of each chunk."""
+def _digest(text: str) -> bytes:
+    return md5(text.encode("utf-8", "surrogatepass")).digest()
+
+
+def pairs_of(text: str | None) -> list[tuple[int, int]]:
+    """(number of the first line, 64-bit hash) of each two neighbouring lines that are no long ones."""
+    lines = text.split("\n") if text else []
+    if len(lines) < 2:
+        return []
+    short = np.array([len(words_of(line)) < PASSAGE for line in lines])
+    hashes = np.frombuffer(b"".join(_digest(line)[:8] for line in lines), np.uint64)
+    pairs = ((hashes[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (hashes[1:] >> np.uint64(1))) * np.uint64(0xBF58476D1CE4E5B9)
+    at = np.flatnonzero(short[:-1] & short[1:])
+    return list(zip(at.tolist(), pairs[at].view(np.int64).tolist(), strict=True))
+
+
+def chunks(text: str | None, counts: dict[int, int] | None = None) -> list[tuple[int, int, int]]:
+    """(first line, number of lines, number of words) of each chunk.
+
+    ``counts`` has the occurrences of the pair that begins at a line, where these are more than one.
+    """
     if not text:
         return []
     lines = text.split("\n")
+    n = len(lines)
     sizes = [len(words_of(line)) for line in lines]
-    hashes = [int(md5(line.encode("utf-8", "surrogatepass")).hexdigest()[:7], 16) for line in lines]
-    out, first = [], 0
-    for i in range(len(lines)):
-        last = i + 1 == len(lines)
-        cut = last or i + 1 - first == MOST or sizes[i] >= PASSAGE or sizes[i + 1] >= PASSAGE
-        if not cut and lines[i] != lines[i + 1]:
+    long = [size >= PASSAGE for size in sizes]
+    hashes = [int.from_bytes(_digest(line)[:4], "big") >> 4 for line in lines]
+    seen = [1] * (n - 1)
+    for at, times in (counts or {}).items():
+        seen[at] = times
+
+    # fixed[i + 1], hashed[i + 1]: a boundary behind line i; the text begins behind line -1.
+    fixed, hashed = [True] * (n + 1), [False] * (n + 1)
+    for i in range(n - 1):
+        beside = max(seen[i - 1] if i else 0, seen[i + 1] if i + 2 < n else 0)
+        fixed[i + 1] = long[i] or long[i + 1] or 2 * seen[i] <= beside
+    for i in range(n - 1):
+        if not (fixed[i] or fixed[i + 1] or fixed[i + 2]) and lines[i] != lines[i + 1]:
             rolled = 0
             for h in hashes[max(0, i + 1 - WINDOW) : i + 1]:
                 rolled = (rolled * BASE + h) % PRIME
-            cut = rolled % DIVISOR == 0
-        if cut:
+            hashed[i + 1] = rolled % DIVISOR == 0
+
+    out, first = [], 0
+    for i in range(n):
+        if fixed[i + 1] or (hashed[i + 1] and not hashed[i]):
+            # Runs of over MOST lines in parts, the last of them of 2 to MOST + 1 lines.
+            while i + 1 - first > MOST + 1:
+                out.append((first, MOST, sum(sizes[first : first + MOST])))
+                first += MOST
             out.append((first, i + 1 - first, sum(sizes[first : i + 1])))
             first = i + 1
     return out
@@ -67,22 +110,37 @@ def removable(n_lines: int, n_words: int) -> bool:
     return n_words >= PASSAGE or (n_lines >= 2 and n_words >= MIN_WORDS)
 
 
-def _candidates(text: str | None) -> list[tuple[int, str]]:
-    lines = text.split("\n") if text else []
-    return [(k, "\n".join(lines[at : at + n])) for k, (at, n, w) in enumerate(chunks(text)) if removable(n, w)]
+def _counts(marks: list[dict] | None) -> dict[int, int]:
+    return {m["line"]: m["times"] for m in marks or []}
+
+
+def _candidates(text: str | None, marks: list[dict] | None) -> list[tuple[int, str]]:
+    """Number and text of the chunks that may repeat: removable, all pairs in them met elsewhere."""
+    lines, counts = text.split("\n") if text else [], _counts(marks)
+    return [
+        (k, "\n".join(lines[at : at + n]))
+        for k, (at, n, w) in enumerate(chunks(text, counts))
+        if removable(n, w) and all(i in counts for i in range(at, at + n - 1))
+    ]
+
 
+def _pairs_of(texts: pa.Array) -> pa.Array:
+    kind = pa.list_(pa.struct([("line", pa.int32()), ("pair", pa.int64())]))
+    return pa.array([[{"line": at, "pair": pair} for at, pair in pairs_of(t.as_py())] for t in texts], kind)
 
-def _texts_of(texts: pa.Array) -> pa.Array:
-    return pa.array([[c for _, c in _candidates(t.as_py())] for t in texts], pa.list_(pa.string()))
 
+def _texts_of(texts: pa.Array, marks: pa.Array) -> pa.Array:
+    rows = zip(texts, marks, strict=True)
+    return pa.array([[c for _, c in _candidates(t.as_py(), m.as_py())] for t, m in rows], pa.list_(pa.string()))
 
-def _keys_of(texts: pa.Array) -> pa.Array:
+
+def _keys_of(texts: pa.Array, marks: pa.Array) -> pa.Array:
     """Per text: chunk number, md5 of its bytes, whether it is the first such chunk of the text."""
     out = []
-    for t in texts:
+    for t, m in zip(texts, marks, strict=True):
         seen, rows = set(), []
-        for k, chunk in _candidates(t.as_py()):
-            key = md5(chunk.encode("utf-8", "surrogatepass")).digest()
+        for k, chunk in _candidates(t.as_py(), m.as_py()):
+            key = _digest(chunk)
             rows.append({"chunk": k, "key": key, "first": key not in seen})
             seen.add(key)
         out.append(rows)
@@ -90,11 +148,11 @@ def _keys_of(texts: pa.Array) -> pa.Array:
     return pa.array(out, kind)
 
 
-def rewrite(text: str | None, gone: list[int]) -> tuple:
+def rewrite(text: str | None, counts: dict[int, int], gone: list[int]) -> tuple:
     """The text without some chunks, with its numbers of lines, chunks, chunks and lines gone."""
     if text is None:
         return None, 0, 0, 0, 0
-    lines, parts = text.split("\n"), chunks(text)
+    lines, parts = text.split("\n"), chunks(text, counts)
     drop = set(gone)
     kept = [line for k, (at, n, _) in enumerate(parts) if k not in drop for line in lines[at : at + n]]
     n_lines = len(lines) if text else 0
@@ -102,18 +160,44 @@ def rewrite(text: str | None, gone: list[int]) -> tuple:
     return "\n".join(kept), n_lines, len(parts), len(drop), n_lines - left
 
 
-def _rewritten(texts: pa.Array, gone: pa.Array) -> pa.Array:
-    rows = [rewrite(t.as_py(), g.as_py() or []) for t, g in zip(texts, gone, strict=True)]
+def _rewritten(texts: pa.Array, marks: pa.Array, gone: pa.Array) -> pa.Array:
+    rows = [rewrite(t.as_py(), _counts(m.as_py()), g.as_py() or []) for t, m, g in zip(texts, marks, gone, strict=True)]
     columns = list(zip(*rows, strict=True)) or [[]] * 5
     kinds = (pa.string(), *[pa.int64()] * 4)
     return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], list(_RESULTS))
 
 
 _RESULTS = ("clean_text", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines")
-for _f in (_texts_of, _keys_of, _rewritten):
+for _f in (_pairs_of, _texts_of, _keys_of, _rewritten):
     _f.__annotations__ = {n: pa.Array for n in _f.__code__.co_varnames[: _f.__code__.co_argcount]} | {"return": pa.Array}
 
 
+def _with_list(rows: DataFrame, lists: DataFrame, name: str, text: Column) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with the list their id and text have in ``lists``, or null: rows that may have one, the others."""
+    other = lists.select(F.col("doc_id").alias("other_id"), F.col("digest").alias("other_digest"), name)
+    digest = F.xxhash64(text)
+    concerned = may_be_in(lists, "doc_id", "digest")(F.xxhash64(F.col("doc_id"), digest))
+    some = rows.filter(concerned)
+    same = some["doc_id"].eqNullSafe(other["other_id"]) & (digest == other["other_digest"])
+    joined = some.join(other, same, "left").select(*rows.columns, name)
+    return joined, rows.filter(~concerned).withColumn(name, F.lit(None).cast(lists.schema[name].dataType))
+
+
+def _marked(rows: DataFrame, text: Column) -> DataFrame:
+    """``rows`` with ``marks``: the pairs of lines of their text that occur twice or more, with their counts."""
+    pairs = F.arrow_udf(_pairs_of, "array<struct<line int, pair long>>")
+    every = rows.select("doc_id", F.xxhash64(text).alias("digest"), F.explode(pairs(text)).alias("p"))
+    every = every.select("doc_id", "digest", "p.*")
+    repeated = every.groupBy("pair").agg(F.count("*").alias("times")).filter("times > 1")
+    repeated = materialize(repeated, "repeated-pairs")
+    found = every.filter(may_be_in(repeated, "pair")(F.xxhash64("pair")))
+    found = materialize(found, "pairs-met")
+    hit = join_by_counts(found, repeated, "pair", "times", found.count())
+    marks = hit.groupBy("doc_id", "digest").agg(F.collect_set(F.struct("line", "times")).alias("marks"))
+    some, others = _with_list(rows, materialize(marks, "pair-marks"), "marks", text)
+    return materialize(some, "marked-rows").unionAll(others)
+
+
 def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``clean_text`` and the counts of lines and chunks, in all and removed."""
     texts = F.arrow_udf(_texts_of, "array<string>")
@@ -121,38 +205,32 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rewritten = F.arrow_udf(
         _rewritten, "clean_text string, n_lines long, n_chunks long, n_removed_chunks long, n_removed_lines long"
     )
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
+    # The input's own columns travel inside one, so that no name of theirs can clash.
+    of_row = F.col("row").getField
+    rows = docs.select(docs[doc_id].alias("doc_id"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = _marked(rows, of_row(text))
 
     # The byte comparison: grouping by the chunk itself.
-    spelled = rows.select("doc_id", F.explode(texts("text")).alias("chunk"))
+    spelled = rows.select("doc_id", F.explode(texts(of_row(text), "marks")).alias("chunk"))
     groups = spelled.groupBy("chunk").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).filter("n > 1")
     repeated = groups.select(F.unhex(F.md5("chunk")).alias("key"), "n", "first_doc")
     repeated = repeated.groupBy("key").agg(F.sum("n").alias("n"), F.min("first_doc").alias("first_doc"), F.count("*").alias("texts"))
     repeated = materialize(repeated.filter("texts = 1").drop("texts"), "repeated-chunks")
 
-    digest = F.xxhash64("text").alias("digest")
-    found = rows.select("doc_id", digest, F.explode(keys("text")).alias("c")).select("doc_id", "digest", "c.*")
+    digest = F.xxhash64(of_row(text)).alias("digest")
+    found = rows.select("doc_id", digest, F.explode(keys(of_row(text), "marks")).alias("c")).select("doc_id", "digest", "c.*")
     found = materialize(found, "chunk-keys")
     hit = join_by_counts(found, repeated, "key", "n", found.count())
     stays = F.col("doc_id").eqNullSafe(F.col("first_doc")) & F.col("first")
     gone = hit.filter(~stays).groupBy("doc_id", "digest").agg(F.collect_set("chunk").alias("gone"))
-    gone = gone.select(F.col("doc_id").alias("__doc"), F.col("digest").alias("__digest"), F.col("gone").alias("__gone"))
-    gone = materialize(gone, "chunks-gone")
-
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in _RESULTS]
-    with_digest = docs.withColumn("__of_text", F.xxhash64(docs[text]))
-    # Only texts that may have something to lose are moved.
-    concerned = may_be_in(gone, "__doc", "__digest")(F.xxhash64(doc_id, "__of_text"))
-    some = with_digest.filter(concerned)
-    same = some[doc_id].eqNullSafe(gone["__doc"]) & (some["__of_text"] == gone["__digest"])
-    whole = with_digest.filter(~concerned).withColumn("__gone", F.lit(None).cast("array<int>"))
-    joined = some.join(gone, same, "left").select(whole.columns).unionAll(whole)
-    out = joined.select(*kept, rewritten(F.col(text), F.col("__gone")).alias("__out"))
-    return out.select(*[F.col(f"`{c}`") for c in out.columns if c != "__out"], "__out.*")
+    some, others = _with_list(rows, materialize(gone, "chunks-gone"), "gone", of_row(text))
+    out = some.unionAll(others).select("row", rewritten(of_row(text), "marks", "gone").alias("out"))
+    kept = [of_row(c).alias(c) for c in docs.columns if c not in _RESULTS]
+    return out.select(*kept, *(F.col("out").getField(c).alias(c) for c in _RESULTS))
 
 
 def clean_documents(docs: DataFrame) -> DataFrame:
     """Every document with its cleaned text and its length; columns as in ``documents``."""
     cleaned = remove_repeated(docs)
     named = {"text": F.col("clean_text"), "n_chars": F.char_length("clean_text").cast("long")}
-    return cleaned.select(*(named[c].alias(c) if c in named else F.col(c) for c in docs.columns))
+    return cleaned.select(*(named[c].alias(c) if c in named else F.col(f"`{c}`") for c in docs.columns))

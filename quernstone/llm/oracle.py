@@ -98,15 +98,29 @@ WITH d AS (
 ), beside AS (
   SELECT *, lead(line) OVER o AS next_line, lead(w) OVER o AS next_w, coalesce(lag(h) OVER o, 0) AS previous
   FROM lines WINDOW o AS (PARTITION BY r ORDER BY i)
-), ends AS (
-  SELECT *, next_line IS NULL OR w >= 50 OR next_w >= 50
-    OR (line <> next_line AND ((previous % 2147483647) * 31 + h) % 2147483647 % 3 = 0) AS ends
+), met AS (
+  SELECT *, next_line IS NOT NULL AND w < 50 AND next_w < 50 AS short,
+    CASE WHEN next_line IS NOT NULL AND w < 50 AND next_w < 50 THEN
+      count(*) OVER (PARTITION BY line, next_line, next_line IS NOT NULL AND w < 50 AND next_w < 50)
+    WHEN next_line IS NOT NULL THEN 1 ELSE 0 END AS times
   FROM beside
+), edges AS (
+  SELECT *, NOT short OR 2 * times <= greatest(coalesce(lag(times) OVER o, 0), coalesce(lead(times) OVER o, 0)) AS fixed
+  FROM met WINDOW o AS (PARTITION BY r ORDER BY i)
+), hashed AS (
+  SELECT *, NOT fixed AND NOT coalesce(lag(fixed) OVER o, TRUE) AND NOT coalesce(lead(fixed) OVER o, TRUE)
+    AND line <> next_line AND ((previous % 2147483647) * 31 + h) % 2147483647 % 3 = 0 AS hashed
+  FROM edges WINDOW o AS (PARTITION BY r ORDER BY i)
+), ends AS (
+  SELECT *, fixed OR (hashed AND NOT coalesce(lag(hashed) OVER o, FALSE)) AS ends
+  FROM hashed WINDOW o AS (PARTITION BY r ORDER BY i)
 ), runs AS (
   SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run
   FROM ends
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY r, run ORDER BY i) AS k, count(*) OVER (PARTITION BY r, run) AS size FROM runs
 ), placed AS (
-  SELECT *, (row_number() OVER (PARTITION BY r, run ORDER BY i) - 1) // 16 AS part FROM runs
+  SELECT *, (k - 1 - (k = size AND size > 1 AND size % 16 = 1)::INT) // 16 AS part FROM numbered
 ), chunks AS (
   SELECT r, doc_id, run, part, count(*) AS n, sum(w) AS words, string_agg(line, chr(10) ORDER BY i) AS chunk, min(i) AS first_line
   FROM placed GROUP BY r, doc_id, run, part

@@ -314,6 +314,43 @@ def test_repeated_chunks(make_docs):
     assert all(out[i] == f"Own line {i} of document number {i}.\nLast line of {i}." for i in range(1, 5))
 
 
+@pytest.mark.parametrize(("n_lines", "n_words"), [(2, 30), (3, 20), (4, 15), (6, 10), (12, 10), (20, 10), (40, 6)])
+def test_passages_of_short_lines_go(make_docs, n_lines, n_words):
+    """Passages planted in two documents each, between lines of their own: the second loses them, own lines stay."""
+    rng = random.Random(n_lines)
+    prose = lambda n, m: [" ".join(f"w{rng.randrange(10**6)}" for _ in range(m)) for _ in range(n)]
+    rows, planted, own = [], {}, {}
+    for k in range(30):
+        passage = prose(n_lines, n_words)
+        for i in (k, 100 + k):
+            head, tail = prose(rng.randrange(5), 12), prose(rng.randrange(5), 12)
+            planted[i], own[i] = passage, head + tail
+            rows.append((i, "\n".join(head + passage + tail)))
+    out = {r.doc_id: r.clean_text.split("\n") for r in line_dedup.remove_repeated(make_docs(rows)).collect()}
+    assert all(out[i] == t.split("\n") for i, t in rows if i < 100)
+    left = sum(len(set(out[i]) & set(planted[i])) for i in planted if i >= 100)
+    assert left <= 0.1 * 30 * n_lines
+    assert all(set(own[i]) <= set(out[i]) for i in own)
+
+
+def test_passage_shared_by_many_in_a_copied_document(make_docs):
+    """Pairs inside the passage occur far oftener than those at its edges, though all of the copies' pairs repeat."""
+    passage = [f"passage line {k} with six words" for k in range(9)]
+    whole = "\n".join([*(f"opening line {k} of the copied text" for k in range(4)), *passage, "a closing line of it", "the very end of it"])
+    rows = [(1, whole), (2, whole)] + [(i, "\n".join([f"own start of {i}", *passage, f"own end of {i}"])) for i in range(3, 9)]
+    out = {r.doc_id: r.clean_text for r in line_dedup.remove_repeated(make_docs(rows)).collect()}
+    assert out[1] == whole and out[2] == ""
+    assert all(out[i] == f"own start of {i}\nown end of {i}" for i in range(3, 9))
+
+
+def test_line_dedup_keeps_columns_of_any_name(make_docs):
+    docs = make_docs([(1, "one line of a text\nand another one of it, of ten words"), (2, "one line of a text\nand another one of it, of ten words")])
+    for name in ("row", "digest", "marks", "gone", "other_id", "__doc", "__gone", "out", "a.b"):
+        docs = docs.withColumn(name, F.lit("x"))
+    rows = line_dedup.remove_repeated(docs).orderBy("doc_id").collect()
+    assert [r.n_removed_lines for r in rows] == [0, 2] and all(r["a.b"] == r["row"] == r["marks"] == "x" for r in rows)
+
+
 def test_boundaries_come_back_after_an_insertion():
     rng = random.Random(2)
     lines = [" ".join(f"w{rng.randrange(999)}" for _ in range(8)) for _ in range(200)]

@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from itertools import pairwise
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -373,9 +374,12 @@ def test_stages_against_brute_force(spark):
         if name == "line_dedup":
             assert set(after) == {r.doc_id for r in before}
             first = {}
+            neighbours = Counter(p for r in before for p in pairwise(r.text.split("\n")))
             for r in sorted(before, key=lambda r: r.doc_id):
                 lines, out = r.text.split("\n"), []
-                for at, n, w in line_dedup.chunks(r.text):
+                long = [len(line_dedup.words_of(line)) >= line_dedup.PASSAGE for line in lines]
+                counts = {k: neighbours[p] for k, p in enumerate(pairwise(lines)) if not long[k] and not long[k + 1]}
+                for at, n, w in line_dedup.chunks(r.text, counts):
                     chunk = "\n".join(lines[at : at + n])
                     if not line_dedup.removable(n, w) or first.setdefault(chunk, (r.doc_id, at)) == (r.doc_id, at):
                         out.append(chunk)
