@@ -15,9 +15,9 @@ A chunk counts as removable if it has two lines or more, or ``PASSAGE`` words, a
 words. Removable chunks are grouped by their bytes; of those occurring twice or more, the first
 occurrence inside the document with the smallest doc_id stays, all others go.
 
-How it runs: pairs of lines are counted by their 64-bit hashes (equal hashes of other pairs could only
+How it runs: pairs of lines, and long lines, are counted by 64-bit hashes (equal hashes of others could only
 add a boundary). Counts above one come back to the texts that hold them; all other texts stay where they
-are. A chunk of several lines can only repeat if all its pairs do, so no other such chunk is moved.
+are. A chunk can only repeat if all its pairs, or its one long line, do, so no other chunk is moved.
 Every task groups its own chunk texts before the shuffle, so a chunk that a third of
 all documents share arrives once per task. Occurrences then travel as 128-bit keys only; a key that
 two different texts share removes nothing. What goes from a document is listed by its id and the
@@ -54,22 +54,32 @@ def _digest(text: str) -> bytes:
     return md5(text.encode("utf-8", "surrogatepass")).digest()
 
 
-def pairs_of(text: str | None) -> list[tuple[int, int]]:
-    """(number of the first line, 64-bit hash) of each two neighbouring lines that are no long ones."""
-    lines = text.split("\n") if text else []
-    if len(lines) < 2:
+def _is_long(line: str) -> bool:
+    if len(line) < 2 * PASSAGE - 1:
+        return False
+    return len(line.encode("utf-8", "surrogatepass").split(None, PASSAGE - 1)) == PASSAGE
+
+
+def marks_of(text: str | None) -> list[tuple[int, int]]:
+    """(line, 64-bit hash) of what must repeat for a chunk to do so: each two neighbouring short lines, each long line."""
+    if not text:
         return []
-    short = np.array([len(words_of(line)) < PASSAGE for line in lines])
+    lines = text.split("\n")
+    long = np.array([_is_long(line) for line in lines])
     hashes = np.frombuffer(b"".join(_digest(line)[:8] for line in lines), np.uint64)
-    pairs = ((hashes[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (hashes[1:] >> np.uint64(1))) * np.uint64(0xBF58476D1CE4E5B9)
-    at = np.flatnonzero(short[:-1] & short[1:])
-    return list(zip(at.tolist(), pairs[at].view(np.int64).tolist(), strict=True))
+    marks = hashes * np.uint64(0x9E3779B97F4A7C15)
+    marks[:-1] ^= np.where(long[:-1], np.uint64(0), hashes[1:] >> np.uint64(1))
+    marks *= np.uint64(0xBF58476D1CE4E5B9)
+    counted = long.copy()
+    counted[:-1] |= ~long[:-1] & ~long[1:]
+    at = np.flatnonzero(counted)
+    return list(zip(at.tolist(), marks[at].view(np.int64).tolist(), strict=True))
 
 
 def chunks(text: str | None, counts: dict[int, int] | None = None) -> list[tuple[int, int, int]]:
     """(first line, number of lines, number of words) of each chunk.
 
-    ``counts`` has the occurrences of the pair that begins at a line, where these are more than one.
+    ``counts`` has, by line, the occurrences of what ``marks_of`` gives for it, where these are more than one.
     """
     if not text:
         return []
@@ -80,7 +90,8 @@ def chunks(text: str | None, counts: dict[int, int] | None = None) -> list[tuple
     hashes = [int.from_bytes(_digest(line)[:4], "big") >> 4 for line in lines]
     seen = [1] * (n - 1)
     for at, times in (counts or {}).items():
-        seen[at] = times
+        if not long[at]:
+            seen[at] = times
 
     # fixed[i + 1], hashed[i + 1]: a boundary behind line i; the text begins behind line -1.
     fixed, hashed = [True] * (n + 1), [False] * (n + 1)
@@ -115,18 +126,18 @@ def _counts(marks: list[dict] | None) -> dict[int, int]:
 
 
 def _candidates(text: str | None, marks: list[dict] | None) -> list[tuple[int, str]]:
-    """Number and text of the chunks that may repeat: removable, all pairs in them met elsewhere."""
+    """Number and text of the chunks that may repeat: removable, all that ``marks_of`` gives for them met elsewhere."""
     lines, counts = text.split("\n") if text else [], _counts(marks)
     return [
         (k, "\n".join(lines[at : at + n]))
         for k, (at, n, w) in enumerate(chunks(text, counts))
-        if removable(n, w) and all(i in counts for i in range(at, at + n - 1))
+        if removable(n, w) and all(i in counts for i in range(at, at + max(1, n - 1)))
     ]
 
 
-def _pairs_of(texts: pa.Array) -> pa.Array:
-    kind = pa.list_(pa.struct([("line", pa.int32()), ("pair", pa.int64())]))
-    return pa.array([[{"line": at, "pair": pair} for at, pair in pairs_of(t.as_py())] for t in texts], kind)
+def _marks_of(texts: pa.Array) -> pa.Array:
+    kind = pa.list_(pa.struct([("line", pa.int32()), ("mark", pa.int64())]))
+    return pa.array([[{"line": at, "mark": mark} for at, mark in marks_of(t.as_py())] for t in texts], kind)
 
 
 def _texts_of(texts: pa.Array, marks: pa.Array) -> pa.Array:
@@ -168,7 +179,7 @@ def _rewritten(texts: pa.Array, marks: pa.Array, gone: pa.Array) -> pa.Array:
 
 
 _RESULTS = ("clean_text", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines")
-for _f in (_pairs_of, _texts_of, _keys_of, _rewritten):
+for _f in (_marks_of, _texts_of, _keys_of, _rewritten):
     _f.__annotations__ = {n: pa.Array for n in _f.__code__.co_varnames[: _f.__code__.co_argcount]} | {"return": pa.Array}
 
 
@@ -183,19 +194,19 @@ def _with_list(rows: DataFrame, lists: DataFrame, name: str, text: Column) -> tu
     return joined, rows.filter(~concerned).withColumn(name, F.lit(None).cast(lists.schema[name].dataType))
 
 
-def _marked(rows: DataFrame, text: Column) -> DataFrame:
-    """``rows`` with ``marks``: the pairs of lines of their text that occur twice or more, with their counts."""
-    pairs = F.arrow_udf(_pairs_of, "array<struct<line int, pair long>>")
-    every = rows.select("doc_id", F.xxhash64(text).alias("digest"), F.explode(pairs(text)).alias("p"))
-    every = every.select("doc_id", "digest", "p.*")
-    repeated = every.groupBy("pair").agg(F.count("*").alias("times")).filter("times > 1")
-    repeated = materialize(repeated, "repeated-pairs")
-    found = every.filter(may_be_in(repeated, "pair")(F.xxhash64("pair")))
-    found = materialize(found, "pairs-met")
-    hit = join_by_counts(found, repeated, "pair", "times", found.count())
-    marks = hit.groupBy("doc_id", "digest").agg(F.collect_set(F.struct("line", "times")).alias("marks"))
-    some, others = _with_list(rows, materialize(marks, "pair-marks"), "marks", text)
-    return materialize(some, "marked-rows").unionAll(others)
+def _marked(rows: DataFrame, text: Column) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with ``marks``, what repeats in their text with its counts: rows that may have any, the others."""
+    marks = F.arrow_udf(_marks_of, "array<struct<line int, mark long>>")
+    every = rows.select("doc_id", F.xxhash64(text).alias("digest"), F.explode(marks(text)).alias("m"))
+    every = every.select("doc_id", "digest", "m.*")
+    repeated = every.groupBy("mark").agg(F.count("*").alias("times")).filter("times > 1")
+    repeated = materialize(repeated, "repeated-marks")
+    found = every.filter(may_be_in(repeated, "mark")(F.xxhash64("mark")))
+    found = materialize(found, "marks-met")
+    hit = join_by_counts(found, repeated, "mark", "times", found.count())
+    listed = hit.groupBy("doc_id", "digest").agg(F.collect_set(F.struct("line", "times")).alias("marks"))
+    some, others = _with_list(rows, materialize(listed, "marks-by-text"), "marks", text)
+    return materialize(some, "marked-rows"), others
 
 
 def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -208,23 +219,23 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # The input's own columns travel inside one, so that no name of theirs can clash.
     of_row = F.col("row").getField
     rows = docs.select(docs[doc_id].alias("doc_id"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    rows = _marked(rows, of_row(text))
+    marked, others = _marked(rows, of_row(text))
 
-    # The byte comparison: grouping by the chunk itself.
-    spelled = rows.select("doc_id", F.explode(texts(of_row(text), "marks")).alias("chunk"))
+    # The byte comparison: grouping by the chunk itself. The other rows have no chunk that repeats.
+    spelled = marked.select("doc_id", F.explode(texts(of_row(text), "marks")).alias("chunk"))
     groups = spelled.groupBy("chunk").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).filter("n > 1")
     repeated = groups.select(F.unhex(F.md5("chunk")).alias("key"), "n", "first_doc")
     repeated = repeated.groupBy("key").agg(F.sum("n").alias("n"), F.min("first_doc").alias("first_doc"), F.count("*").alias("texts"))
     repeated = materialize(repeated.filter("texts = 1").drop("texts"), "repeated-chunks")
 
     digest = F.xxhash64(of_row(text)).alias("digest")
-    found = rows.select("doc_id", digest, F.explode(keys(of_row(text), "marks")).alias("c")).select("doc_id", "digest", "c.*")
+    found = marked.select("doc_id", digest, F.explode(keys(of_row(text), "marks")).alias("c")).select("doc_id", "digest", "c.*")
     found = materialize(found, "chunk-keys")
     hit = join_by_counts(found, repeated, "key", "n", found.count())
     stays = F.col("doc_id").eqNullSafe(F.col("first_doc")) & F.col("first")
     gone = hit.filter(~stays).groupBy("doc_id", "digest").agg(F.collect_set("chunk").alias("gone"))
-    some, others = _with_list(rows, materialize(gone, "chunks-gone"), "gone", of_row(text))
-    out = some.unionAll(others).select("row", rewritten(of_row(text), "marks", "gone").alias("out"))
+    some, whole = _with_list(marked, materialize(gone, "chunks-gone"), "gone", of_row(text))
+    out = some.unionAll(whole).unionAll(others.withColumn("gone", F.lit(None).cast("array<int>"))).select("row", rewritten(of_row(text), "marks", "gone").alias("out"))
     kept = [of_row(c).alias(c) for c in docs.columns if c not in _RESULTS]
     return out.select(*kept, *(F.col("out").getField(c).alias(c) for c in _RESULTS))
 
