@@ -194,11 +194,21 @@ def _with_list(rows: DataFrame, lists: DataFrame, name: str, text: Column) -> tu
     return joined, rows.filter(~concerned).withColumn(name, F.lit(None).cast(lists.schema[name].dataType))
 
 
+def _unrolled(rows: DataFrame) -> DataFrame:
+    """One row per entry ``one`` of the lists ``all``, next to the other columns.
+
+    What else is made of the text is made before, so that no text travels with each of its lines; and for
+    ``explode`` itself Spark would first ask each list whether it is empty, and so make it twice.
+    """
+    others = [c for c in rows.columns if c != "all"]
+    return rows.select(*others, F.explode_outer("all").alias("one")).filter("one is not null")
+
+
 def _marked(rows: DataFrame, text: Column) -> tuple[DataFrame, DataFrame]:
     """``rows`` with ``marks``, what repeats in their text with its counts: rows that may have any, the others."""
     marks = F.arrow_udf(_marks_of, "array<struct<line int, mark long>>")
-    every = rows.select("doc_id", F.xxhash64(text).alias("digest"), F.explode(marks(text)).alias("m"))
-    every = every.select("doc_id", "digest", "m.*")
+    every = _unrolled(rows.select("doc_id", F.xxhash64(text).alias("digest"), marks(text).alias("all")))
+    every = every.select("doc_id", "digest", "one.*")
     repeated = every.groupBy("mark").agg(F.count("*").alias("times")).filter("times > 1")
     repeated = materialize(repeated, "repeated-marks")
     found = every.filter(may_be_in(repeated, "mark")(F.xxhash64("mark")))
@@ -222,15 +232,15 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     marked, others = _marked(rows, of_row(text))
 
     # The byte comparison: grouping by the chunk itself. The other rows have no chunk that repeats.
-    spelled = marked.select("doc_id", F.explode(texts(of_row(text), "marks")).alias("chunk"))
+    spelled = _unrolled(marked.select("doc_id", texts(of_row(text), "marks").alias("all"))).withColumnRenamed("one", "chunk")
     groups = spelled.groupBy("chunk").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).filter("n > 1")
     repeated = groups.select(F.unhex(F.md5("chunk")).alias("key"), "n", "first_doc")
     repeated = repeated.groupBy("key").agg(F.sum("n").alias("n"), F.min("first_doc").alias("first_doc"), F.count("*").alias("texts"))
     repeated = materialize(repeated.filter("texts = 1").drop("texts"), "repeated-chunks")
 
     digest = F.xxhash64(of_row(text)).alias("digest")
-    found = marked.select("doc_id", digest, F.explode(keys(of_row(text), "marks")).alias("c")).select("doc_id", "digest", "c.*")
-    found = materialize(found, "chunk-keys")
+    found = marked.select("doc_id", digest, keys(of_row(text), "marks").alias("all"))
+    found = materialize(_unrolled(found).select("doc_id", "digest", "one.*"), "chunk-keys")
     hit = join_by_counts(found, repeated, "key", "n", found.count())
     stays = F.col("doc_id").eqNullSafe(F.col("first_doc")) & F.col("first")
     gone = hit.filter(~stays).groupBy("doc_id", "digest").agg(F.collect_set("chunk").alias("gone"))
