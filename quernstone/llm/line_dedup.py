@@ -60,10 +60,10 @@ def _is_long(line: str) -> bool:
     return len(line.encode("utf-8", "surrogatepass").split(None, PASSAGE - 1)) == PASSAGE
 
 
-def marks_of(text: str | None) -> list[tuple[int, int]]:
-    """(line, 64-bit hash) of what must repeat for a chunk to do so: each two neighbouring short lines, each long line."""
+def marks_of(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Lines and 64-bit hashes of what must repeat for a chunk to do so: each two neighbouring short lines, each long line."""
     if not text:
-        return []
+        return np.empty(0, np.int32), np.empty(0, np.int64)
     lines = text.split("\n")
     long = np.array([_is_long(line) for line in lines])
     hashes = np.frombuffer(b"".join(_digest(line)[:8] for line in lines), np.uint64)
@@ -73,7 +73,7 @@ def marks_of(text: str | None) -> list[tuple[int, int]]:
     counted = long.copy()
     counted[:-1] |= ~long[:-1] & ~long[1:]
     at = np.flatnonzero(counted)
-    return list(zip(at.tolist(), marks[at].view(np.int64).tolist(), strict=True))
+    return at.astype(np.int32), marks[at].view(np.int64)
 
 
 def chunks(text: str | None, counts: dict[int, int] | None = None) -> list[tuple[int, int, int]]:
@@ -136,8 +136,12 @@ def _candidates(text: str | None, marks: list[dict] | None) -> list[tuple[int, s
 
 
 def _marks_of(texts: pa.Array) -> pa.Array:
-    kind = pa.list_(pa.struct([("line", pa.int32()), ("mark", pa.int64())]))
-    return pa.array([[{"line": at, "mark": mark} for at, mark in marks_of(t.as_py())] for t in texts], kind)
+    found = [marks_of(t.as_py()) for t in texts]
+    ends = np.cumsum([0, *(len(lines) for lines, _ in found)]).astype(np.int32)
+    lines = np.concatenate([np.empty(0, np.int32), *(lines for lines, _ in found)])
+    marks = np.concatenate([np.empty(0, np.int64), *(marks for _, marks in found)])
+    flat = pa.StructArray.from_arrays([pa.array(lines), pa.array(marks)], ["line", "mark"])
+    return pa.ListArray.from_arrays(pa.array(ends), flat)
 
 
 def _texts_of(texts: pa.Array, marks: pa.Array) -> pa.Array:
