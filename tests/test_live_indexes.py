@@ -200,3 +200,35 @@ def test_codes_of_few_and_equal_vectors(spark):
     index = codes.build_codes(vectors, cells=2, pieces=2)
     asked = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 1.0]), (2, [0.0, 5.0, 0.0, 0.0])], "qid long, embedding array<float>")
     assert ids(codes.knn_codes(index, asked, 2, nprobe=4, survivors=6)) == {1: [0, 1], 2: [9, 0]}
+
+
+def test_lists_are_moved_once_for_all_parts_of_questions(spark):
+    rng = random.Random(6)
+    chunks = texts_of(rng, 300)
+    index = bm25.build_bm25(spark.createDataFrame(chunks, "id long, page_content string"))
+    questions = [(q, " ".join(rng.choices(WORDS, k=4))) for q in range(40)]
+    asked = bm25.question_terms(spark.createDataFrame(questions, "qid long, questions string"))
+    queries = bm25.materialize(bm25.term_weights(index, asked), "queries").cache()
+    scored = bm25._many_questions(index, queries, 40, 10, 3)
+    assert scored.count() > 0
+    scored.collect()
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.find("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert final.count("MapInArrow") == 4 and final.count("ReusedExchange") == 3
+
+
+def test_posting_lists_need_no_row_per_token(spark):
+    rng = random.Random(8)
+    chunks = [*texts_of(rng, 60), (900, ""), (901, "... ")]
+    texts = bm25.distinct_texts(spark.createDataFrame(chunks, "id long, page_content string"))
+    texts = texts.withColumn("n_tokens", bm25.F.size(bm25.tx.tokens("page_content")))
+    lists = bm25.postings_of(texts, 62, 5)
+    assert "Generate" not in lists._jdf.queryExecution().executedPlan().toString()
+    found = {r.term: r for r in lists.collect()}
+    bags = {i: t.lower().split() for i, t in dict((t, (i, t)) for i, t in reversed(chunks)).values()}
+    for term, row in found.items():
+        held = sorted((i, len(b), b.count(term)) for i, b in bags.items() if term in b)
+        assert [tuple(d) for d in row.docs] == held
+        assert (row.most, row.least) == (max(h[2] for h in held), min(h[1] for h in held))
+        assert row.df == sum(term in t.split() for _, t in chunks) and (row.batch, row.block) == (5, 0)
+    assert set(found) == {w for b in bags.values() for w in b if w.strip(".")}
