@@ -1,8 +1,11 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from quernstone.operators import answering, chunking, evaluation, prompting, toxicity
 from quernstone.sources import tables, versions
+from quernstone.sources.scratch import materialize
 
 
 def test_versions_are_whole_and_stay(spark, tmp_path, monkeypatch):
@@ -202,3 +205,19 @@ def test_quantiles_of_merged_runs_are_within_the_stated_rank(spark, tmp_path):
     by_run = evaluation.merged_summary(kept, (0.5,), by=("run_id", "metric")).collect()
     assert len(by_run) == 5
     assert max(len(r.sketch) for r in kept.collect()) < 12_000
+
+
+def test_rating_makes_no_row_per_term_of_a_text(spark, monkeypatch):
+    """Blocks of two rows, repeated and null keys, texts without tokens: each row is rated by its own terms."""
+    monkeypatch.setattr(toxicity, "BLOCK_BITS", 1)
+    made = []
+    monkeypatch.setattr(toxicity, "materialize", lambda df, name: made.append((name, materialize(df, name))) or made[-1][1])
+    weights = spark.createDataFrame([("bad", 1.5), ("good", -0.5)], "term string, weight double")
+    model = toxicity.NaiveBayes(weights, -1.0, 0.25)
+    texts = [(1, "bad bad good"), (1, "good new"), (None, "bad"), (2, None), (3, "..."), (4, "new new"), (4, "bad bad good")]
+    rows = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    found = sorted((r.toxicity is None, r.toxicity or 0) for r in toxicity.naive_toxicity(rows, "doc_id", "text", model).collect())
+    odds = [-1 + w for w in (2.5, -0.25, 1.5, 0.5, 2.5)]
+    assert found == [(False, x) for x in sorted(round(1 / (1 + math.exp(-o)), 6) for o in odds)] + [(True, 0)] * 2
+    bags = dict(made)["bags"]
+    assert bags.columns == ["term", "found"] and bags.count() == 7  # 8 rows of a text and a term before
