@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from quernstone.functions import text as tx
 from quernstone.functions.keys import pair_key
 
 SIZE = 512
 OVERLAP = 32
+TEXTS_AT_ONCE = 256
 
 
 def window_pieces(text: Column, size: int, overlap: int) -> Column:
@@ -72,20 +76,32 @@ def _merge(text: str, sep: str, size: int, overlap: int, split_long: bool) -> li
     return out
 
 
-def merged_pieces(text: Column, sep: str, size: int, overlap: int, split_long: bool) -> Column:
-    """Separator-delimited pieces packed into chunks of at most ``size`` characters.
+def _pieces_of(docs: DataFrame, key: str, text_col: str, cut: Callable[[str], list], schema: str) -> DataFrame:
+    """``key, chunk_no`` and the fields of each piece that ``cut`` makes of a text; null texts have none.
 
-    The packing depends on everything before it in the same document, so it runs as one linear
-    pass per document in Arrow batches; documents stay spread over all tasks.
+    Few texts at a time are Python strings, whatever the size of the Arrow batches.
     """
-
-    @F.pandas_udf("array<string>")
-    def pack(texts: pd.Series) -> pd.Series:
-        return texts.map(
-            lambda t: None if t is None else _merge(t, sep, size, overlap, split_long)
-        )
-
-    return pack(text)
+    kind = docs.schema[key].dataType.simpleString()
+    fields = T.StructType.fromDDL(schema).names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                some = batch.slice(low, TEXTS_AT_ONCE)
+                made = [[] if t is None else cut(t) for t in some.column(1).to_pylist()]
+                owner = np.repeat(np.arange(len(made)), [len(m) for m in made])
+                if not len(owner):
+                    continue
+                number = np.concatenate([np.arange(len(m), dtype=np.int32) for m in made])
+                flat = [piece for m in made for piece in m]
+                columns = [[p[n] for p in flat] for n in range(len(fields))]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0).take(pa.array(owner)), pa.array(number), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
+                    [key, "chunk_no", *fields],
+                )
+
+    types = [f.type for f in to_arrow_schema(T.StructType.fromDDL(schema))]
+    return docs.select(key, text_col).mapInArrow(run, f"`{key}` {kind}, chunk_no int, {schema}")
 
 
 def chunk(
@@ -111,7 +127,12 @@ def chunk(
             raise ValueError("oversize is 'keep' or 'split'")
         if overlap > size:
             raise ValueError("overlap must not be larger than size")
-        pieces = merged_pieces(F.col(text_col), sep, size, overlap, oversize == "split")
+
+        # The packing depends on everything before it in the same document: one linear pass per document.
+        def pack(text: str) -> list[tuple[str]]:
+            return [(piece,) for piece in _merge(text, sep, size, overlap, oversize == "split")]
+
+        return _pieces_of(docs, key, text_col, pack, "page_content string")
     else:
         raise ValueError("mode is 'merge' or 'window'")
     return docs.select(key, F.posexplode(pieces).alias("chunk_no", "page_content"))
@@ -170,18 +191,11 @@ def chunk_tokens(
     if not 0 <= overlap < size:
         raise ValueError("overlap must be smaller than size")
 
-    @F.pandas_udf("array<struct<start_char:long,page_content:string,n_ids:int>>")
-    def cut(texts: pd.Series) -> pd.Series:
-        def pieces(text: str | None) -> list[dict] | None:
-            if text is None:
-                return None
-            names = ("start_char", "page_content", "n_ids")
-            return [dict(zip(names, p, strict=True)) for p in token_pieces(text, tokenizer, size, overlap)]
-
-        return texts.map(pieces)
+    def cut(text: str) -> list[tuple[int, str, int]]:
+        return token_pieces(text, tokenizer, size, overlap)
 
-    made = docs.select(key, F.posexplode(cut(text_col)).alias("chunk_no", "piece"))
-    return made.select(key, "chunk_no", "piece.page_content", "piece.start_char", "piece.n_ids")
+    made = _pieces_of(docs, key, text_col, cut, "start_char long, page_content string, n_ids int")
+    return made.select(key, "chunk_no", "page_content", "start_char", "n_ids")
 
 
 def with_chunk_id(chunks: DataFrame, key: str = "doc_id", numeric: bool = True) -> DataFrame:

@@ -132,3 +132,14 @@ def test_window_guard(spark):
     rows = {r["page_content"]: r for r in chunking.window_guard(df, 2).collect()}
     assert rows["a b c"]["over_window"] and rows["a b c"]["model_input"] == "a b"
     assert not rows["a"]["over_window"]
+
+
+def test_merge_chunks_hold_few_texts_at_a_time(spark, monkeypatch):
+    """Texts are cut a slice of a batch at a time; nulls, empty texts and slice ends change nothing."""
+    texts = [None if i % 7 == 0 else "" if i % 7 == 1 else "\n\n".join("x" * (j % 40 + 1) for j in range(i)) for i in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    made = chunking.chunk(docs, size=100, overlap=10)
+    assert "MapInArrow" in made._jdf.queryExecution().executedPlan().toString()
+    want = [(i, n, p) for i, t in enumerate(texts) if t is not None for n, p in enumerate(chunking._merge(t, "\n\n", 100, 10, False))]
+    assert sorted(map(tuple, made.collect())) == want
+    assert made.schema.simpleString() == "struct<doc_id:bigint,chunk_no:int,page_content:string>"
