@@ -16,7 +16,7 @@ window; they are told by the md5 of their text and take no part in what follows.
 3. Windows whose smallest id is below their own document's are gathered per document, and its words
    are dropped. Only texts that lose something are moved.
 
-Which anchors are shared is told to the scan by a bitmap of 32 MB as long as they are few against its
+Which anchors are shared is told to the scan by a bitmap of up to 32 MB as long as they are few against its
 bits (``few``); beyond that each text's anchors are joined with the shared ones. Both ways name
 every shared anchor and the result is the same. Joins are salted by counts (``join_by_counts``), so a
 passage in a third of all documents is spread over tasks.
@@ -41,12 +41,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import join_by_counts, materialize, may_be_in, membership, words_of
+from quernstone.llm.common import filter_bits, join_by_counts, materialize, may_be_in, membership, words_of
 from quernstone.llm.shingles import mix
 
 WIDTH = 13
 GROUP = 200_000  # words hashed together
 ANCHOR_BITS = 1 << 28
+ANCHOR_BITS_PER_KEY = 16
 FEW = ANCHOR_BITS // 12
 
 _digest = xxhash.xxh3_128_digest
@@ -179,7 +180,7 @@ def candidate_windows(rows: DataFrame, width: int, few: int) -> DataFrame:
     shared = materialize(shared, "shared-anchors")
     n_shared = shared.count()
     if n_shared <= few:
-        known = membership(shared, F.col("h"), ANCHOR_BITS)
+        known = membership(shared, F.col("h"), filter_bits(n_shared, ANCHOR_BITS, ANCHOR_BITS_PER_KEY))
 
         def by_bitmap(texts: pa.Array) -> pa.Array:
             return _windows(texts, width, lambda rows, hashes: known(hashes))

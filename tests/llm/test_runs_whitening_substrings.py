@@ -253,3 +253,23 @@ def test_membership_has_no_false_negatives_and_few_false_positives(spark):
     values = np.array([r.h for r in spark.range(100_000).select(F.xxhash64("id").alias("h")).collect()], np.int64)
     found = test(values)
     assert found[:50_000].all() and found[50_000:].mean() < 0.01
+
+
+def test_few_keys_make_a_small_filter(spark):
+    assert common.filter_bits(0) == common.filter_bits(1) == common.LEAST_BITS
+    assert common.filter_bits(1 << 40) == common.SKETCH_BITS
+    assert common.filter_bits(100_000) == 1 << 22
+    keys = spark.range(5000)
+    common.release_filters()
+    test = common.may_be_in(keys, "id")
+    assert common._filters[-1].value.nbytes <= common.LEAST_BITS // 8  # 8 MB, whatever the number of keys
+    rows = spark.range(100_000).select("id", test(F.xxhash64("id")).alias("known"))
+    assert rows.where("known and id < 5000").count() == 5000
+    assert rows.where("known and id >= 5000").count() < 200
+
+
+def test_a_query_releases_the_filters_of_those_before(spark):
+    common.may_be_in(spark.range(10), "id")
+    assert common._filters
+    common.documents(spark, SMALL)
+    assert not common._filters
