@@ -3,10 +3,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quernstone.operators import bm25, embedding, joins, search
+from quernstone.operators import bm25, embedding, joins, search, topk
 from quernstone.plans import catalog, rag
 
 
@@ -228,3 +229,46 @@ def test_salted_join_equals_plain_join(spark, how):
     salted = joins.salted_join(facts, lookup, "k", how, min_rows=100)
     plain = facts.join(lookup, "k", how)
     assert salted.exceptAll(plain).count() == 0 == plain.exceptAll(salted).count()
+
+
+def vector_table(rows, key):
+    ends = pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32())
+    values = pa.ListArray.from_arrays(ends, pa.array(rows.ravel().astype(np.float32)))
+    return pa.table({key: pa.array(np.arange(len(rows))), "embedding": values})
+
+
+def mostly_zeros(rng, rows, width, entries):
+    out = np.zeros((rows, width), np.float32)
+    for row in out:
+        row[rng.integers(0, width, entries)] = rng.integers(1, 4, entries)
+    return out
+
+
+def test_many_sparse_queries_do_not_meet_every_dimension():
+    rng = np.random.default_rng(5)
+    asked = vector_table(mostly_zeros(rng, search.MANY_QUERIES, 8192, 8), "qkey")
+    items = vector_table(mostly_zeros(rng, 1500, 8192, 40), "item")
+    rows = search.cosine_kernel(asked)(items)(0, search.MANY_QUERIES)
+    assert not isinstance(rows, np.ndarray)  # no product of all dimensions
+    q, v = (search._matrix(t.column("embedding")) for t in (asked, items))
+    assert np.allclose(np.stack(list(rows)), q @ v.T, atol=1e-12)
+
+
+@pytest.mark.parametrize("odd", [0.0, np.nan, np.inf])
+def test_sparse_scores_keep_ties_zeros_and_odd_values(odd):
+    rng = np.random.default_rng(6)
+    asked, items = mostly_zeros(rng, search.MANY_QUERIES, 64, 4), mostly_zeros(rng, 700, 64, 5)
+    items[300:600] = items[:300]  # ties
+    asked[3] = items[5] = 0
+    items[9, 2] = asked[4, 1] = odd
+    asked, items = vector_table(asked, "qkey"), vector_table(items, "item")
+    with np.errstate(invalid="ignore"):
+        q, v = (search._matrix(t.column("embedding")) for t in (asked, items))
+        best = topk.Best(len(q), 4, None)
+        for low in (0, 350):  # the second block meets the bar of the first
+            topk._scan(best, search.cosine_kernel(asked), items.slice(low, 350), len(q))
+        whole = np.round(q @ v.T, topk.PLACES)
+    for n, row in enumerate(whole):
+        known = np.flatnonzero(~np.isnan(row))
+        want = known[np.lexsort((known, -row[known]))][:4]
+        assert best.items[n].tolist() == want.tolist(), n
