@@ -113,7 +113,7 @@ class LiveBm25:
 
         incoming = chunks.where("id is not null and page_content is not null").select("id", "key", "page_content")
         incoming = materialize(incoming.unionByName(moved.select("id", "key", "page_content")), "incoming")
-        made = bm25.distinct_texts(incoming).withColumn("n_tokens", F.size(tx.tokens("page_content")))
+        made = bm25.named_texts(incoming, bm25.may_repeat(incoming)).withColumn("n_tokens", F.size(tx.tokens("page_content")))
         made = materialize(made, "made-texts")
         n_texts = made.count()
         block = bm25.block_of(n_texts)

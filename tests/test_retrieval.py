@@ -272,3 +272,35 @@ def test_sparse_scores_keep_ties_zeros_and_odd_values(odd):
         known = np.flatnonzero(~np.isnan(row))
         want = known[np.lexsort((known, -row[known]))][:4]
         assert best.items[n].tolist() == want.tolist(), n
+
+
+def test_terms_go_to_the_lists_of_many_questions(spark):
+    """No join moves all lists by their terms before they move to their tasks, however many questions there are."""
+    texts = [(i, f"common word{i} word{i} extra{i % 5}") for i in range(60)]
+    index = bm25.build_bm25(spark.createDataFrame(texts, "id long, page_content string"))
+    asked = bm25.materialize(spark.createDataFrame([("common",), ("word7",), ("unseen",)], "term string"), "asked")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt, joined = bm25._dealt_lists(index, asked, 4), bm25._dealt_lists(index, asked, 4, most=0)
+        plan = dealt._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+        want = {(r.term, len(r.docs)) for r in joined.collect()}
+        assert {(r.term, len(r.docs)) for r in dealt.collect()} == want == {("common", 60), ("word7", 1)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_only_texts_that_repeat_are_grouped(spark):
+    texts = [(i, f"alone {i}") for i in range(50)] + [(100 + i, "again") for i in range(9)] + [(None, "no id"), (7, None)]
+    chunks = spark.createDataFrame(texts, "id long, page_content string").where("page_content is not null")
+    maybe = bm25.may_repeat(chunks)
+    assert chunks.where(maybe).select("page_content").distinct().count() < 5
+    named = {r.page_content: (r.rep, r.copies) for r in bm25.named_texts(chunks, maybe).collect()}
+    assert named == {r.page_content: (r.rep, r.copies) for r in bm25.distinct_texts(chunks).collect()}
+    index = bm25.build_bm25(chunks)
+    copies = {(r.rep, r.id) for r in index.copies.collect()}
+    assert copies == {(i, i) for i in range(50)} | {(100, 100 + i) for i in range(9)} | {(None, None)}
+    asked = spark.createDataFrame([(1, "again"), (2, "alone 3")], "qid long, questions string")
+    hits = {(r.qid, r.rank): (r.id, r.page_content) for r in bm25.bm25_search(index, asked, 2).collect()}
+    assert hits[1, 1] == (100, "again") and hits[1, 2] == (101, "again") and hits[2, 1] == (3, "alone 3")
