@@ -304,3 +304,21 @@ def test_only_texts_that_repeat_are_grouped(spark):
     asked = spark.createDataFrame([(1, "again"), (2, "alone 3")], "qid long, questions string")
     hits = {(r.qid, r.rank): (r.id, r.page_content) for r in bm25.bm25_search(index, asked, 2).collect()}
     assert hits[1, 1] == (100, "again") and hits[1, 2] == (101, "again") and hits[2, 1] == (3, "alone 3")
+
+
+def test_sparse_vectors_are_the_entries_of_the_whole_ones(spark, monkeypatch):
+    """The same weights without a row for each zero, and dimensions by the md5 of each token."""
+    monkeypatch.setattr(embedding, "SLICE", 3)
+    texts = [(i, f"all word{i % 7} word{i % 3} Ünï word{i % 3}") for i in range(20)] + [(90, None), (91, ""), (92, "all")]
+    df = spark.createDataFrame(texts, "id long, text string")
+    model = embedding.fit_embedder(df, "text", 64)
+    whole = {r.id: r.embedding for r in embedding.embed(df, "text", model).collect()}
+    found = {r.id: {e.dimension: e.weight for e in r.embedding} for r in embedding.embed(df, "text", model, sparse=True).collect()}
+    assert found == {i: {d: w for d, w in enumerate(v) if w} for i, v in whole.items()} and found[90] == found[91] == {}
+    md5 = F.conv(F.substring(F.md5(F.lit("ünï")), 1, 7), 16, 10).cast("long") % 64
+    assert df.select(md5).first()[0] in found[0]
+
+
+def test_embed_text_makes_each_vector_once(spark, small):
+    plan = catalog.embed_text(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "posexplode" not in plan
