@@ -7,8 +7,8 @@ the committed batches they find when they open the index, so they see whole batc
 that failed is written again from the same state. Work per batch is that of its documents and of the
 rows they replace, found by a join on keys.
 
-- ``LiveBm25``: posting lists of the new texts, lists of texts that are gone for the blocks they lie
-  in, and changes of document frequencies and lengths, so scores are those of a fresh index.
+- ``LiveBm25``: blocks of posting lists of the new texts, lists of texts that are gone for the blocks they
+  lie in, and changes of document frequencies and lengths, so scores are those of a fresh index.
 - ``LiveVectors``: new vectors go to existing centres. A cell that outgrows its share is split: new
   centres are fitted on a sample of it and its vectors move to them.
 
@@ -18,6 +18,7 @@ are never replaced. ``rebuilt`` writes the current state as the first batch of a
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 from quernstone.functions import text as tx
 from quernstone.operators import bm25, search
 from quernstone.operators.joins import salted_join
-from quernstone.sources.scratch import materialize
+from quernstone.sources.scratch import CODEC, materialize
 
 
 class _Batches:
@@ -48,8 +49,8 @@ class _Batches:
             return []
         return sorted(r.number for r in found if until is None or r.number < until)
 
-    def write(self, df: DataFrame, table: str, number: int, by: str | None = None) -> DataFrame:
-        writer = df.write.mode("overwrite")
+    def write(self, df: DataFrame, table: str, number: int, by: str | None = None, options: Mapping | None = None) -> DataFrame:
+        writer = df.write.mode("overwrite").options(compression=CODEC, **(options or {}))
         target = f"{self.path}/{table}/written={number}"
         (writer.partitionBy(by) if by else writer).parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
@@ -86,7 +87,8 @@ class LiveBm25:
     TEXTS = "rep long, copies long, n_tokens int, page_content string, batch int, block int"
     COPIES = "id long, key {key}, rep long, batch int, block int"
     TERMS = "term string, df long"
-    POSTINGS = "batch int, block int, term string, df long, most int, least int, docs array<struct<rep long, n_tokens int, tf int>>"
+    BLOCKS = "batch int, block int, lists array<struct<term string, df long, most int, least int, docs array<struct<rep long, n_tokens int, tf int>>>>"
+    FALLEN = "batch int, block int, docs array<struct<rep long, n_tokens int, tf int>>"
 
     def __init__(self, spark: SparkSession, path: str, key_type: str = "long", k1: float = bm25.K1, b: float = bm25.B):
         self.tables = _Batches(spark, path)
@@ -124,19 +126,17 @@ class LiveBm25:
         joined = salted_join(materialize(keyed, "keyed"), named, "text_key")
         tables.write(joined.select("id", "key", "rep", F.lit(number).alias("batch"), "block"), "copies", number)
 
-        lists = bm25.postings_of(made, n_texts, number)
+        blocks = tables.write(bm25.blocks_of(made, n_texts, number), "blocks", number, options=bm25.BLOCK_ROWS)
         fallen = gone.where("id = rep").groupBy("batch", "block").agg(
             F.collect_list(F.struct("rep", F.lit(0).alias("n_tokens"), F.lit(None).cast("int").alias("tf"))).alias("docs")
         )
-        none = F.lit(None).cast("string").alias("term")
-        fallen = fallen.select("batch", "block", none, F.lit(0).cast("long").alias("df"), F.lit(0).alias("most"), F.lit(0).alias("least"), "docs")
-        lists = tables.write(lists.unionByName(fallen), "postings", number)
+        tables.write(fallen, "fallen", number)
 
         less = gone.groupBy("rep", "batch").agg(F.count("*").alias("n"))
         less = materialize(less.join(texts, ["rep", "batch"]).select("n", "n_tokens", "page_content"), "lost-texts")
         lost = less.select("n", F.explode(F.array_distinct(tx.tokens("page_content"))).alias("term"))
         lost = lost.groupBy("term").agg((-F.sum("n")).alias("df"))
-        gained = lists.where("term is not null").select("term", "df")
+        gained = bm25.lists_in(blocks).select("term", "df")
         changed = gained.unionByName(lost).groupBy("term").agg(F.sum("df").alias("df")).where("df <> 0")
         tables.write(changed, "terms", number)
         more = made.agg(F.sum("copies"), F.sum(F.col("copies") * F.col("n_tokens"))).first()
@@ -155,8 +155,16 @@ class LiveBm25:
         n, size = tables.totals(batches, "n_chunks", "n_tokens") if batches else (0, 0)
         terms = tables.read("terms", batches, self.TERMS).groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
         terms = materialize(terms.withColumn("idf", bm25.idf(n, F.col("df"))), "terms")
-        postings = tables.read("postings", batches, self.POSTINGS)
-        return bm25.Bm25Index(texts, copies, terms, postings, n, size / n if n else 0.0, self.k1, self.b)
+        blocks = tables.read("blocks", batches, self.BLOCKS)
+        places = blocks.rdd.getNumPartitions()
+        # The texts that are gone become one more list of their block, without a term; a block stays one row.
+        fallen = tables.read("fallen", batches, self.FALLEN).groupBy("batch", "block").agg(F.flatten(F.collect_list("docs")).alias("docs"))
+        none, zero = F.lit(None).cast("string"), F.lit(0)
+        less = F.struct(none.alias("term"), zero.cast("long").alias("df"), zero.alias("most"), zero.alias("least"), "docs")
+        blocks = blocks.join(fallen, ["batch", "block"], "left").select(
+            "batch", "block", F.when(F.col("docs").isNull(), F.col("lists")).otherwise(F.concat("lists", F.array(less))).alias("lists")
+        )
+        return bm25.Bm25Index(texts, copies, terms, bm25.lists_in(blocks), n, size / n if n else 0.0, self.k1, self.b, places)
 
     def rows(self) -> DataFrame:
         """``id, key, page_content`` of all current chunks."""

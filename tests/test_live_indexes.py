@@ -232,3 +232,32 @@ def test_posting_lists_need_no_row_per_token(spark):
         assert (row.most, row.least) == (max(h[2] for h in held), min(h[1] for h in held))
         assert row.df == sum(term in t.split() for _, t in chunks) and (row.batch, row.block) == (5, 0)
     assert set(found) == {w for b in bags.values() for w in b if w.strip(".")}
+
+
+@pytest.mark.parametrize("most", [64 << 20, 0])  # terms go to the lists, or a filter of them does
+def test_lists_in_many_partitions_are_scanned_where_they_lie(spark, tmp_path, monkeypatch, most):
+    """No list moves for a search, and the texts that are gone are still those of their blocks."""
+    monkeypatch.setattr(bm25, "BLOCK_TEXTS", 16)
+    monkeypatch.setattr(bm25.topk, "BROADCAST_BYTES", most)
+    rng = random.Random(13)
+    questions = [(q, " ".join(rng.choices(WORDS, k=3))) for q in range(12)] + [(50, "same words")]
+    asked = spark.createDataFrame(questions, "qid long, questions string")
+    chunks = texts_of(rng, 200)
+    index = bm25.build_bm25(spark.createDataFrame(chunks, "id long, page_content string"))
+    assert index.places > 0
+    index.places = 1000  # as if written in so many
+    terms = bm25.materialize(spark.createDataFrame([("w3",), ("w5",)], "term string"), "asked")
+    assert "Exchange hashpartitioning" not in bm25._asked_lists(index, terms, 4)._jdf.queryExecution().executedPlan().toString()
+    assert_hits(hits_of(index, asked, 3), chunks, questions, 3)
+
+    grown = live.LiveBm25(spark, str(tmp_path / "live"))
+    schema = "id long, key long, page_content string"
+    first = [(key * 1000 + i, key, t) for key in range(12) for i, t in texts_of(rng, 4)] + [(900 + k, k, "same words again") for k in range(2)]
+    later = [(key * 1000 + i, key, t) for key in range(5) for i, t in texts_of(rng, 3)]
+    for number, rows in enumerate((first, later)):
+        touched = spark.createDataFrame([(k,) for k in sorted({r[1] for r in rows})], "key long")
+        grown.apply(spark.createDataFrame(rows, schema), touched, number)
+    opened = grown.open()
+    opened.places = 1000
+    rows = [(i, t) for i, key, t in first if key >= 5] + [(i, t) for i, _, t in later]
+    assert_hits(hits_of(opened, asked, 3, block_rows=4), rows, questions, 3)
