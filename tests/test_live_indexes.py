@@ -261,3 +261,17 @@ def test_lists_in_many_partitions_are_scanned_where_they_lie(spark, tmp_path, mo
     opened.places = 1000
     rows = [(i, t) for i, key, t in first if key >= 5] + [(i, t) for i, _, t in later]
     assert_hits(hits_of(opened, asked, 3, block_rows=4), rows, questions, 3)
+
+
+def test_few_blocks_are_unpacked_at_a_time(spark, tmp_path, monkeypatch):
+    """A reader holds a row group as arrays; without a bound one of 1 GB of documents took several hundred MB a task."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(bm25, "BLOCK_TEXTS", 2)
+    chunks = spark.createDataFrame(texts_of(random.Random(3), 120), "id long, page_content string").coalesce(1)
+    bm25.build_bm25(chunks, path=str(tmp_path / "index"))
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(str(tmp_path / "index/blocks/*.parquet"))]
+    groups = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert sum(groups) > 30 and max(groups) <= 8
