@@ -167,6 +167,14 @@ def test_a_saved_index_is_opened(spark, points, tmp_path):
     assert ids(search.knn_cells(opened, queries, 3)) == brute_knn(points[1], points[0], 3)
 
 
+def test_vectors_of_one_table_are_searched_in_blocks(spark, points, tmp_path):
+    """More vectors than a block holds, searched by themselves: both sides have the same columns."""
+    spark.createDataFrame(points[0], "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/vectors")
+    vectors = spark.read.parquet(f"{tmp_path}/vectors").select(F.col("vec_id").alias("id"), "embedding")
+    found = search.knn_exact(vectors.withColumnRenamed("id", "qid"), vectors, 3, block_rows=64)
+    assert ids(found) == brute_knn(points[0], points[0], 3)
+
+
 def test_recall_is_far_above_the_share_scored(spark, small):
     vectors = spark.read.parquet(f"{small}/embeddings.parquet").select(
         F.col("vec_id").alias("id"), "embedding"
