@@ -69,6 +69,43 @@ def test_blocks_below_the_kth_score_are_skipped():
     assert scorer.scored == 2 and scorer.table().column("item").to_pylist() == [7]
 
 
+@pytest.mark.parametrize(("cells", "common"), [(1 << 20, 300), (700, 0), (700, 10**9)])
+def test_few_texts_are_scored_exactly(monkeypatch, cells, common):
+    """A first pass in single precision leaves few texts to score exactly, and hits, ties included, stay the same."""
+    monkeypatch.setattr(bm25, "CELLS", cells)
+    monkeypatch.setattr(bm25, "COMMON", common)
+    rng = random.Random(17)
+    words = [f"w{i}" for i in range(400)] + ["the"] * 300
+    questions = [sorted(set(rng.choices(words, k=6))) for _ in range(50)]
+    idfs = {w: 1 + 5 * rng.random() for w in set(words)}
+    weights = [[{"term": t, "idf": idfs[t]} for t in q] for q in questions]
+    scorer = bm25._Scorer(pa.table({"qkey": [str(q) for q in range(50)], "q_weights": weights}), 4, 1.2, 0.75, 20.0)
+    whole = [[] for _ in questions]
+    for block in range(10):
+        bags = {block * 1000 + i: rng.choices(words, k=rng.choice([10, 20, 30])) for i in range(100)}
+        bags |= {block * 1000 + 500 + i: ["the", "w1", "w2"] for i in range(5)}
+        texts = pa.table(
+            {
+                "block": pa.array([block] * 105, pa.int32()), "rep": list(bags), "copies": [1] * 105,
+                "n_tokens": pa.array([len(b) for b in bags.values()], pa.int32()), "tokens": list(bags.values()),
+            }
+        )
+        scorer.add(pa.Table.from_batches([bm25._lists_of_block(texts)]))
+        for found, question in zip(whole, questions, strict=True):
+            for rep, bag in bags.items():
+                held = [(t, bag.count(t)) for t in question if t in bag]
+                score = sum(idfs[t] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(bag) / 20.0)) for t, tf in held)
+                found.append((-round(score, 6), rep))
+    got = {}
+    for row in scorer.table().to_pylist():
+        got.setdefault(int(row["qkey"]), []).append((-row["score"], row["item"]))
+    for q, found in enumerate(whole):
+        want = [f for f in sorted(found) if f[0] < 0][:4]
+        assert [i for _, i in sorted(got.get(q, []))] == [i for _, i in want]
+        assert np.allclose([s for s, _ in sorted(got.get(q, []))], [s for s, _ in want], atol=2e-6)
+    assert scorer.exact < 0.1 * scorer.scored * 105
+
+
 def test_search_moves_lists_of_asked_terms_only(spark):
     rng = random.Random(5)
     index = bm25.build_bm25(spark.createDataFrame(texts_of(rng, 300), "id long, page_content string"))
