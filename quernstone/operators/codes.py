@@ -219,21 +219,35 @@ def nearest_cells(index: CodedIndex, queries: DataFrame, nprobe: int) -> DataFra
 def knn_codes(index: CodedIndex, queries: DataFrame, k: int = 2, nprobe: int = 8, survivors: int = 50) -> DataFrame:
     """``qid, rank, id, score, pairs``: the ``k`` best by exact score among the ``survivors`` best by code.
 
-    ``pairs`` is the number of full vectors scored for the query.
+    ``pairs`` is the number of full vectors scored for the query. A search that visits all cells is one pass over
+    all codes: no query is repeated for its cells.
     """
-    near = materialize(nearest_cells(index, queries, nprobe), "code-probes")
-    visit = near.select(F.col("qid").alias("qkey"), "embedding", F.explode("cells").alias("cell"))
-    wanted = [r["cell"] for r in visit.select("cell").distinct().collect()]  # one value a cell
-    stored = index.vectors.where(F.col("cell").isin(wanted))
-    found = topk.block_topk(
-        visit,
-        stored.select(F.col("id").alias("item"), "code", F.col("cell").alias("place"), "cell"),
-        code_kernel(index.centres, index.words),
-        survivors,
-        query_size=(0, 0),
-        cell="cell",
-        item_bytes=F.octet_length("code").cast("long") + 16,
-    )
+    kernel, code_bytes = code_kernel(index.centres, index.words), F.octet_length("code").cast("long") + 16
+    if nprobe >= len(index.sizes):
+        near, stored = queries.where("embedding is not null").select("qid", "embedding"), index.vectors
+        rows, size = near.agg(F.count("*"), F.coalesce(F.sum(F.size("embedding").cast("long") * 4), F.lit(0))).first()
+        found = topk.block_topk(
+            near.withColumnRenamed("qid", "qkey"),
+            stored.select(F.col("id").alias("item"), "code", F.col("cell").alias("place")),
+            kernel,
+            survivors,
+            query_size=(rows, size),
+            item_bytes=code_bytes,
+        )
+    else:
+        near = materialize(nearest_cells(index, queries, nprobe), "code-probes")
+        visit = near.select(F.col("qid").alias("qkey"), "embedding", F.explode("cells").alias("cell"))
+        wanted = [r["cell"] for r in visit.select("cell").distinct().collect()]  # one value a cell
+        stored = index.vectors.where(F.col("cell").isin(wanted))
+        found = topk.block_topk(
+            visit,
+            stored.select(F.col("id").alias("item"), "code", F.col("cell").alias("place"), "cell"),
+            kernel,
+            survivors,
+            query_size=(0, 0),
+            cell="cell",
+            item_bytes=code_bytes,
+        )
     left = materialize(found.select(F.col("qkey").alias("qid"), F.col("item").alias("id")), "survivors")
     asked = near.select("qid", F.col("embedding").alias("q"))
     full = left.join(stored.select("id", F.col("embedding").alias("v")), "id").join(asked, "qid")

@@ -1,5 +1,6 @@
 """Sparse BM25 blocks, and indexes that follow their table by increments."""
 
+import functools
 import random
 
 import numpy as np
@@ -7,7 +8,7 @@ import pyarrow as pa
 import pytest
 from test_retrieval import brute_bm25, brute_knn, ids
 
-from quernstone.operators import bm25, codes, search
+from quernstone.operators import bm25, codes, search, topk
 from quernstone.streaming import live
 
 WORDS = [f"w{i}" for i in range(60)] + ["the"] * 40
@@ -231,6 +232,27 @@ def test_codes_find_nine_in_ten_with_few_full_scores(spark, small, tmp_path):
     assert ids(every) == ids(search.knn_exact(some, vectors, 4))
 
 
+def test_a_search_of_all_cells_repeats_no_query(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(120)]
+    vectors = spark.createDataFrame(rows, "id long, embedding array<float>")
+    index = codes.build_codes(vectors, cells=6, pieces=2)
+    asked = [(i, v) for i, v in rows if i % 10 == 0]
+    queries = spark.createDataFrame([*asked, (500, None)], "qid long, embedding array<float>")
+
+    def never(*_):
+        raise AssertionError("queries were dealt to cells")
+
+    monkeypatch.setattr(codes, "nearest_cells", never)
+    for block_rows in (topk.BLOCK_ROWS, 5):  # all queries in a broadcast, or in blocks
+        monkeypatch.setattr(codes.topk, "block_topk", functools.partial(topk.block_topk, block_rows=block_rows))
+        found = codes.knn_codes(index, queries, 3, nprobe=len(index.centres), survivors=120)
+        assert ids(found) == brute_knn(asked, rows, 3)
+        assert {r.pairs for r in found.collect()} == {120}
+        monkeypatch.undo()
+        monkeypatch.setattr(codes, "nearest_cells", never)
+
+
 def test_codes_of_few_and_equal_vectors(spark):
     rows = [(i, [1.0, 0.0, 0.0, 1.0]) for i in range(5)] + [(9, [0.0, 1.0, 0.0, 0.0]), (10, None)]
     vectors = spark.createDataFrame(rows, "id long, embedding array<float>")
